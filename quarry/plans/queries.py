@@ -52,9 +52,9 @@ def bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------
 
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = inputs.table_path(sf_dir, "events")
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path)
+    schema = spark.read.parquet(inputs.table_path(sf_dir, "events")).schema
+    # A file stream watches a directory; the glob picks the table's files in it.
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
 
 
 def stream_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
