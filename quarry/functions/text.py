@@ -108,13 +108,14 @@ def classify_token(token, lowercase: bool = True) -> Column:
     )
 
 
-def bigram_pairs(tokens) -> Column:
+def bigram_pairs(tokens, lowercase: bool = True) -> Column:
     """Array of ``struct(w1, w2)`` for a token array, following the bigram rules.
 
     Each word pairs with the previous word; a sentence end resets; other tokens are skipped
-    without reset. Works on one array, so it never crosses the array's boundary.
+    without reset. Works on one array, so it never crosses the array's boundary. Pass
+    ``lowercase=False`` when the tokens are lower-case already.
     """
-    kept = F.filter(F.transform(_col(tokens), lambda t: classify_token(t)), lambda x: x.isNotNull())
+    kept = F.filter(F.transform(_col(tokens), lambda t: classify_token(t, lowercase)), lambda x: x.isNotNull())
     nxt = F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))
     pairs = F.zip_with(kept, nxt, lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
     return F.filter(

@@ -36,7 +36,7 @@ def word_count_sorted(lines: DataFrame, line_col: str = "value", drop_empty: boo
 
 def bigrams_of_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """One row ``(w1, w2)`` per bigram; bigrams never cross a line."""
-    return lines.select(F.explode(bigram_pairs(tokenizer_tokens(line_col))).alias("p")).select("p.w1", "p.w2")
+    return lines.select(F.explode(bigram_pairs(tokenizer_tokens(line_col), lowercase=False)).alias("p")).select("p.w1", "p.w2")
 
 
 def bigram_count(lines: DataFrame, line_col: str = "value") -> DataFrame:

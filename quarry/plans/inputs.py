@@ -16,8 +16,23 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table. ``spread`` for CPU-heavy per-row work (regex tokenising, parsing)."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_narrow_input(df) if spread else df
+
+
+def spread_narrow_input(df: DataFrame) -> DataFrame:
+    """Round-robin an input that has fewer partitions than the cluster has cores.
+
+    A few large unsplittable files (one parquet row group, a gzip text) scan as a few tasks, and
+    everything before the first shuffle would run on those few cores. A wide input (any large
+    table: thousands of splits) is left alone, so this never adds a shuffle at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -26,13 +41,13 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, value)``: every line of every document (documents read as text files)."""
-    docs = table(spark, sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents", spread=True)
     return docs.select("doc_id", F.explode(text_lines("text")).alias("value"))
 
 
 def document_line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, lines)`` keeping the line order of each document."""
-    return table(spark, sf_dir, "documents").select("doc_id", text_lines("text").alias("lines"))
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", text_lines("text").alias("lines"))
 
 
 # Trace lines: "time connection_id source_ip > destination_ip protocol", one per event.
@@ -99,7 +114,7 @@ def kv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem").select(F.expr(LINEITEM_TSV_SQL).alias("value"))
+    return table(spark, sf_dir, "lineitem", spread=True).select(F.expr(LINEITEM_TSV_SQL).alias("value"))
 
 
 def repository_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,7 +123,7 @@ def repository_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edge_lines(spark: SparkSession, sf_dir: str, noisy: bool = False) -> DataFrame:
     expr = NOISY_EDGE_LINE_SQL if noisy else EDGE_LINE_SQL
-    return table(spark, sf_dir, "lineitem").select(F.expr(expr).alias("value"))
+    return table(spark, sf_dir, "lineitem", spread=True).select(F.expr(expr).alias("value"))
 
 
 # Event streams: the event id is the stream position.

@@ -39,7 +39,8 @@ def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", lower_word_tokens("text").alias("words"))
+    docs = inputs.table(spark, sf_dir, "documents", spread=True).select(
+        "doc_id", lower_word_tokens("text").alias("words"))
     return count_windows.word_window_topk(docs, "doc_id", "words", WINDOW, K)
 
 

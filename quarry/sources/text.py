@@ -63,13 +63,16 @@ def parse_positional(lines: DataFrame, sep: str, fields: dict[str, tuple[int, st
 
     Missing fields are NULL (Pig); with ``strict`` a missing field or bad number fails (Java).
     ``sep`` is a regex, as in ``String.split``; trailing empty fields are dropped like Java does.
+    The split array is its own projection so it is computed once per line, not once per field.
     """
-    parts = java_split(F.col(line_col), sep)
+    keep = keep or []
+    split = lines.select(*keep, java_split(F.col(line_col), sep).alias("_parts"))
+    parts = F.col("_parts")
     cols = []
     for name, (idx, dtype) in fields.items():
         raw = parts.getItem(idx) if strict else F.get(parts, idx)
         cols.append(_typed(raw, dtype, strict).alias(name))
-    return lines.select(*(keep or []), *cols)
+    return split.select(*keep, *cols)
 
 
 def parse_delimited(lines: DataFrame, sep: str, schema: list[tuple[str, str]], line_col: str = "value",
@@ -124,11 +127,20 @@ def parse_repositories(lines: DataFrame, line_col: str = "value", strict: bool =
 
 def parse_edges(lines: DataFrame, sep: str = "\t", line_col: str = "value",
                 keep: list[str] | None = None) -> DataFrame:
-    """Edge list: exactly two ``Long.parseLong`` fields, anything else dropped (as a NULL edge)."""
-    parts = java_split(F.col(line_col), sep)
-    src, dst = strict_long(F.get(parts, 0)), strict_long(F.get(parts, 1))
-    return (
-        lines.select(*(keep or []), F.when(F.size(parts) == 2, src).alias("src"),
-                     F.when(F.size(parts) == 2, dst).alias("dst"))
-        .filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    """Edge list: exactly two ``Long.parseLong`` fields, anything else dropped (as a NULL edge).
+
+    Java's split drops trailing empty fields, so ``1<TAB>2<TAB>`` is an edge and
+    ``1<TAB>2<TAB>3`` is not: one anchored regex decides, two group extractions read the ids
+    (an id beyond the long range fails ``try_cast`` and is dropped, as ``parseLong`` would fail).
+    """
+    import re
+
+    s = re.escape(sep)
+    pattern = f"^([+-]?[0-9]+){s}([+-]?[0-9]+)(?:{s})*\\z"
+    line = F.col(line_col)
+    parsed = lines.filter(line.rlike(pattern)).select(
+        *(keep or []),
+        F.regexp_extract(line, pattern, 1).try_cast("long").alias("src"),
+        F.regexp_extract(line, pattern, 2).try_cast("long").alias("dst"),
     )
+    return parsed.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
