@@ -1,0 +1,107 @@
+"""Expected values on the shipped sample inputs (FIXTURES.md section 3), read as plain data."""
+
+import os
+
+from pyspark.sql import functions as F
+
+from quarry.functions.text import lower_word_tokens, space_tokens
+from quarry.operators import count_windows, counting, graph, relational
+from quarry.sources import text as src
+
+
+def _path(samples, name):
+    return os.path.join(samples, name)
+
+
+def test_word_count_test_words(spark, samples):
+    counts = {r.word: r.n for r in counting.word_count(src.read_lines(spark, _path(samples, "test_words.txt"))).collect()}
+    assert sum(counts.values()) == 34 and len(counts) == 21
+    assert (counts["words"], counts["."], counts["I"], counts["like"]) == (5, 5, 3, 3)
+
+
+def test_word_count_shakespeare(spark, samples):
+    lines = src.read_lines(spark, _path(samples, "shakespeare.txt"))
+    counts = {r.word: r.n for r in counting.word_count(lines).collect()}
+    assert sum(counts.values()) == 4074 and len(counts) == 1190
+    assert [counts[w] for w in [",", ".", "", "the", ";", "I"]] == [375, 138, 113, 96, 84, 84]
+    top = counting.word_count_sorted(lines).limit(2).collect()
+    assert [(r.word, r.n) for r in top] == [(",", 375), (".", 138)]
+
+
+def test_bigrams_per_line(spark, samples):
+    counts = {(r.w1, r.w2): r.n for r in counting.bigram_count(src.read_lines(spark, _path(samples, "test_words.txt"))).collect()}
+    assert sum(counts.values()) == 24 and len(counts) == 21
+    assert counts[("like", "words")] == 3 and counts[("i", "like")] == 2
+
+
+def test_bigram_top10_shakespeare(spark, samples):
+    lines = src.read_lines(spark, _path(samples, "shakespeare.txt"))
+    counts = counting.bigram_count(lines)
+    agg = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    assert tuple(agg) == (2839, 2464)
+    top = [(r.rank, r.w1, r.w2, r.n) for r in counting.bigram_topk(lines, 10).orderBy("rank").collect()]
+    assert top == [(1, "i", "will", 16), (2, "in", "the", 10), (3, "i", "am", 8), (4, "my", "love", 7),
+                   (5, "i", "have", 6), (6, "as", "a", 5), (7, "in", "a", 5), (8, "is", "a", 5),
+                   (9, "or", "else", 5), (10, "peter", "quince", 5)]
+
+
+def _ordered(spark, path, tokens):
+    lines = src.read_ordered_lines(spark, path)
+    return lines.select("_file", "_split", "_row", tokens("value").alias("items"))
+
+
+def test_word_windows_shakespeare(spark, samples):
+    recs = _ordered(spark, _path(samples, "shakespeare.txt"), lower_word_tokens)
+    assert recs.select(F.sum(F.size("items"))).first()[0] == 3385
+    top = count_windows.word_window_topk(recs, ["_file", "_split", "_row"], "items", 1000, 10,
+                                         bucket_cols=["_file", "_split"])
+    rows = top.filter("rank <= 5").orderBy("window_id", "rank").collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.window_id, []).append((r.word, r.n))
+    assert got == {
+        0: [("to", 38), ("my", 31), ("and", 27), ("the", 24), ("i", 23)],
+        1: [("and", 30), ("to", 30), ("the", 29), ("i", 23), ("a", 17)],
+        2: [("the", 44), ("you", 33), ("and", 30), ("i", 30), ("a", 26)],
+    }
+
+
+def test_word_windows_too_short(spark, samples):
+    recs = _ordered(spark, _path(samples, "test_words.txt"), lower_word_tokens)
+    top = count_windows.word_window_topk(recs, ["_file", "_split", "_row"], "items", 1000, 10,
+                                         bucket_cols=["_file", "_split"])
+    assert top.count() == 0
+
+
+def test_bigram_windows_shakespeare(spark, samples):
+    recs = _ordered(spark, _path(samples, "shakespeare.txt"), space_tokens)
+    keys = ["_file", "_split", "_row"]
+    toks = count_windows.window_tokens(recs, keys, "items", 1000, bucket_cols=["_file", "_split"])
+    pairs = count_windows.window_bigrams(toks).groupBy("window_id").count().orderBy("window_id")
+    assert [r["count"] for r in pairs.collect()] == [776, 752, 729, 766]
+    top = count_windows.bigram_window_topk(recs, keys, "items", 1000, 3, bucket_cols=["_file", "_split"])
+    got = {}
+    for r in top.orderBy("window_id", "rank").collect():
+        got.setdefault(r.window_id, []).append((r.w1, r.w2, r.n))
+    assert got == {
+        0: [("my", "love", 4), ("i", "am", 3), ("is", "mine", 3)],
+        1: [("the", "more", 4), ("as", "a", 3), ("i", "have", 3)],
+        2: [("i", "will", 8), ("peter", "quince", 5), ("a", "lover", 3)],
+        3: [("i", "will", 6), ("in", "the", 5), ("beard", "your", 3)],
+    }
+
+
+def test_verdict_counts(spark, samples):
+    v = src.parse_verdicts(src.read_lines(spark, _path(samples, "raw_block.txt")))
+    got = {r.action.strip(): r["count"] for r in v.groupBy("action").count().collect()}
+    assert got == {"Blocked": 350, "Allowed": 150}
+    assert relational.blocked_verdicts(v, case_sensitive=True).count() == 350
+
+
+def test_patents_graph(spark, samples):
+    edges = src.parse_edges(src.read_lines(spark, _path(samples, "patents_small.txt")))
+    assert edges.count() == 500
+    und = graph.simple_undirected(edges)
+    assert und.count() == 500
+    assert graph.ordered_wedge_counts(und).count() == 0
+    assert graph.triangle_count(und).first()[0] == 0
