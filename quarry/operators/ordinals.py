@@ -13,36 +13,46 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKET_SIZE = 1 << 16
+DEFAULT_BUCKET_SIZE = 1 << 12
 
 
 def id_bucket(id_col: str | Column, bucket_size: int = DEFAULT_BUCKET_SIZE) -> Column:
-    """Bucket of consecutive integer ids: ``floor(id / bucket_size)``."""
+    """Bucket of consecutive integer ids: ``floor(id / bucket_size)`` (never NULL)."""
     c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.floor(c / F.lit(bucket_size)).cast("long")
+    return F.coalesce(F.floor(c / F.lit(bucket_size)).cast("long"), F.lit(-1).cast("long"))
 
 
-def exclusive_prefix(sizes: DataFrame, size_col: str, bucket_cols: list[str], order_cols: list[str],
-                     base_col: str = "base", total_col: str = "total") -> DataFrame:
-    """Add ``base`` (sum of ``size_col`` over all earlier records) and ``total`` (grand sum).
+def bucket_offsets(sizes: DataFrame, size_col: str, bucket_cols: list[str]) -> DataFrame:
+    """Per bucket: ``_bucket_base`` (items in all earlier buckets) and ``total`` (all items).
 
-    Record order is ``bucket_cols`` then ``order_cols``; ``order_cols`` must be unique within a
-    bucket. ``sizes`` should be narrow (ids and sizes only): it is shuffled by bucket.
+    One row per bucket; the running sum over buckets is the only single-partition step and it
+    sees one row per bucket, never a row per record.
     """
     before = Window.unboundedPreceding
     buckets = sizes.groupBy(*bucket_cols).agg(F.sum(size_col).alias("_bucket_sum"))
-    over_buckets = Window.orderBy(*bucket_cols)
-    buckets = buckets.select(
+    return buckets.select(
         *bucket_cols,
-        F.coalesce(F.sum("_bucket_sum").over(over_buckets.rowsBetween(before, -1)), F.lit(0)).alias("_bucket_base"),
-        F.sum("_bucket_sum").over(Window.partitionBy()).alias(total_col),
+        F.coalesce(F.sum("_bucket_sum").over(Window.orderBy(*bucket_cols).rowsBetween(before, -1)),
+                   F.lit(0)).cast("long").alias("_bucket_base"),
+        F.sum("_bucket_sum").over(Window.partitionBy()).cast("long").alias("total"),
     )
-    inside = Window.partitionBy(*bucket_cols).orderBy(*order_cols).rowsBetween(before, -1)
-    within = sizes.withColumn("_inner_base", F.coalesce(F.sum(size_col).over(inside), F.lit(0)))
+
+
+def exclusive_prefix(sizes: DataFrame, size_col: str, bucket_cols: list[str], order_cols: list[str],
+                     base_col: str = "base", total_col: str = "total") -> DataFrame:
+    """Add ``base`` (sum of ``size_col`` over all earlier records) and ``total`` (grand sum).
+
+    Record order is ``bucket_cols`` then ``order_cols``; ``order_cols`` must be unique within a
+    bucket. The records are shuffled once by bucket; the in-bucket running sum and the bucket
+    totals both read that one exchange (Spark reuses it), so the sizes are computed once.
+    """
+    part = sizes.repartition(*bucket_cols)
+    inside = Window.partitionBy(*bucket_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    within = part.withColumn("_inner_base", F.coalesce(F.sum(size_col).over(inside), F.lit(0)))
+    offsets = bucket_offsets(part, size_col, bucket_cols).withColumnRenamed("total", total_col)
     return (
-        within.join(buckets, bucket_cols)
+        within.join(offsets, bucket_cols)
         .withColumn(base_col, (F.col("_bucket_base") + F.col("_inner_base")).cast("long"))
-        .withColumn(total_col, F.col(total_col).cast("long"))
         .drop("_bucket_base", "_inner_base")
     )
 
@@ -54,21 +64,24 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
 
     Order: ``key_cols`` ascending (a unique record key), then position inside the array. With
     no ``bucket_cols`` the first key must be an integer id, bucketed by ``bucket_size``
-    consecutive ids; for files pass e.g. ``["_file", "_split"]`` with a row id as key.
-    Also returns ``total``, the number of items in the whole input. The item arrays are
-    recomputed for the size pass instead of cached: that pass keeps only ``size(items)``.
+    consecutive ids (ids should be dense; sparse ids want coarser buckets); for text files pass
+    e.g. ``["_file", "_split"]`` with a row id as key. Also returns ``total``, the number of
+    items in the whole input.
+
+    The item arrays are computed once, before the one shuffle by bucket, and travel with their
+    record; a bucket holds at most ``bucket_size`` records (or one file split).
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     if bucket_cols is None:
         records = records.withColumn("_bucket", id_bucket(keys[0], bucket_size))
         bucket_cols = ["_bucket"]
-    sizes = records.select(*keys, *[c for c in bucket_cols if c not in keys],
+    order_cols = [k for k in keys if k not in bucket_cols]
+    sized = records.select(*dict.fromkeys([*keys, *bucket_cols]), F.col(items_col).alias("_items"),
                            F.size(items_col).cast("long").alias("_n"))
-    bases = exclusive_prefix(sizes, "_n", bucket_cols, [k for k in keys if k not in bucket_cols])
-    bases = bases.select(*keys, "base", "total")
+    based = exclusive_prefix(sized, "_n", bucket_cols, order_cols)
+    # posexplode_outer: no inferred size(...) > 0 filter that would recompute the arrays early.
+    exploded = based.select(*keys, "total", "base", F.posexplode_outer("_items").alias("_pos", item_name))
     return (
-        records.select(*keys, items_col)
-        .join(bases, keys)
-        .select(*keys, "total", "base", F.posexplode(items_col).alias("_pos", item_name))
+        exploded.filter(F.col("_pos").isNotNull())
         .select(*keys, (F.col("base") + F.col("_pos")).alias("ordinal"), item_name, "total")
     )
