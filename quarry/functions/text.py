@@ -34,6 +34,9 @@ SENTENCE_MARK = "|"
 FIRST_CHAR_CLASSES = 62
 
 
+_REGEX_META = set(".$|()[]{}^?*+\\")
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -56,7 +59,11 @@ def java_split(value, pattern: str) -> Column:
     ``split`` keeps trailing empties, hence the trim first.
     """
     v = _col(value)
-    body = F.regexp_replace(v, f"(?:{pattern})+\\z", "")
+    if len(pattern) == 1 and pattern not in _REGEX_META:
+        # A literal one-character separator: trailing separators go with rtrim, no regex pass.
+        body = F.rtrim(v, F.lit(pattern))
+    else:
+        body = F.regexp_replace(v, f"(?:{pattern})+\\z", "")
     return (
         F.when(v == "", F.array(F.lit("")))
         .when(body == "", F.array().cast("array<string>"))
