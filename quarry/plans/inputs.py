@@ -29,10 +29,12 @@ def spread_narrow_input(df: DataFrame) -> DataFrame:
     everything before the first shuffle would run on those few cores. A wide input (any large
     table: thousands of splits) is left alone, so this never adds a shuffle at scale.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < cores
+    except Exception:  # sessions without a SparkContext (Spark Connect): leave the plan as is
+        return df
+    return df.repartition(cores) if narrow else df
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -37,7 +37,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     own when none is set and the master is local (tests). A cluster without one is
     a configuration error: a machine-local folder would not survive executor loss.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", "")
     current = sc.getCheckpointDir()
     if current:
         return current
