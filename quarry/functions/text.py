@@ -86,6 +86,19 @@ def lower_word_tokens(text) -> Column:
     return F.filter(F.split(F.lower(_col(text)), NON_WORD, -1), lambda x: x != "")
 
 
+def lower_word_count(text) -> Column:
+    """``size(lower_word_tokens(text))`` without building the array: maximal runs of \\w."""
+    return F.regexp_count(F.lower(_col(text)), F.lit("\\w+"))
+
+
+def space_token_count(line) -> Column:
+    """``size(space_tokens(line))`` by counting blanks: no regex, no array."""
+    v = _col(line)
+    body = F.rtrim(v, F.lit(" "))
+    blanks = F.length(body) - F.length(F.replace(body, F.lit(" "), F.lit("")))
+    return F.when(v == "", F.lit(1)).when(body == "", F.lit(0)).otherwise(blanks + 1)
+
+
 def tokenizer_tokens(line) -> Column:
     """``new StringTokenizer(line.toLowerCase())``: never yields empty tokens."""
     return F.filter(F.split(F.lower(_col(line)), TOKENIZER_DELIMS, -1), lambda x: x != "")
@@ -115,22 +128,36 @@ def classify_token(token, lowercase: bool = True) -> Column:
     )
 
 
-def bigram_pairs(tokens, lowercase: bool = True) -> Column:
-    """Array of ``struct(w1, w2)`` for a token array, following the bigram rules.
+def kept_tokens(tokens, lowercase: bool = True) -> Column:
+    """Classified tokens without the skipped ones: stripped words and ``SENTENCE_MARK``."""
+    return F.filter(F.transform(_col(tokens), lambda t: classify_token(t, lowercase)), lambda x: x.isNotNull())
 
-    Each word pairs with the previous word; a sentence end resets; other tokens are skipped
-    without reset. Works on one array, so it never crosses the array's boundary. Pass
-    ``lowercase=False`` when the tokens are lower-case already.
+
+def pairs_of_kept(kept) -> Column:
+    """Array of ``struct(w1, w2)``: each word paired with the previous kept word (no mark between).
+
+    ``kept`` should be a column reference (project ``kept_tokens`` first): it is used three times.
     """
-    kept = F.filter(F.transform(_col(tokens), lambda t: classify_token(t, lowercase)), lambda x: x.isNotNull())
-    nxt = F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))
-    pairs = F.zip_with(kept, nxt, lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
+    k = _col(kept)
+    nxt = F.slice(k, 2, F.greatest(F.size(k), F.lit(1)))
+    pairs = F.zip_with(k, nxt, lambda a, b: F.struct(a.alias("w1"), b.alias("w2")))
     return F.filter(
         pairs,
         lambda p: p["w2"].isNotNull() & (p["w1"] != SENTENCE_MARK) & (p["w2"] != SENTENCE_MARK),
     )
 
 
+def bigram_pairs(tokens, lowercase: bool = True) -> Column:
+    """Array of ``struct(w1, w2)`` for a token array, following the bigram rules.
+
+    Each word pairs with the previous word; a sentence end resets; other tokens are skipped
+    without reset. Works on one array, so it never crosses the array's boundary. Pass
+    ``lowercase=False`` when the tokens are lower-case already. In a DataFrame prefer projecting
+    :func:`kept_tokens` and then :func:`pairs_of_kept`, which classifies each token once.
+    """
+    return pairs_of_kept(kept_tokens(tokens, lowercase))
+
+
 def drop_last_component(ip) -> Column:
     """``SUBSTRING(ip, 0, LAST_INDEX_OF(ip, '.'))``: drop the last dotted part; no dot -> NULL."""
     c = _col(ip)

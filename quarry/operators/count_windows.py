@@ -7,7 +7,7 @@ never fires). Windows are exactly N items, so grouping by window is skew-free by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import SENTENCE_MARK, classify_token
@@ -29,7 +29,7 @@ def full_windows(items: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
 
 def word_window_topk(records: DataFrame, id_col: str | list[str], words_col: str, window_size: int = WINDOW_SIZE,
                      k: int = TOP_K, bucket_size: int = DEFAULT_BUCKET_SIZE,
-                     bucket_cols: list[str] | None = None) -> DataFrame:
+                     bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
     """Top ``k`` words of every full window of ``window_size`` words.
 
     ``records`` hold an ordering key (an integer id, or e.g. file/split/row for text files with
@@ -37,7 +37,7 @@ def word_window_topk(records: DataFrame, id_col: str | list[str], words_col: str
     ``(window_id, rank, word, n)``, ties by word ascending.
     """
     items = explode_with_ordinals(records, id_col, words_col, bucket_size, item_name="word",
-                                  bucket_cols=bucket_cols)
+                                  bucket_cols=bucket_cols, size=size)
     counts = (
         full_windows(items, window_size)
         .groupBy("window_id", "word").agg(F.count(F.lit(1)).alias("n"))
@@ -62,22 +62,23 @@ def window_bigrams(items: DataFrame, token_col: str = "token") -> DataFrame:
 
 
 def window_tokens(records: DataFrame, id_col: str | list[str], tokens_col: str, window_size: int = WINDOW_SIZE,
-                  bucket_size: int = DEFAULT_BUCKET_SIZE, bucket_cols: list[str] | None = None) -> DataFrame:
+                  bucket_size: int = DEFAULT_BUCKET_SIZE, bucket_cols: list[str] | None = None,
+                  size: Column | None = None) -> DataFrame:
     """``(window_id, ordinal, token)`` for the raw tokens of full windows."""
     items = explode_with_ordinals(records, id_col, tokens_col, bucket_size, item_name="token",
-                                  bucket_cols=bucket_cols)
+                                  bucket_cols=bucket_cols, size=size)
     return full_windows(items, window_size).select("window_id", "ordinal", "token")
 
 
 def bigram_window_topk(records: DataFrame, id_col: str | list[str], tokens_col: str,
                        window_size: int = WINDOW_SIZE, k: int = TOP_K, bucket_size: int = DEFAULT_BUCKET_SIZE,
-                       bucket_cols: list[str] | None = None) -> DataFrame:
+                       bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
     """Top ``k`` bigrams of every full window of ``window_size`` raw tokens.
 
     Output ``(window_id, rank, w1, w2, n)``; ties by (w1, w2). The lag window, the count and the
     top-k all cluster on ``window_id``, so the tokens are shuffled once.
     """
-    pairs = window_bigrams(window_tokens(records, id_col, tokens_col, window_size, bucket_size, bucket_cols))
+    pairs = window_bigrams(window_tokens(records, id_col, tokens_col, window_size, bucket_size, bucket_cols, size))
     counts = pairs.groupBy("window_id", "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("w1").asc(), F.col("w2").asc()]
     return top_k_per_group(counts, ["window_id"], order, k).select("window_id", "rank", "w1", "w2", "n")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.functions.text import bigram_pairs, tokenizer_tokens, whitespace_words
+from quarry.functions.text import kept_tokens, pairs_of_kept, tokenizer_tokens, whitespace_words
 from quarry.operators.topk import top_k
 
 
@@ -36,7 +36,8 @@ def word_count_sorted(lines: DataFrame, line_col: str = "value", drop_empty: boo
 
 def bigrams_of_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     """One row ``(w1, w2)`` per bigram; bigrams never cross a line."""
-    return lines.select(F.explode(bigram_pairs(tokenizer_tokens(line_col), lowercase=False)).alias("p")).select("p.w1", "p.w2")
+    kept = lines.select(kept_tokens(tokenizer_tokens(line_col), lowercase=False).alias("_kept"))
+    return kept.select(F.explode(pairs_of_kept("_kept")).alias("p")).select("p.w1", "p.w2")
 
 
 def bigram_count(lines: DataFrame, line_col: str = "value") -> DataFrame:

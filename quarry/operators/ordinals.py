@@ -59,7 +59,7 @@ def exclusive_prefix(sizes: DataFrame, size_col: str, bucket_cols: list[str], or
 
 def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_col: str,
                           bucket_size: int = DEFAULT_BUCKET_SIZE, item_name: str = "item",
-                          bucket_cols: list[str] | None = None) -> DataFrame:
+                          bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
     """One row per array element with its dense global position ``ordinal`` (0-based).
 
     Order: ``key_cols`` ascending (a unique record key), then position inside the array. With
@@ -69,7 +69,9 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
     items in the whole input.
 
     The item arrays are computed once, before the one shuffle by bucket, and travel with their
-    record; a bucket holds at most ``bucket_size`` records (or one file split).
+    record; a bucket holds at most ``bucket_size`` records (or one file split). ``size`` may give
+    a cheaper expression equal to ``size(items)`` (e.g. a match count instead of a split): the
+    prefix-sum branch then never builds the arrays.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     if bucket_cols is None:
@@ -77,7 +79,7 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
         bucket_cols = ["_bucket"]
     order_cols = [k for k in keys if k not in bucket_cols]
     sized = records.select(*dict.fromkeys([*keys, *bucket_cols]), F.col(items_col).alias("_items"),
-                           F.size(items_col).cast("long").alias("_n"))
+                           (F.size(items_col) if size is None else size).cast("long").alias("_n"))
     based = exclusive_prefix(sized, "_n", bucket_cols, order_cols)
     # posexplode_outer: no inferred size(...) > 0 filter that would recompute the arrays early.
     exploded = based.select(*keys, "total", "base", F.posexplode_outer("_items").alias("_pos", item_name))

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import lower_word_tokens, space_tokens
+from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens
 from quarry.operators import count_windows, counting, graph, ordering, relational
 from quarry.plans import inputs
 from quarry.sources import text as src
@@ -40,14 +40,15 @@ def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents", spread=True).select(
-        "doc_id", lower_word_tokens("text").alias("words"))
-    return count_windows.word_window_topk(docs, "doc_id", "words", WINDOW, K)
+        "doc_id", lower_word_tokens("text").alias("words"), lower_word_count("text").alias("n_words"))
+    return count_windows.word_window_topk(docs, "doc_id", "words", WINDOW, K, size=F.col("n_words"))
 
 
 def bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.document_line_arrays(spark, sf_dir).select(
-        "doc_id", F.flatten(F.transform("lines", lambda line: space_tokens(line))).alias("tokens"))
-    return count_windows.bigram_window_topk(docs, "doc_id", "tokens", WINDOW, K)
+        "doc_id", F.flatten(F.transform("lines", lambda line: space_tokens(line))).alias("tokens"),
+        F.aggregate("lines", F.lit(0).cast("long"), lambda acc, line: acc + space_token_count(line)).alias("n_tokens"))
+    return count_windows.bigram_window_topk(docs, "doc_id", "tokens", WINDOW, K, size=F.col("n_tokens"))
 
 
 # --- streams ----------------------------------------------------------------------------------

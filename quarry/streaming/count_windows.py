@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import SENTENCE_MARK, classify_token
+from quarry.functions.text import kept_tokens, pairs_of_kept
 from quarry.session import scratch_path
 
 WINDOW_SIZE = 1000
@@ -58,15 +58,11 @@ def bigram_window_topk_stream(items: DataFrame, ordinal: str = "ordinal", token:
     per_window = items.groupBy(_window_of(ordinal, window_size)).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.collect_list(F.struct(F.col(ordinal).alias("o"), F.col(token).alias("t"))).alias("_toks"))
-    ordered = F.transform(F.array_sort(F.col("_toks")), lambda s: classify_token(s["t"]))
-    kept = F.filter(ordered, lambda c: c.isNotNull())
-    nxt = F.slice(kept, 2, F.greatest(F.size(kept), F.lit(1)))
-    pairs = F.filter(
-        F.zip_with(kept, nxt, lambda a, b: F.struct(a.alias("w1"), b.alias("w2"))),
-        lambda p: p["w2"].isNotNull() & (p["w1"] != SENTENCE_MARK) & (p["w2"] != SENTENCE_MARK),
-    )
-    return per_window.filter(F.col("n_items") == window_size).select(
-        "window_id", _counted_top(pairs, k, ["w1", "w2"]).alias("top"))
+    ordered = F.transform(F.array_sort(F.col("_toks")), lambda s: s["t"])
+    full = per_window.filter(F.col("n_items") == window_size)
+    kept = full.select("window_id", kept_tokens(ordered).alias("_kept"))
+    pairs = kept.select("window_id", pairs_of_kept("_kept").alias("_pairs"))
+    return pairs.select("window_id", _counted_top(F.col("_pairs"), k, ["w1", "w2"]).alias("top"))
 
 
 def explode_top(df: DataFrame, names: list[str]) -> DataFrame:

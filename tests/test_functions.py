@@ -123,3 +123,12 @@ def test_triangle_blocks_split_hot_vertices(spark):
     und = graph.simple_undirected(src.parse_edges(lines_df(spark, lines)))
     assert graph.triangles(und, block=2).count() == 84  # C(9, 3)
     assert graph.triangles(und, block=1000).count() == 84
+
+
+def test_cheap_counts_equal_array_sizes(spark):
+    vals = ["", " ", "a", "a b ", " a  b", "x y z", "It's  Über-cool, 42_x!", "   ", "a   "]
+    df = lines_df(spark, vals)
+    rows = df.select(F.size(T.space_tokens("value")), T.space_token_count("value"),
+                     F.size(T.lower_word_tokens("value")), T.lower_word_count("value")).collect()
+    for r in rows:
+        assert r[0] == r[1] and r[2] == r[3]
