@@ -18,6 +18,7 @@ from quarry.operators import count_windows, counting, graph, ordering, relationa
 from quarry.plans import inputs
 from quarry.sources import text as src
 from quarry.streaming import count_windows as stream_windows
+from quarry.streaming import stateful_windows
 
 K = 10
 WINDOW = 1000
@@ -60,6 +61,22 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as a stream; the event id is the position; one appended report per full window."""
+    items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
+                                               F.expr(inputs.STREAM_WORD_SQL).alias("word"))
+    return stateful_windows.run_to_files(
+        stateful_windows.word_window_topk_stateful(items, window_size=WINDOW, k=K), spark, "stream-words")
+
+
+def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
+                                               F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
+    return stateful_windows.run_to_files(
+        stateful_windows.bigram_window_topk_stateful(items, window_size=WINDOW, k=K), spark, "stream-bigrams")
+
+
+def stream_word_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JVM-only variant: complete-mode aggregate with array top-k, for bounded runs."""
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_WORD_SQL).alias("word"))
     out = stream_windows.run_available(stream_windows.word_window_topk_stream(items, window_size=WINDOW, k=K),
@@ -67,7 +84,7 @@ def stream_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream_windows.explode_top(out, ["word"])
 
 
-def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_bigram_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
     out = stream_windows.run_available(stream_windows.bigram_window_topk_stream(items, window_size=WINDOW, k=K),
@@ -192,6 +209,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bigram_window_topk": bigram_window_topk,
     "stream_word_window_topk": stream_word_window_topk,
     "stream_bigram_window_topk": stream_bigram_window_topk,
+    "stream_word_window_topk_arrays": stream_word_window_topk_arrays,
+    "stream_bigram_window_topk_arrays": stream_bigram_window_topk_arrays,
     "kv_parse": kv_parse,
     "delimited_typed_scan": delimited_typed_scan,
     "positional_project": positional_project,

@@ -55,3 +55,19 @@ def test_tuple_and_tab_text(spark):
     writers.write_tab_text(df, os.path.join(base, "tsv"), num_files=2, order=["n"])
     got = sorted(r.value for r in spark.read.text(os.path.join(base, "tsv")).collect())
     assert got == ["1\tb\t2.5", "3\ta\t"]
+
+
+def test_stateful_stream_windows_equal_batch(spark):
+    from quarry.streaming import stateful_windows as sw
+
+    events = inputs.table(spark, SF, "events")
+    stream = spark.readStream.schema(events.schema).option("pathGlobFilter", "events*.parquet").parquet(SF)
+    words = stream.select(F.col("event_id").alias("ordinal"), F.expr(inputs.STREAM_WORD_SQL).alias("word"))
+    got = sw.run_to_files(sw.word_window_topk_stateful(words, window_size=100, k=10), spark, "t_sw")
+    records = events.select("event_id", F.array(F.expr(inputs.STREAM_WORD_SQL)).alias("w"))
+    assert _rows(got) == _rows(count_windows.word_window_topk(records, "event_id", "w", 100, 10))
+
+    toks = stream.select(F.col("event_id").alias("ordinal"), F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
+    got = sw.run_to_files(sw.bigram_window_topk_stateful(toks, window_size=100, k=10), spark, "t_sb")
+    records = events.select("event_id", F.array(F.expr(inputs.STREAM_TOKEN_SQL)).alias("t"))
+    assert _rows(got) == _rows(count_windows.bigram_window_topk(records, "event_id", "t", 100, 10))
