@@ -46,14 +46,16 @@ def word_window_topk(records: DataFrame, id_col: str | list[str], words_col: str
     return ranked.select("window_id", "rank", "word", "n")
 
 
-def window_bigrams(items: DataFrame, token_col: str = "token") -> DataFrame:
+def window_bigrams(items: DataFrame, token_col: str = "token", lowercase: bool = True) -> DataFrame:
     """Bigrams inside each window from positioned raw tokens ``(window_id, ordinal, token)``.
 
     Tokens are classified (word / sentence end / skipped); a word pairs with the previous kept
     token of the same window if that was a word. Pairs cross record and line boundaries but
-    never window boundaries. Window groups hold at most N rows each.
+    never window boundaries. Window groups hold at most N rows each. ``lowercase=False`` when the
+    tokens come from already lower-cased text (one pass per text instead of one per token).
     """
-    kept = items.select("window_id", "ordinal", classify_token(token_col).alias("c")).filter(F.col("c").isNotNull())
+    kept = (items.select("window_id", "ordinal", classify_token(token_col, lowercase).alias("c"))
+            .filter(F.col("c").isNotNull()))
     w = Window.partitionBy("window_id").orderBy("ordinal")
     paired = kept.select("window_id", F.lag("c").over(w).alias("w1"), F.col("c").alias("w2"))
     return paired.filter(
@@ -72,13 +74,15 @@ def window_tokens(records: DataFrame, id_col: str | list[str], tokens_col: str,
 
 def bigram_window_topk(records: DataFrame, id_col: str | list[str], tokens_col: str,
                        window_size: int = WINDOW_SIZE, k: int = TOP_K, bucket_size: int = DEFAULT_BUCKET_SIZE,
-                       bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
+                       bucket_cols: list[str] | None = None, size: Column | None = None,
+                       lowercase: bool = True) -> DataFrame:
     """Top ``k`` bigrams of every full window of ``window_size`` raw tokens.
 
     Output ``(window_id, rank, w1, w2, n)``; ties by (w1, w2). The lag window, the count and the
     top-k all cluster on ``window_id``, so the tokens are shuffled once.
     """
-    pairs = window_bigrams(window_tokens(records, id_col, tokens_col, window_size, bucket_size, bucket_cols, size))
+    toks = window_tokens(records, id_col, tokens_col, window_size, bucket_size, bucket_cols, size)
+    pairs = window_bigrams(toks, lowercase=lowercase)
     counts = pairs.groupBy("window_id", "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
     order = [F.col("n").desc(), F.col("w1").asc(), F.col("w2").asc()]
     return top_k_per_group(counts, ["window_id"], order, k).select("window_id", "rank", "w1", "w2", "n")

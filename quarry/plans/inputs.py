@@ -47,9 +47,10 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode(text_lines("text")).alias("value"))
 
 
-def document_line_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(doc_id, lines)`` keeping the line order of each document."""
-    return table(spark, sf_dir, "documents", spread=True).select("doc_id", text_lines("text").alias("lines"))
+def document_line_arrays(spark: SparkSession, sf_dir: str, lowercase: bool = False) -> DataFrame:
+    """``(doc_id, lines)`` keeping the line order of each document (optionally lower-cased)."""
+    text = F.lower(F.col("text")) if lowercase else F.col("text")
+    return table(spark, sf_dir, "documents", spread=True).select("doc_id", text_lines(text).alias("lines"))
 
 
 # Trace lines: "time connection_id source_ip > destination_ip protocol", one per event.

@@ -46,10 +46,13 @@ def word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.document_line_arrays(spark, sf_dir).select(
+    # Lower-casing the whole text equals lower-casing each token: it never adds or removes the
+    # blanks and line breaks that delimit tokens.
+    docs = inputs.document_line_arrays(spark, sf_dir, lowercase=True).select(
         "doc_id", F.flatten(F.transform("lines", lambda line: space_tokens(line))).alias("tokens"),
         F.aggregate("lines", F.lit(0).cast("long"), lambda acc, line: acc + space_token_count(line)).alias("n_tokens"))
-    return count_windows.bigram_window_topk(docs, "doc_id", "tokens", WINDOW, K, size=F.col("n_tokens"))
+    return count_windows.bigram_window_topk(docs, "doc_id", "tokens", WINDOW, K, size=F.col("n_tokens"),
+                                            lowercase=False)
 
 
 # --- streams ----------------------------------------------------------------------------------
