@@ -18,14 +18,19 @@ TCP_SPELLINGS = ("tcp", "TCP")
 BLOCKED = "Blocked"
 
 
-def sum_by_key(df: DataFrame, key: str, value: str, out: str = "total") -> DataFrame:
-    """``SUM(value)`` per key; NULLs skipped, an all-NULL group gives NULL; overflow fails (ANSI)."""
-    return df.groupBy(key).agg(F.sum(value).alias(out))
+def sum_by_key(df: DataFrame, key: str, value: str, out: str = "total", overflow: str = "fail") -> DataFrame:
+    """``SUM(value)`` per key; NULLs skipped, an all-NULL group gives NULL.
+
+    ``overflow="fail"`` raises on a long overflow (ANSI); ``"null"`` gives NULL for that key.
+    """
+    agg = F.sum(value) if overflow == "fail" else F.try_sum(value)
+    return df.groupBy(key).agg(agg.alias(out))
 
 
-def sum_by_key_topk(df: DataFrame, key: str, value: str, k: int = 10, out: str = "total") -> DataFrame:
+def sum_by_key_topk(df: DataFrame, key: str, value: str, k: int = 10, out: str = "total",
+                    overflow: str = "fail") -> DataFrame:
     """Top ``k`` keys by summed value, descending with NULL sums last; ties by key."""
-    sums = sum_by_key(df, key, value, out)
+    sums = sum_by_key(df, key, value, out, overflow)
     return top_k(sums, [F.col(out).desc_nulls_last(), F.col(key).asc_nulls_last()], k)
 
 
@@ -39,13 +44,20 @@ def trim_subnets(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     return df.select(*[drop_last_component(src).alias(dst) for src, dst in cols.items()])
 
 
-def distinct_count_by_key(df: DataFrame, key: str, value: str, out: str = "n_distinct") -> DataFrame:
-    """Number of distinct non-NULL values per key (NULL keys form one group)."""
-    return df.groupBy(key).agg(F.countDistinct(value).alias(out))
+def distinct_count_by_key(df: DataFrame, key: str, value: str, out: str = "n_distinct",
+                          approximate: bool = False, rsd: float = 0.01) -> DataFrame:
+    """Number of distinct non-NULL values per key (NULL keys form one group).
+
+    ``approximate`` uses HyperLogLog++ (``approx_count_distinct``): one pass, fixed-size
+    sketches per key instead of the exact two-level (key, value) aggregate.
+    """
+    agg = F.approx_count_distinct(value, rsd) if approximate else F.countDistinct(value)
+    return df.groupBy(key).agg(agg.alias(out))
 
 
-def distinct_count_topk(df: DataFrame, key: str, value: str, k: int = 10, out: str = "n_distinct") -> DataFrame:
-    counts = distinct_count_by_key(df, key, value, out)
+def distinct_count_topk(df: DataFrame, key: str, value: str, k: int = 10, out: str = "n_distinct",
+                        approximate: bool = False) -> DataFrame:
+    counts = distinct_count_by_key(df, key, value, out, approximate)
     return top_k(counts, [F.col(out).desc(), F.col(key).asc_nulls_last()], k)
 
 

@@ -33,13 +33,17 @@ def _shape(df: DataFrame, num_files: int | None, order: list | None) -> DataFram
 
 
 def write_tuple_text(df: DataFrame, path: str, mode: str = "errorifexists", num_files: int | None = None,
-                     order: list | None = None) -> None:
-    _shape(df, num_files, order).select(tuple_text(df).alias("value")).write.mode(mode).text(path)
+                     order: list | None = None, columns: list[str] | None = None) -> None:
+    """One ``(f1,f2,...)`` line per row of ``columns`` (default: all), optionally ordered."""
+    shown = df.select(*columns) if columns else df
+    _shape(df, num_files, order).select(tuple_text(shown).alias("value")).write.mode(mode).text(path)
 
 
 def write_tab_text(df: DataFrame, path: str, mode: str = "overwrite", num_files: int | None = None,
-                   order: list | None = None) -> None:
-    _shape(df, num_files, order).select(tab_text(df).alias("value")).write.mode(mode).text(path)
+                   order: list | None = None, columns: list[str] | None = None) -> None:
+    """One ``f1<TAB>f2...`` line per row of ``columns`` (default: all), optionally ordered."""
+    shown = df.select(*columns) if columns else df
+    _shape(df, num_files, order).select(tab_text(shown).alias("value")).write.mode(mode).text(path)
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", fmt: str = "parquet",

@@ -144,3 +144,35 @@ def parse_edges(lines: DataFrame, sep: str = "\t", line_col: str = "value",
         F.regexp_extract(line, pattern, 2).try_cast("long").alias("dst"),
     )
     return parsed.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+
+
+def read_key_values(spark: SparkSession, path: str) -> DataFrame:
+    """Key/value text input: ``(key, value)`` split at the first TAB."""
+    return read_lines(spark, path).select(*split_key_value("value"))
+
+
+def read_trace(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return parse_trace(read_lines(spark, path), strict=strict)
+
+
+def read_network_events(spark: SparkSession, path: str) -> DataFrame:
+    return parse_network_events(read_lines(spark, path))
+
+
+def read_verdicts(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return parse_verdicts(read_lines(spark, path), strict=strict)
+
+
+def read_repositories(spark: SparkSession, path: str, naive: bool = True, strict: bool = True) -> DataFrame:
+    """Repository CSV. ``naive`` splits on every comma (the reference's parser); otherwise
+    Spark's CSV reader with quoting picks columns 0, 1 and 12."""
+    if naive:
+        return parse_repositories(read_lines(spark, path), strict=strict)
+    raw = spark.read.option("header", "false").option("mode", "FAILFAST" if strict else "PERMISSIVE").csv(path)
+    cols = raw.columns
+    return raw.select(F.col(cols[0]).alias("name"), F.col(cols[1]).alias("language"),
+                      (F.col(cols[12]).cast("int") if strict else F.col(cols[12]).try_cast("int")).alias("stars"))
+
+
+def read_edges(spark: SparkSession, path: str, sep: str = "\t") -> DataFrame:
+    return parse_edges(read_lines(spark, path), sep=sep)
