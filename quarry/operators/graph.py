@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 ADJACENCY_CHUNK = 1024
 
@@ -98,15 +98,14 @@ def blocked_out_edges(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
     block ``pmod(xxhash64(t), nb)``. The wedge join then meets on (s, block of x, block of y), so
     a vertex's neighbour pairs are spread over ``nb^2`` tasks of about ``block^2`` pairs each
     (a single key in an ordinary join would put them all in one task). ``nb`` is 1 for almost all
-    vertices. The table is read three times, so it is cut out of the lineage with a reliable
-    checkpoint in the session's checkpoint directory.
+    vertices. The table is read three times, so it is cut out of the lineage: written once as
+    a table in the session's checkpoint directory (as are the distinct edges it is built from).
     """
-    ensure_checkpoint_dir(und.sparkSession)
-    o = oriented_edges(und.checkpoint(eager=True))
+    o = oriented_edges(materialize(und, "edges"))
     nb = o.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("nb"))
     ob = o.join(nb, "s").select(
         "s", "t", "dt", "nb", F.pmod(F.xxhash64("t"), F.col("nb")).cast("int").alias("blk"))
-    return ob.checkpoint(eager=True)
+    return materialize(ob, "oriented-edges")
 
 
 def triangles(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:

@@ -61,3 +61,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as parquet under the checkpoint folder and reading it back.
+
+    Same guarantee as a reliable checkpoint (survives executor loss, never recomputed or
+    re-sampled), but columnar and compressed; AQE sees the exact size of what is read back.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, f"table-{name}")
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)

@@ -130,18 +130,21 @@ def parse_edges(lines: DataFrame, sep: str = "\t", line_col: str = "value",
     """Edge list: exactly two ``Long.parseLong`` fields, anything else dropped (as a NULL edge).
 
     Java's split drops trailing empty fields, so ``1<TAB>2<TAB>`` is an edge and
-    ``1<TAB>2<TAB>3`` is not: one anchored regex decides, two group extractions read the ids
+    ``1<TAB>2<TAB>3`` is not: one anchored regex decides, a split on the separator reads the ids
     (an id beyond the long range fails ``try_cast`` and is dropped, as ``parseLong`` would fail).
     """
     import re
 
     s = re.escape(sep)
-    pattern = f"^([+-]?[0-9]+){s}([+-]?[0-9]+)(?:{s})*\\z"
+    pattern = f"^[+-]?[0-9]+{s}[+-]?[0-9]+(?:{s})*\\z"
     line = F.col(line_col)
+    # One anchored regex validates the whole line; the ids then come from a split on the
+    # separator (a plain character split when it is one literal character).
+    parts = F.split(line, s, -1)
     parsed = lines.filter(line.rlike(pattern)).select(
         *(keep or []),
-        F.regexp_extract(line, pattern, 1).try_cast("long").alias("src"),
-        F.regexp_extract(line, pattern, 2).try_cast("long").alias("dst"),
+        parts.getItem(0).try_cast("long").alias("src"),
+        parts.getItem(1).try_cast("long").alias("dst"),
     )
     return parsed.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
 
