@@ -132,3 +132,12 @@ def test_cheap_counts_equal_array_sizes(spark):
                      F.size(T.lower_word_tokens("value")), T.lower_word_count("value")).collect()
     for r in rows:
         assert r[0] == r[1] and r[2] == r[3]
+
+
+def test_word_classification_java_rules(spark):
+    toks = ["dog.", "42", ",", "", "été", "a\u2028b", "x\u0085", "Ab-c!", "?"]
+    df = lines_df(spark, toks)
+    got = [r[0] for r in df.select(T.classify_token("value")).collect()]
+    assert got == ["dog", None, None, None, "t", None, None, "abc", "|"]  # U+2028 is not matched by "."
+    anchored = [r[0] for r in df.select(F.col("value").rlike(T.WORD_TOKEN)).collect()]
+    assert anchored == [r[0] for r in df.select(T.is_word("value")).collect()]
