@@ -68,21 +68,25 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
     e.g. ``["_file", "_split"]`` with a row id as key. Also returns ``total``, the number of
     items in the whole input.
 
-    The item arrays are computed once, before the one shuffle by bucket, and travel with their
-    record; a bucket holds at most ``bucket_size`` records (or one file split). ``size`` may give
-    a cheaper expression equal to ``size(items)`` (e.g. a match count instead of a split): the
-    prefix-sum branch then never builds the arrays.
+    Only narrow rows (key, bucket, size) go through the prefix-sum shuffle; the item arrays
+    stay where they are and meet their base by key (a broadcast of the bases when AQE finds them
+    small, else a shuffle balanced by record). Give ``size`` (an expression equal to
+    ``size(items)`` that is cheaper, e.g. a match count) so the sizes do not rebuild the arrays.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     if bucket_cols is None:
         records = records.withColumn("_bucket", id_bucket(keys[0], bucket_size))
         bucket_cols = ["_bucket"]
     order_cols = [k for k in keys if k not in bucket_cols]
-    sized = records.select(*dict.fromkeys([*keys, *bucket_cols]), F.col(items_col).alias("_items"),
+    sizes = records.select(*dict.fromkeys([*keys, *bucket_cols]),
                            (F.size(items_col) if size is None else size).cast("long").alias("_n"))
-    based = exclusive_prefix(sized, "_n", bucket_cols, order_cols)
-    # posexplode_outer: no inferred size(...) > 0 filter that would recompute the arrays early.
-    exploded = based.select(*keys, "total", "base", F.posexplode_outer("_items").alias("_pos", item_name))
+    bases = exclusive_prefix(sizes, "_n", bucket_cols, order_cols).select(*keys, "base", "total")
+    # posexplode_outer: no inferred size(...) > 0 filter that would rebuild the arrays early.
+    exploded = (
+        records.select(*keys, F.col(items_col).alias("_items"))
+        .join(bases, keys)
+        .select(*keys, "total", "base", F.posexplode_outer("_items").alias("_pos", item_name))
+    )
     return (
         exploded.filter(F.col("_pos").isNotNull())
         .select(*keys, (F.col("base") + F.col("_pos")).alias("ordinal"), item_name, "total")
