@@ -47,9 +47,19 @@ def exclusive_prefix(sizes: DataFrame, size_col: str, bucket_cols: list[str], or
     totals both read that one exchange (Spark reuses it), so the sizes are computed once.
     """
     part = sizes.repartition(*bucket_cols)
-    inside = Window.partitionBy(*bucket_cols).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    within = part.withColumn("_inner_base", F.coalesce(F.sum(size_col).over(inside), F.lit(0)))
-    offsets = bucket_offsets(part, size_col, bucket_cols).withColumnRenamed("total", total_col)
+    spec = Window.partitionBy(*bucket_cols).orderBy(*order_cols)
+    # Running sum and bucket total share one window spec (one sort of the bucket), and the bucket
+    # table is derived from that same output, so both readers need the same shuffle input.
+    within = part.select(
+        "*",
+        F.coalesce(F.sum(size_col).over(spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        .alias("_inner_base"),
+        F.sum(size_col).over(spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+        .alias("_in_bucket"),
+    )
+    per_bucket = within.groupBy(*bucket_cols).agg(F.max("_in_bucket").alias(size_col))
+    offsets = bucket_offsets(per_bucket, size_col, bucket_cols).withColumnRenamed("total", total_col)
+    within = within.drop("_in_bucket")
     return (
         within.join(offsets, bucket_cols)
         .withColumn(base_col, (F.col("_bucket_base") + F.col("_inner_base")).cast("long"))
