@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import drop_last_component
+from quarry.operators.joins import salted_join
 from quarry.operators.topk import top_k
 
 # Fixed values of the queries.
@@ -75,15 +76,20 @@ def blocked_verdicts(verdicts: DataFrame, case_sensitive: bool = False) -> DataF
 
 
 def firewall_log(trace: DataFrame, verdicts: DataFrame, case_sensitive: bool = False,
-                 sort: bool = True) -> DataFrame:
+                 sort: bool = True, hot_rows: int | None = None) -> DataFrame:
     """Trace records joined with blocking verdicts on ``connection_id``, ordered by time.
 
     The action filter runs before the join (on the verdict side). Inner join: NULL ids never
     match and duplicate ids multiply. AQE picks broadcast or sort-merge from runtime sizes and
-    splits skewed connection ids.
+    splits skewed connection ids; with ``hot_rows`` set, connection ids with more trace rows than
+    that are split explicitly (``joins.salted_join``).
     """
     blocked = blocked_verdicts(verdicts, case_sensitive).select("connection_id", "action")
-    log = trace.select("time", "connection_id", "source_ip", "destination_ip").join(blocked, "connection_id")
+    records = trace.select("time", "connection_id", "source_ip", "destination_ip")
+    if hot_rows is None:
+        log = records.join(blocked, "connection_id")
+    else:
+        log = salted_join(records, blocked, "connection_id", hot_rows=hot_rows)
     log = log.select("time", "connection_id", "source_ip", "destination_ip", "action")
     return log.orderBy("time", "connection_id", "source_ip", "destination_ip") if sort else log
 

@@ -141,3 +141,19 @@ def test_word_classification_java_rules(spark):
     assert got == ["dog", None, None, None, "t", None, None, "abc", "|"]  # U+2028 is not matched by "."
     anchored = [r[0] for r in df.select(F.col("value").rlike(T.WORD_TOKEN)).collect()]
     assert anchored == [r[0] for r in df.select(T.is_word("value")).collect()]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from quarry.operators.joins import salted_join
+
+    trace = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 50).cast("int").alias("connection_id"),
+        F.col("id").cast("string").alias("time"), F.lit("10.0.0.1.5").alias("source_ip"),
+        F.lit("10.0.0.2.80").alias("destination_ip"))
+    verdicts = spark.createDataFrame([(7, "Blocked"), (7, "blocked"), (3, "Blocked"), (99, "Blocked")],
+                                     "connection_id int, action string")
+    plain = sorted(map(tuple, relational.firewall_log(trace, verdicts, sort=False).collect()))
+    salted = sorted(map(tuple, relational.firewall_log(trace, verdicts, sort=False, hot_rows=100).collect()))
+    assert plain == salted and len(plain) > 2000
+    left = salted_join(trace, verdicts, "connection_id", "left", hot_rows=100, salts=8)
+    assert left.count() == trace.join(verdicts, "connection_id", "left").count()
