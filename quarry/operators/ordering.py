@@ -3,8 +3,8 @@
 The sort itself is Spark's range-partitioned sort (sampled split points, like a total-order
 partitioner). A dense rank needs the row count of every earlier partition. We tag rows with
 ``monotonically_increasing_id`` (partition index in the high bits) right after the sort, cut the
-lineage with a reliable ``checkpoint`` so that a recomputation cannot re-sample different split
-points, count rows per partition (one row per partition) and add the running offset.
+lineage by writing that table once to the checkpoint folder (so a recomputation cannot re-sample
+different split points), count rows per partition (one row per partition) and add the offset.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.text import first_char_bucket
-from quarry.session import ensure_checkpoint_dir
+from quarry.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index in partition
 
@@ -37,10 +37,8 @@ def sorted_by_range(df: DataFrame, order: list, num_partitions: int | None = Non
 def with_global_rank(df: DataFrame, order: list, rank_col: str = "rank",
                      num_partitions: int | None = None) -> DataFrame:
     """Sort globally and add a dense 1-based rank in that order (ties broken by ``order``)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     tagged = sorted_by_range(df, order, num_partitions).withColumn("_mid", F.monotonically_increasing_id())
-    tagged = tagged.checkpoint(eager=True)
+    tagged = materialize(tagged, "ranked-sort")
     part = F.shiftright(F.col("_mid"), _ROW_BITS)
     counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(
