@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarry.functions import text as T
 from quarry.operators import counting
 
-ALPHABET = [" ", " ", "\t", "\n", "\u000b", "\f", "\r", "a", "B", "z", "1", ".", "?", "!", ",", "-", "é", "_"]
+ALPHABET = [" ", " ", "\t", "\n", "\u000b", "\f", "\r", "a", "B", "z", "1", ".", "?", "!", ",", "-", "é", "_", "\u2028", "\x85"]
 
 
 def _strings(n=400, seed=7):
