@@ -3,8 +3,9 @@
 Triangles are enumerated with the degree ordering of Suri & Vassilvitskii ("Counting triangles
 and the curse of the last reducer", WWW 2011): every edge points from the endpoint of lower
 (degree, id) to the higher one, so a vertex pairs only its out-neighbours, of which there are at
-most sqrt(2m). A hub (high degree) gets almost no out-edges, which removes the quadratic hot group.
-Each triangle is found once, at its lowest-ranked vertex, then closed by a semi-join.
+most sqrt(2m). A hub (high degree) gets almost no out-edges, which removes the quadratic hot group;
+a vertex with many out-neighbours is further split into blocks. Each triangle is found once, at
+its lowest-ranked vertex, then closed by a semi-join.
 """
 
 from __future__ import annotations
@@ -88,16 +89,16 @@ def oriented_edges(und: DataFrame) -> DataFrame:
     )
 
 
-WEDGE_BLOCK = 4096
+WEDGE_BLOCK = 1024
 
 
 def blocked_out_edges(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
     """Oriented edges with out-neighbour blocks: ``(s, t, dt, nb, blk)``, checkpointed.
 
     A vertex with ``d`` out-neighbours gets ``nb = ceil(d / block)`` blocks and each neighbour the
-    block ``pmod(xxhash64(t), nb)``. The wedge join then meets on (s, block of x, block of y), so
-    a vertex's neighbour pairs are spread over ``nb^2`` tasks of about ``block^2`` pairs each
-    (a single key in an ordinary join would put them all in one task). ``nb`` is 1 for almost all
+    block ``pmod(xxhash64(t), nb)``. Wedges are then made per block (pairs inside one block
+    array) and per pair of blocks, so a vertex's neighbour pairs are spread over about ``nb^2/2``
+    rows of at most about ``block^2`` pairs each instead of one task. ``nb`` is 1 for almost all
     vertices. The table is read three times, so it is cut out of the lineage: written once as
     a table in the session's checkpoint directory (as are the distinct edges it is built from).
     """
@@ -108,6 +109,37 @@ def blocked_out_edges(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
     return materialize(ob, "oriented-edges")
 
 
+def _ranked(e) -> object:
+    return F.struct(e["dt"].alias("dt"), e["t"].alias("t"))
+
+
+def wedges(ob: DataFrame) -> DataFrame:
+    """``(s, x, y)``: each pair of out-neighbours of ``s`` once, ``x`` before ``y`` in rank.
+
+    Out-neighbours of one (vertex, block) are gathered into an array sorted by rank (at most
+    about ``block`` entries) and paired by index (``i < j``), so no pair is made twice or thrown
+    away. Pairs across two blocks of the same vertex (only vertices with ``nb > 1``) come from a
+    join of the block arrays on the vertex.
+    """
+    blocks = ob.groupBy("s", "blk", "nb").agg(F.array_sort(F.collect_list(F.struct("dt", "t"))).alias("arr"))
+    n = F.size("arr")
+    inside = blocks.select("s", F.explode(F.flatten(F.transform(
+        F.sequence(F.lit(1), n),
+        lambda i: F.transform(F.slice("arr", i + 1, n), lambda v: F.struct(
+            F.element_at("arr", i)["t"].alias("x"), v["t"].alias("y"))),
+    ))).alias("p")).select("s", "p.x", "p.y")
+    multi = blocks.filter(F.col("nb") > 1).select("s", "blk", "arr")
+    a, b = multi.alias("a"), multi.alias("b")
+    cross = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.blk") < F.col("b.blk"))).select(
+        F.col("a.s").alias("s"),
+        F.explode(F.flatten(F.transform(F.col("a.arr"), lambda u: F.transform(F.col("b.arr"), lambda v: F.when(
+            (u["dt"] < v["dt"]) | ((u["dt"] == v["dt"]) & (u["t"] < v["t"])),
+            F.struct(u["t"].alias("x"), v["t"].alias("y")),
+        ).otherwise(F.struct(v["t"].alias("x"), u["t"].alias("y"))))))).alias("p"),
+    ).select("s", "p.x", "p.y")
+    return inside.unionByName(cross)
+
+
 def triangles(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
     """Every triangle once as ``(a, b, c)`` with ``a < b < c`` (ids).
 
@@ -115,13 +147,8 @@ def triangles(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
     then id); a left-semi join keeps the wedges whose closing edge ``x -> y`` exists.
     """
     ob = blocked_out_edges(und, block)
-    span = F.explode(F.sequence(F.lit(0), F.col("nb") - 1))
-    x = ob.select("s", F.col("t").alias("x"), F.col("dt").alias("dx"), F.col("blk").alias("bx"), span.alias("by"))
-    y = ob.select("s", F.col("t").alias("y"), F.col("dt").alias("dy"), F.col("blk").alias("by"), span.alias("bx"))
-    before = (F.col("dx") < F.col("dy")) | ((F.col("dx") == F.col("dy")) & (F.col("x") < F.col("y")))
-    wedges = x.join(y, ["s", "bx", "by"]).filter(before).select("s", "x", "y")
     closing = ob.select(F.col("s").alias("x"), F.col("t").alias("y"))
-    tri = wedges.join(closing, ["x", "y"], "left_semi")
+    tri = wedges(ob).join(closing, ["x", "y"], "left_semi")
     vs = F.array("s", "x", "y")
     return tri.select(F.array_min(vs).alias("a"),
                       F.element_at(F.array_sort(vs), 2).alias("b"),
