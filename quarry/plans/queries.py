@@ -57,6 +57,18 @@ def bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------------------------
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A child session (same SparkContext, own SQL conf) whose shuffle-partition count sets the
+    number of state partitions of the streams started from it (fixed at a stream's first start).
+    One per core suits these bounded runs; the caller's session conf is left untouched."""
+    child = spark.newSession()
+    try:
+        child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    except Exception:  # no SparkContext (Spark Connect): keep the inherited setting
+        pass
+    return child
+
+
 def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = spark.read.parquet(inputs.table_path(sf_dir, "events")).schema
     # A file stream watches a directory; the glob picks the table's files in it.
@@ -65,6 +77,7 @@ def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a stream; the event id is the position; one appended report per full window."""
+    spark = _stream_session(spark)
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_WORD_SQL).alias("word"))
     return stateful_windows.run_to_files(
@@ -72,6 +85,7 @@ def stream_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _stream_session(spark)
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
     return stateful_windows.run_to_files(
@@ -80,6 +94,7 @@ def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_word_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JVM-only variant: complete-mode aggregate with array top-k, for bounded runs."""
+    spark = _stream_session(spark)
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_WORD_SQL).alias("word"))
     out = stream_windows.run_available(stream_windows.word_window_topk_stream(items, window_size=WINDOW, k=K),
@@ -88,6 +103,7 @@ def stream_word_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFram
 
 
 def stream_bigram_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _stream_session(spark)
     items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
                                                F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
     out = stream_windows.run_available(stream_windows.bigram_window_topk_stream(items, window_size=WINDOW, k=K),
