@@ -84,6 +84,12 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
     ``size(items)`` that is cheaper, e.g. a match count) so the sizes do not rebuild the arrays.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
+    # A record without a key has no place in the order: drop it before sizes are counted, so
+    # positions stay dense (it would otherwise be counted and then lost in the key join).
+    has_key = F.col(keys[0]).isNotNull()
+    for k in keys[1:]:
+        has_key = has_key & F.col(k).isNotNull()
+    records = records.filter(has_key)
     if bucket_cols is None:
         records = records.withColumn("_bucket", id_bucket(keys[0], bucket_size))
         bucket_cols = ["_bucket"]

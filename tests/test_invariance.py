@@ -40,3 +40,15 @@ def test_small_bucket_ordinals_match_default(spark):
     ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
     assert ra == rb
     assert [r[0] for r in ra] == list(range(len(ra)))
+
+
+def test_ordinals_skip_null_keys(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.ordinals import explode_with_ordinals
+
+    df = spark.createDataFrame([(0, ["a", "b"]), (None, ["x"]), (5, ["c"]), (2, [])], "id long, w array<string>")
+    rows = sorted(tuple(r) for r in explode_with_ordinals(df, "id", "w", bucket_size=2)
+                  .select("ordinal", "item", "total").collect())
+    assert rows == [(0, "a", 3), (1, "b", 3), (2, "c", 3)]
+    assert F is not None
