@@ -84,18 +84,19 @@ def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_c
     ``size(items)`` that is cheaper, e.g. a match count) so the sizes do not rebuild the arrays.
     """
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    # A record without a key has no place in the order: drop it before sizes are counted, so
-    # positions stay dense (it would otherwise be counted and then lost in the key join).
+    # A record without a key has no place in the order: it counts 0 items in the prefix sums and
+    # the key join below drops it, so positions stay dense. (A filter here would change how Spark
+    # places the array work and reuses exchanges; the size guard does not.)
     has_key = F.col(keys[0]).isNotNull()
     for k in keys[1:]:
         has_key = has_key & F.col(k).isNotNull()
-    records = records.filter(has_key)
     if bucket_cols is None:
         records = records.withColumn("_bucket", id_bucket(keys[0], bucket_size))
         bucket_cols = ["_bucket"]
     order_cols = [k for k in keys if k not in bucket_cols]
     sizes = records.select(*dict.fromkeys([*keys, *bucket_cols]),
-                           (F.size(items_col) if size is None else size).cast("long").alias("_n"))
+                           F.when(has_key, F.size(items_col) if size is None else size)
+                           .otherwise(F.lit(0)).cast("long").alias("_n"))
     bases = exclusive_prefix(sizes, "_n", bucket_cols, order_cols).select(*keys, "base", "total")
     # posexplode_outer: no inferred size(...) > 0 filter that would rebuild the arrays early.
     exploded = (
