@@ -94,3 +94,16 @@ def test_table_programs(spark):
     out = _out("dst")
     programs.distinct_destinations_top_k(spark, net, out)
     assert _text(spark, out) == ["10.0.0.1\t2", "10.0.0.2\t1"]
+
+
+def test_repository_csv_naive_and_quoted(spark):
+    from quarry.sources import text as src
+
+    fields = ["x"] * 10
+    line_quoted = ",".join(['"a,b"', "py"] + fields + ["7"])
+    line_plain = ",".join(["c", "go"] + fields + ["3"])
+    path = _write([line_quoted, line_plain])
+    quoted = sorted(tuple(r) for r in src.read_repositories(spark, path, naive=False).collect())
+    assert quoted == [("a,b", "py", 7), ("c", "go", 3)]
+    naive = sorted(tuple(r) for r in src.read_repositories(spark, path, naive=True, strict=False).collect())
+    assert naive == [('"a', 'b"', None), ("c", "go", 3)]  # the comma inside quotes shifts fields
