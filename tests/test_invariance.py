@@ -52,3 +52,17 @@ def test_ordinals_skip_null_keys(spark):
                   .select("ordinal", "item", "total").collect())
     assert rows == [(0, "a", 3), (1, "b", 3), (2, "c", 3)]
     assert F is not None
+
+
+def test_global_rank_dense_with_duplicates(spark):
+    from pyspark.sql import functions as F
+
+    from quarry.operators.ordering import with_global_rank
+
+    df = spark.range(0, 5000).select((F.col("id") % 3).cast("string").alias("key"),
+                                     F.lit("v").alias("value"))  # three keys, one third each
+    ranked = with_global_rank(df, ["key", "value"], num_partitions=10)
+    rows = sorted((r["rank"], r.key) for r in ranked.collect())
+    assert [r for r, _ in rows] == list(range(1, 5001))
+    keys = [k for _, k in rows]
+    assert keys == sorted(keys)
