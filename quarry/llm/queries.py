@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import langid, packing, quality, simhash
+from quarry.llm import langid, packing, quality, simhash, substring
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,10 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_documents(spark, sf_dir))
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.deduplicate(_documents(spark, sf_dir))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER)
 
@@ -36,6 +40,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op8_language_id": op8_language_id,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
 }
 

@@ -27,7 +27,8 @@ from quarry.llm.components import connected_components, materialised
 from quarry.llm.textbatch import chunks
 
 SHINGLE_WORDS, MAX_BITS = 3, 3
-BLOCK_BITS = 10
+#: Fingerprints that a block of the variants' high bits holds on average; the width of the block follows from their number.
+BLOCK_ROWS = 20_000
 #: Variants that a task spells out at once.
 VARIANTS_AT_ONCE = 2_000_000
 
@@ -90,12 +91,16 @@ def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[label[own]], nodes[own]
 
 
-def links(fps: DataFrame, max_bits: int = MAX_BITS, block_bits: int = BLOCK_BITS) -> DataFrame:
+def links(fps: DataFrame, max_bits: int = MAX_BITS, block_bits: int | None = None) -> DataFrame:
     """Edges (a, b) between distinct fingerprints of column ``fp`` that connect all pairs within ``max_bits``.
 
     Every edge is checked to be within ``max_bits``; a pair may be connected over a third fingerprint. The block
-    width sets how finely the variants are dealt out (2**block_bits keys), not the result.
+    width sets how finely the variants are dealt out (2**block_bits keys), not the result; it follows from the number
+    of distinct fingerprints, so that a block fits a task at any size.
     """
+    distinct = fps.select("fp").distinct()
+    if block_bits is None:
+        block_bits = min(32, max(8, (distinct.count() * 32 // BLOCK_ROWS).bit_length()))
     near_flips, odd = max_bits // 2, max_bits % 2 == 1
     far_flips = near_flips + odd
     high = _masks(range(64 - block_bits, 64), far_flips)
@@ -158,20 +163,18 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, block_bits: int = BLOCK_BITS
         a, b = _forest(a, b)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    distinct = fps.select("fp").distinct()
     return distinct.mapInArrow(deal, "block int, fp bigint, used tinyint").groupBy("block").applyInArrow(meet, "a bigint, b bigint").distinct()
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, block_bits: int) -> DataFrame:
-    """id, ``_key`` (hash of the text), ``fp`` and ``component`` (smallest fingerprint reachable) of every row."""
+def _labelled(docs: DataFrame, id_col: str, text_col: str, shingle_words: int, max_bits: int, block_bits: int | None) -> tuple[DataFrame, DataFrame]:
+    """id, ``_key`` (hash of the text) and ``fp`` of every row; ``component`` (smallest fingerprint reachable) of each linked ``fp``."""
     keyed = docs.select(F.col(id_col), F.col(text_col), F.xxhash64(text_col).alias("_key"))
     fps = materialised(fingerprints(keyed, id_col, text_col, shingle_words, ["_key"]))
-    label = connected_components(materialised(links(fps, max_bits, block_bits)))
-    return fps.join(label.withColumnRenamed("node", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    return fps, connected_components(materialised(links(fps, max_bits, block_bits))).withColumnRenamed("node", "fp")
 
 
 def near_duplicates(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block_bits: int = BLOCK_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block_bits: int | None = None
 ) -> DataFrame:
     """One row per row of ``docs``: id, ``fingerprint`` (16 hex digits), ``component_id``.
 
@@ -180,21 +183,25 @@ def near_duplicates(
     ids are each returned. A null id is kept and is never the smallest, unless all ids of its component are null: then
     the component id is null. Other columns are ignored. An empty table gives an empty result.
     """
-    rows = _labelled(docs, id_col, text_col, shingle_words, max_bits, block_bits)
-    root = rows.groupBy("component").agg(F.min(id_col).alias("component_id"))
-    return rows.join(root, "component").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    fps, label = _labelled(docs, id_col, text_col, shingle_words, max_bits, block_bits)
+    groups = fps.groupBy("fp").agg(F.min(id_col).alias("least")).join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    root = groups.groupBy("component").agg(F.min("least").alias("component_id"))
+    of = materialised(groups.join(root, "component").select("fp", "component_id"))  # one row a fingerprint: copies are joined last, where a hot key can be split
+    return fps.join(of, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_one_of_each_group(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block_bits: int = BLOCK_BITS
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = SHINGLE_WORDS, max_bits: int = MAX_BITS, block_bits: int | None = None
 ) -> DataFrame:
     """The documents with one of each group of near duplicates: the smallest id (nulls last), then the smallest text hash.
 
     All columns of ``docs`` are kept. Of rows that repeat the same id and text one stays; if they differ in other
     columns, which of them is left open.
     """
-    rows = _labelled(docs, id_col, text_col, shingle_words, max_bits, block_bits)
-    best = rows.groupBy("component").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("_id"), F.col("_key"))).alias("b")).select("b._id", "b._key")
+    fps, label = _labelled(docs, id_col, text_col, shingle_words, max_bits, block_bits)
+    first = fps.groupBy("fp").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("_id"), F.col("_key"))).alias("b"))
+    groups = first.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
+    best = groups.groupBy("component").agg(F.min("b").alias("b")).select("b._id", "b._key")
     keyed = docs.withColumn("_key_of_text", F.xxhash64(text_col))
     match = keyed[id_col].eqNullSafe(best["_id"]) & (keyed["_key_of_text"] == best["_key"])
     return keyed.join(best, match, "left_semi").dropDuplicates([id_col, "_key_of_text"]).drop("_key_of_text")
