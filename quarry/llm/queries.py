@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import langid, packing, quality, simhash, substring
+from quarry.llm import langid, packing, quality, simhash, substring, suffix
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(_documents(spark, sf_dir))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.deduplicate(_documents(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_documents(spark, sf_dir))
 
@@ -39,6 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
