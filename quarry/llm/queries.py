@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import langid, packing, quality, simhash, substring, suffix
+from quarry.llm import langid, packing, quality, secrets, simhash, substring, suffix
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -28,6 +28,10 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.deduplicate(_documents(spark, sf_dir))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(_documents(spark, sf_dir))
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_documents(spark, sf_dir))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_secret_scan": op7_secret_scan,
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
