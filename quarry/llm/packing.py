@@ -32,38 +32,72 @@ MEMO_WORDS = 1 << 20
 _RANK_BITS = 40
 
 
-def _memory(path: str) -> SimpleNamespace:
-    """The tokenizer and the ids of words seen so far, kept for the life of a Python worker."""
-    kept = sys.modules.setdefault("_quarry_word_ids", SimpleNamespace(by_path={}))
-    if path not in kept.by_path:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        kept.by_path[path] = SimpleNamespace(tokenizer=Tokenizer.from_file(path), ids={})
-    return kept.by_path[path]
+#: Symbols that the tokenizer always cuts from the letters before them.
+_SYMBOLS = ".,;:!?%&$*#|"
 
 
-def _ids_of(texts: list[str | None], path: str) -> Iterator[bytes]:
-    """Little-endian unsigned 32-bit ids of each text.
+class _WordIds:
+    """Ids of words as little-endian unsigned 32-bit numbers, each word encoded once.
 
-    The tokenizer never joins characters over white space, so a text's ids are those of its words in a row, and each
-    word is encoded once.
+    The tokenizer never joins characters over white space, nor letters with the symbols after them, and it lower-cases
+    first. So a word of letters (below U+0250, where lower-casing and composition go character by character) and
+    symbols takes the ids of its lower-cased letters, which go to the tokenizer's model in the byte alphabet, and those
+    of its symbols. All other words are encoded whole.
     """
-    memory = _memory(path)
-    split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-    if len(memory.ids) > MEMO_WORDS:
-        memory.ids = {}
-    ids = memory.ids
-    new = [w for w in {w for words in split for w in words} if w not in ids]
-    for lo in range(0, len(new), 20_000):
-        part = new[lo : lo + 20_000]
-        for word, encoding in zip(part, memory.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            own = array("I", encoding.ids)
-            if sys.byteorder == "big":
-                own.byteswap()
-            ids[word] = own.tobytes()
-    for words in split:
-        yield b"".join(map(ids.__getitem__, words))
+
+    def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.ids: dict[str, bytes] = {}
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves; the others follow from 256
+        self.alphabet = {x: x for x in shown} | {x: 256 + i for i, x in enumerate(sorted({*range(256)} - {*shown}))}
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        own = array("I", ids)
+        if sys.byteorder == "big":
+            own.byteswap()
+        return own.tobytes()
+
+    def _learn(self, words: list[str]) -> None:
+        ids, rest = self.ids, []
+        for word in words:
+            letters = word.rstrip(_SYMBOLS)
+            low = letters.lower()
+            if not low.isalpha() or not (low.isascii() or max(low) < "\u0250"):
+                rest.append(word)
+                continue
+            if low not in ids:
+                shown = low if low.isascii() else low.encode().decode("latin-1").translate(self.alphabet)
+                ids[low] = self._packed([t.id for t in self.model.tokenize(shown)])
+            symbols = word[len(letters) :]
+            if symbols and symbols not in ids:
+                ids[symbols] = self._packed(self.tokenizer.encode(symbols, add_special_tokens=False).ids)
+            ids[word] = ids[low] + ids[symbols] if symbols else ids[low]
+        for lo in range(0, len(rest), 20_000):
+            part = rest[lo : lo + 20_000]
+            for word, encoding in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                ids[word] = self._packed(encoding.ids)
+
+    def of(self, texts: list[str | None]) -> Iterator[bytes]:
+        split = [(t or "").replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
+        if len(self.ids) > MEMO_WORDS:
+            self.ids = {}
+        known = self.ids
+        self._learn([w for w in {w for words in split for w in words} if w not in known])
+        for words in split:
+            yield b"".join(map(known.__getitem__, words))
+
+
+def _word_ids(path: str) -> _WordIds:
+    """Kept for the life of a Python worker."""
+    kept = sys.modules.setdefault("_quarry_word_ids", SimpleNamespace(by_path={}))
+    if path not in kept.by_path:
+        kept.by_path[path] = _WordIds(path)
+    return kept.by_path[path]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
@@ -77,7 +111,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
             for at in range(0, batch.num_rows, 500):
                 own = batch.slice(at, 500)
                 row, piece, length, crc, nth, ids = [], [], [], [], [], []
-                for i, data in enumerate(_ids_of(own.column(1).to_pylist(), tokenizer_path)):
+                for i, data in enumerate(_word_ids(tokenizer_path).of(own.column(1).to_pylist())):
                     data += end
                     for k, lo in enumerate(range(0, len(data), 4 * capacity)):
                         part = data[lo : lo + 4 * capacity]
