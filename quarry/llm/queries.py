@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quarry.llm import langid, packing, pii, quality, secrets, simhash, substring, suffix
+from quarry.llm import decontaminate, langid, packing, pii, quality, secrets, simhash, substring, suffix
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -24,6 +24,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate_documents(_documents(spark, sf_dir))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(_documents(spark, sf_dir))
 
@@ -51,6 +55,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
+    "op4_decontaminate": op4_decontaminate,
     "op5_pii": op5_pii,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_secret_scan": op7_secret_scan,
