@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, langid, packing, pii, quality, secrets, simhash, substring, suffix
+from quarry.llm import decontaminate, langid, linededup, packing, pii, quality, secrets, simhash, substring, suffix
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
@@ -16,6 +18,11 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = linededup.deduplicate(_documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_documents(spark, sf_dir))
 
@@ -52,7 +59,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_decontaminate": op4_decontaminate,
@@ -62,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {}

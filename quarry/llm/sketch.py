@@ -48,8 +48,8 @@ def _cell(hashes: np.ndarray, row: int, log2: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * _ODD[(row + 1) % 3] >> np.uint64(64 - log2)
 
 
-def bitmap(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log2: int, at_least: int, depth: int = 1) -> Bitmap:
-    """Cells whose count over all rows of ``df`` is ``at_least`` or more; ``hashes`` gives the uint64 hashes of a batch."""
+def _merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log2: int, depth: int, cap: int, encode: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Counts (up to ``cap``) of all cells over all rows of ``df``, as ``encode`` packs them into bytes: depth x bytes."""
     low = log2 - LOG2_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,7 +62,7 @@ def bitmap(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray
                 cells, n = np.unique(_cell(own, row, log2), return_counts=True)
                 edge = np.searchsorted(cells >> np.uint64(low), np.arange((1 << LOG2_PARTS) + 1))
                 inner = (cells & np.uint64((1 << low) - 1)).astype(np.uint32)
-                n = np.minimum(n, at_least).astype(np.uint16)
+                n = np.minimum(n, cap).astype(np.uint16)
                 used = np.flatnonzero(np.diff(edge))
                 blobs = [[a[edge[p] : edge[p + 1]].tobytes() for p in used] for a in (inner, n)]
                 yield pa.RecordBatch.from_arrays([pa.array((used + (row << LOG2_PARTS)).astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["part", "cells", "n"])
@@ -80,16 +80,57 @@ def bitmap(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray
             for part, cells, n in zip(*(c.to_pylist() for c in batch.columns)):
                 total = totals.setdefault(part, np.zeros(1 << low, np.uint16))
                 at = np.frombuffer(cells, np.uint32)
-                total[at] = np.minimum(total[at] + np.frombuffer(n, np.uint16), at_least)
+                total[at] = np.minimum(total[at].astype(np.uint32) + np.frombuffer(n, np.uint16), cap)
         for part, total in totals.items():
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([np.packbits(total >= at_least, bitorder="little").tobytes()], pa.binary())], ["part", "bits"])
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([encode(total).tobytes()], pa.binary())], ["part", "bits"])
 
     parts = df.mapInArrow(count, "part int, cells binary, n binary").repartition("part").mapInArrow(merge, "part int, bits binary")
-    bits = np.zeros((depth, 1 << LOG2_PARTS, (1 << low) // 8), np.uint8)
+    empty = encode(np.zeros(1 << low, np.uint16))
+    out = np.tile(empty, (depth, 1 << LOG2_PARTS, 1))
     for part, own in parts.toLocalIterator():
-        bits[part >> LOG2_PARTS, part & ((1 << LOG2_PARTS) - 1)] = np.frombuffer(own, np.uint8)
-    return Bitmap(bits.reshape(depth, -1), log2)
+        out[part >> LOG2_PARTS, part & ((1 << LOG2_PARTS) - 1)] = np.frombuffer(own, np.uint8)
+    return out.reshape(depth, -1)
+
+
+def bitmap(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log2: int, at_least: int, depth: int = 1) -> Bitmap:
+    """Cells whose count over all rows of ``df`` is ``at_least`` or more; ``hashes`` gives the uint64 hashes of a batch."""
+    return Bitmap(_merged(df, hashes, log2, depth, at_least, lambda total: np.packbits(total >= at_least, bitorder="little")), log2)
+
+
+class Levels:
+    """Counts of a sketch of one row, as eight steps to a doubling: 0 for none, 8 for one, 16 for three, up to 128."""
+
+    ONCE = 8
+
+    def __init__(self, steps: np.ndarray, log2: int) -> None:
+        self.steps, self.log2 = steps, log2
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return self.steps[_cell(hashes, 0, self.log2)]
+
+
+def levels(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log2: int) -> Levels:
+    """How often each hash occurs, never too low (up to 65,535), in one byte a cell."""
+    return Levels(_merged(df, hashes, log2, 1, 0xFFFF, lambda total: (8 * np.log2(1.0 + total)).astype(np.uint8))[0], log2)
 
 
 def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
+
+
+def split_by_key(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key`` (a hash) may be in ``keys``, and those whose key surely isn't, which then need no join with it."""
+    found = bitmap(keys, lambda batch: [signed_hashes(batch.column(0))], log2_cells(keys.count(), 16), 1)
+    shared = rows.sparkSession.sparkContext.broadcast(found)
+    at = rows.columns.index("key")
+
+    def kept(batches: Iterator[pa.RecordBatch], side: bool) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(shared.value.has(signed_hashes(batch.column(at))) == side))
+
+    return rows.mapInArrow(lambda b: kept(b, True), rows.schema), rows.mapInArrow(lambda b: kept(b, False), rows.schema)
+
+
+def signed_hashes(column: pa.Array) -> np.ndarray:
+    """A bigint column without nulls as uint64."""
+    return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
