@@ -281,7 +281,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     bits = bits.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list(F.struct("block", "bits")).alias("__gone"))
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
-    joined = docs.join(bits, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__key")), "left").select(*[docs[c] for c in names], "__gone.block", "__gone.bits")
+    joined = docs.join(bits, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__key")), "left").select(*[docs[c] for c in names], F.col("__gone.block").alias("__block"), F.col("__gone.bits").alias("__bits"))
     where = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
