@@ -1,8 +1,8 @@
 """Tumbling count windows (every N consecutive items) with a top-k report per window, in batch.
 
-Item positions come from ``ordinals.explode_with_ordinals`` (no single-partition pass over the
-items). ``window_id = ordinal div N``; only full windows are reported (a final partial window
-never fires). Windows are exactly N items, so grouping by window is skew-free by construction.
+Item positions come from ``ordinals.with_positions``. Each record's items are cut into slices that lie in one window;
+items (or pairs) are counted per slice before the shuffle, so an exchange carries counts, never one row per token.
+Windows hold exactly N items, so grouping by window is skew-free by construction.
 """
 
 from __future__ import annotations
@@ -10,79 +10,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarry.functions.text import SENTENCE_MARK, classify_token
-from quarry.operators.ordinals import DEFAULT_BUCKET_SIZE, explode_with_ordinals
+from quarry.functions.text import SENTENCE_MARK, kept_tokens, pairs_of_kept
+from quarry.operators.ordinals import window_slices, with_positions
 from quarry.operators.topk import top_k_per_group
 
 WINDOW_SIZE = 1000
 TOP_K = 10
 
 
-def full_windows(items: DataFrame, window_size: int = WINDOW_SIZE) -> DataFrame:
-    """Add ``window_id`` and keep items of complete windows (needs ``ordinal`` and ``total``)."""
-    n = F.lit(window_size)
-    return (
-        items.withColumn("window_id", F.floor(F.col("ordinal") / n).cast("long"))
-        .filter(F.col("window_id") < F.floor(F.col("total") / n))
-    )
+def word_window_topk(records: DataFrame, order: str | list[str], words: Column, n_words: Column | None = None,
+                     window_size: int = WINDOW_SIZE, k: int = TOP_K) -> DataFrame:
+    """Top ``k`` words of every full window of ``window_size`` words: ``(window_id, rank, word, n)``.
 
-
-def word_window_topk(records: DataFrame, id_col: str | list[str], words_col: str, window_size: int = WINDOW_SIZE,
-                     k: int = TOP_K, bucket_size: int = DEFAULT_BUCKET_SIZE,
-                     bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
-    """Top ``k`` words of every full window of ``window_size`` words.
-
-    ``records`` hold an ordering key (an integer id, or e.g. file/split/row for text files with
-    ``bucket_cols``) and an array of words (already tokenised). Output
-    ``(window_id, rank, word, n)``, ties by word ascending.
+    ``records`` hold an order key and what ``words`` (an array expression) is computed from; ``n_words`` is its size, if
+    that is cheaper to say. Ties by word ascending.
     """
-    items = explode_with_ordinals(records, id_col, words_col, bucket_size, item_name="word",
-                                  bucket_cols=bucket_cols, size=size)
-    counts = (
-        full_windows(items, window_size)
-        .groupBy("window_id", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
+    placed = with_positions(records, order, F.size(words) if n_words is None else n_words)
+    slices = window_slices(placed, words, window_size)
+    counts = (slices.select("window_id", F.explode("items").alias("word"))
+              .groupBy("window_id", "word").agg(F.count(F.lit(1)).alias("n")))
     ranked = top_k_per_group(counts, ["window_id"], [F.col("n").desc(), F.col("word").asc()], k)
     return ranked.select("window_id", "rank", "word", "n")
 
 
-def window_bigrams(items: DataFrame, token_col: str = "token", lowercase: bool = True) -> DataFrame:
-    """Bigrams inside each window from positioned raw tokens ``(window_id, ordinal, token)``.
+def window_pair_counts(slices: DataFrame, lowercase: bool = True) -> DataFrame:
+    """``(window_id, w1, w2, n)``: bigrams inside each window from slices of raw tokens.
 
-    Tokens are classified (word / sentence end / skipped); a word pairs with the previous kept
-    token of the same window if that was a word. Pairs cross record and line boundaries but
-    never window boundaries. Window groups hold at most N rows each. ``lowercase=False`` when the
-    tokens come from already lower-cased text (one pass per text instead of one per token).
+    A word pairs with the previous kept token of the same window if that was a word; pairs cross record boundaries but
+    never window boundaries. Pairs within a slice are counted where the slice is; between slices only the first and
+    last kept token of each travel (a window has at most N slices).
     """
-    kept = (items.select("window_id", "ordinal", classify_token(token_col, lowercase).alias("c"))
-            .filter(F.col("c").isNotNull()))
-    w = Window.partitionBy("window_id").orderBy("ordinal")
-    paired = kept.select("window_id", F.lag("c").over(w).alias("w1"), F.col("c").alias("w2"))
-    return paired.filter(
-        F.col("w1").isNotNull() & (F.col("w1") != SENTENCE_MARK) & (F.col("w2") != SENTENCE_MARK)
-    )
-
-
-def window_tokens(records: DataFrame, id_col: str | list[str], tokens_col: str, window_size: int = WINDOW_SIZE,
-                  bucket_size: int = DEFAULT_BUCKET_SIZE, bucket_cols: list[str] | None = None,
-                  size: Column | None = None) -> DataFrame:
-    """``(window_id, ordinal, token)`` for the raw tokens of full windows."""
-    items = explode_with_ordinals(records, id_col, tokens_col, bucket_size, item_name="token",
-                                  bucket_cols=bucket_cols, size=size)
-    return full_windows(items, window_size).select("window_id", "ordinal", "token")
+    kept = slices.select("window_id", "start", kept_tokens("items", lowercase).alias("kept")).filter(F.size("kept") > 0)
+    inside = kept.select("window_id", F.explode(pairs_of_kept("kept")).alias("p")).select("window_id", "p.w1", "p.w2")
+    ends = kept.select("window_id", "start", F.get("kept", F.lit(0)).alias("first"), F.element_at("kept", -1).alias("last"))
+    across = ends.select(
+        "window_id", F.lag("last").over(Window.partitionBy("window_id").orderBy("start")).alias("w1"), F.col("first").alias("w2"),
+    ).filter(F.col("w1").isNotNull() & (F.col("w1") != SENTENCE_MARK) & (F.col("w2") != SENTENCE_MARK))
+    return inside.unionAll(across).groupBy("window_id", "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
 
 
-def bigram_window_topk(records: DataFrame, id_col: str | list[str], tokens_col: str,
-                       window_size: int = WINDOW_SIZE, k: int = TOP_K, bucket_size: int = DEFAULT_BUCKET_SIZE,
-                       bucket_cols: list[str] | None = None, size: Column | None = None,
-                       lowercase: bool = True) -> DataFrame:
-    """Top ``k`` bigrams of every full window of ``window_size`` raw tokens.
+def bigram_window_topk(records: DataFrame, order: str | list[str], tokens: Column, n_tokens: Column | None = None,
+                       window_size: int = WINDOW_SIZE, k: int = TOP_K, lowercase: bool = True) -> DataFrame:
+    """Top ``k`` bigrams of every full window of ``window_size`` raw tokens: ``(window_id, rank, w1, w2, n)``.
 
-    Output ``(window_id, rank, w1, w2, n)``; ties by (w1, w2). The lag window, the count and the
-    top-k all cluster on ``window_id``, so the tokens are shuffled once.
+    Arguments as for :func:`word_window_topk`; ties by (w1, w2). ``lowercase=False`` for text that is lower-case already.
     """
-    toks = window_tokens(records, id_col, tokens_col, window_size, bucket_size, bucket_cols, size)
-    pairs = window_bigrams(toks, lowercase=lowercase)
-    counts = pairs.groupBy("window_id", "w1", "w2").agg(F.count(F.lit(1)).alias("n"))
-    order = [F.col("n").desc(), F.col("w1").asc(), F.col("w2").asc()]
-    return top_k_per_group(counts, ["window_id"], order, k).select("window_id", "rank", "w1", "w2", "n")
+    placed = with_positions(records, order, F.size(tokens) if n_tokens is None else n_tokens)
+    counts = window_pair_counts(window_slices(placed, tokens, window_size), lowercase)
+    by = [F.col("n").desc(), F.col("w1").asc(), F.col("w2").asc()]
+    return top_k_per_group(counts, ["window_id"], by, k).select("window_id", "rank", "w1", "w2", "n")

@@ -1,11 +1,10 @@
 """Undirected-graph operators: symmetrised edges, adjacency, wedges and triangles.
 
-Triangles are enumerated with the degree ordering of Suri & Vassilvitskii ("Counting triangles
-and the curse of the last reducer", WWW 2011): every edge points from the endpoint of lower
-(degree, id) to the higher one, so a vertex pairs only its out-neighbours, of which there are at
-most sqrt(2m). A hub (high degree) gets almost no out-edges, which removes the quadratic hot group;
-a vertex with many out-neighbours is further split into blocks. Each triangle is found once, at
-its lowest-ranked vertex, then closed by a semi-join.
+Triangles follow the degree ordering of Suri & Vassilvitskii ("Counting triangles and the curse of the last reducer",
+WWW 2011): every edge points from the endpoint of lower (degree, id) to the higher one, so a vertex has at most
+sqrt(2m) out-neighbours. A triangle is a common out-neighbour of both ends of an edge, found by intersecting their
+out-lists; no wedge is ever a row. Out-lists are cut into blocks by a hash of the neighbour, so an edge meets block
+against like block and the work of one vertex spreads over the blocks and over its neighbours.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numbers import floor_div
 from quarry.session import materialize
 
 ADJACENCY_CHUNK = 1024
@@ -49,7 +49,7 @@ def adjacency_chunks(sym: DataFrame, chunk: int = ADJACENCY_CHUNK) -> DataFrame:
     than ``chunk`` ids, whatever the vertex degree. Concatenating pieces in chunk order gives the
     full sorted list.
     """
-    c = F.floor(F.col("dst") / F.lit(chunk)).cast("long")
+    c = floor_div(F.col("dst"), chunk)
     return (
         sym.groupBy(F.col("src").alias("vertex"), c.alias("chunk"))
         .agg(F.sort_array(F.collect_list("dst")).alias("neighbors"))
@@ -75,7 +75,7 @@ def ordered_wedge_counts(und: DataFrame) -> DataFrame:
 
 
 def oriented_edges(und: DataFrame) -> DataFrame:
-    """``(s, t, ds, dt)``: each edge from lower to higher (degree, id)."""
+    """``(s, t)``: each edge from lower to higher (degree, id)."""
     deg = degrees(und)
     du = deg.select(F.col("vertex").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("vertex").alias("v"), F.col("degree").alias("dv"))
@@ -84,82 +84,62 @@ def oriented_edges(und: DataFrame) -> DataFrame:
     return e.select(
         F.when(forward, F.col("u")).otherwise(F.col("v")).alias("s"),
         F.when(forward, F.col("v")).otherwise(F.col("u")).alias("t"),
-        F.when(forward, F.col("du")).otherwise(F.col("dv")).alias("ds"),
-        F.when(forward, F.col("dv")).otherwise(F.col("du")).alias("dt"),
     )
 
 
-WEDGE_BLOCK = 1024
+OUT_BLOCK = 1024
 
 
-def blocked_out_edges(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
-    """Oriented edges with out-neighbour blocks: ``(s, t, dt, nb, blk)``, checkpointed.
+def out_blocks(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
+    """Out-lists in blocks: ``(s, nb, blk, out)``, written once to the checkpoint folder.
 
-    A vertex with ``d`` out-neighbours gets ``nb = ceil(d / block)`` blocks and each neighbour the
-    block ``pmod(xxhash64(t), nb)``. Wedges are then made per block (pairs inside one block
-    array) and per pair of blocks, so a vertex's neighbour pairs are spread over about ``nb^2/2``
-    rows of at most about ``block^2`` pairs each instead of one task. ``nb`` is 1 for almost all
-    vertices. The table is read three times, so it is cut out of the lineage: written once as
-    a table in the session's checkpoint directory (as are the distinct edges it is built from).
+    A vertex with ``d`` out-neighbours has ``nb`` blocks, the power of two at or above ``d / block``, and neighbour t
+    is in block ``pmod(xxhash64(t), nb)``: like numbers of blocks line up for any two vertices.
     """
-    o = oriented_edges(materialize(und, "edges"))
-    nb = o.groupBy("s").agg(F.ceil(F.count(F.lit(1)) / F.lit(block)).cast("int").alias("nb"))
-    ob = o.join(nb, "s").select(
-        "s", "t", "dt", "nb", F.pmod(F.xxhash64("t"), F.col("nb")).cast("int").alias("blk"))
-    return materialize(ob, "oriented-edges")
+    o = oriented_edges(und)
+    nb = o.groupBy("s").agg(F.expr(f"shiftleft(1, cast(ceil(log2(greatest(count(1) / {block}, 1))) as int))").alias("nb"))
+    blocked = o.join(nb, "s").withColumn("blk", F.pmod(F.xxhash64("t"), F.col("nb")).cast("int"))
+    return materialize(blocked.groupBy("s", "nb", "blk").agg(F.collect_list("t").alias("out")), "out-blocks")
 
 
-def _ranked(e) -> object:
-    return F.struct(e["dt"].alias("dt"), e["t"].alias("t"))
+def common_out_neighbours(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
+    """``(s, t, common)``: for each oriented edge and pair of like blocks, the out-neighbours of both ends (if any).
 
-
-def wedges(ob: DataFrame) -> DataFrame:
-    """``(s, x, y)``: each pair of out-neighbours of ``s`` once, ``x`` before ``y`` in rank.
-
-    Out-neighbours of one (vertex, block) are gathered into an array sorted by rank (at most
-    about ``block`` entries) and paired by index (``i < j``), so no pair is made twice or thrown
-    away. Pairs across two blocks of the same vertex (only vertices with ``nb > 1``) come from a
-    join of the block arrays on the vertex.
-    """
-    blocks = ob.groupBy("s", "blk", "nb").agg(F.array_sort(F.collect_list(F.struct("dt", "t"))).alias("arr"))
-    n = F.size("arr")
-    inside = blocks.select("s", F.explode(F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.slice("arr", i + 1, n), lambda v: F.struct(
-            F.element_at("arr", i)["t"].alias("x"), v["t"].alias("y"))),
-    ))).alias("p")).select("s", "p.x", "p.y")
-    multi = blocks.filter(F.col("nb") > 1).select("s", "blk", "arr")
-    a, b = multi.alias("a"), multi.alias("b")
-    cross = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.blk") < F.col("b.blk"))).select(
-        F.col("a.s").alias("s"),
-        F.explode(F.flatten(F.transform(F.col("a.arr"), lambda u: F.transform(F.col("b.arr"), lambda v: F.when(
-            (u["dt"] < v["dt"]) | ((u["dt"] == v["dt"]) & (u["t"] < v["t"])),
-            F.struct(u["t"].alias("x"), v["t"].alias("y")),
-        ).otherwise(F.struct(v["t"].alias("x"), u["t"].alias("y"))))))).alias("p"),
-    ).select("s", "p.x", "p.y")
-    return inside.unionByName(cross)
-
-
-def triangles(und: DataFrame, block: int = WEDGE_BLOCK) -> DataFrame:
-    """Every triangle once as ``(a, b, c)`` with ``a < b < c`` (ids).
-
-    Wedges pair two out-neighbours ``x, y`` of their lowest-ranked vertex ``s`` (rank = degree,
-    then id); a left-semi join keeps the wedges whose closing edge ``x -> y`` exists.
+    Every edge (s, t) is dealt by (t, block): the edges of one source go to as many keys as it has neighbours and
+    blocks. A target with very many sources is a hot key of the last join, with one row on the other side, which AQE
+    splits (both sides are plain shuffles of the written table).
     """
-    ob = blocked_out_edges(und, block)
-    closing = ob.select(F.col("s").alias("x"), F.col("t").alias("y"))
-    tri = wedges(ob).join(closing, ["x", "y"], "left_semi")
-    vs = F.array("s", "x", "y")
-    return tri.select(F.array_min(vs).alias("a"),
-                      F.element_at(F.array_sort(vs), 2).alias("b"),
-                      F.array_max(vs).alias("c"))
-
-
-def triangles_per_vertex(und: DataFrame) -> DataFrame:
+    lists = out_blocks(und, block)
+    several = lists.filter("nb > 1").select(F.col("s").alias("t"), F.col("nb").alias("nt")).distinct()
+    edges = lists.select("s", F.explode("out").alias("t"))
+    # every edge, and which like blocks of its ends to compare: max(nb of s, nb of t) of them
+    mine = lists.select("s", "nb", "blk", "out")
+    ends = edges.join(several, "t", "left").select("s", "t", F.coalesce("nt", F.lit(1)).alias("nt"))
+    single = lists.filter("nb = 1").select("s", "nb", "blk", "out", F.explode("out").alias("t"))
+    many = mine.filter("nb > 1").join(ends, "s").select("s", "nb", "blk", "out", "t", "nt")
+    sided = single.join(several, "t", "left").select("s", "nb", "blk", "out", "t", F.coalesce("nt", F.lit(1)).alias("nt")).unionAll(many)
+    # block i of s meets the blocks j of t with i = j modulo the smaller number of blocks
+    target = F.when(F.col("nt") <= F.col("nb"), F.array(F.expr("blk % nt"))).otherwise(F.sequence(F.col("blk"), F.col("nt") - 1, F.col("nb")))
+    dealt = sided.select("s", "t", "out", F.explode(target).alias("tblk"))
+    theirs = lists.select(F.col("s").alias("t"), F.col("blk").alias("tblk"), F.col("out").alias("t_out"))
+    met = dealt.join(theirs, ["t", "tblk"])
+    return met.select("s", "t", F.array_intersect("out", "t_out").alias("common")).filter(F.size("common") > 0)
+
+
+def triangles(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
+    """Every triangle once as ``(a, b, c)`` with ``a < b < c`` (ids)."""
+    tri = common_out_neighbours(und, block).select(F.explode("common").alias("x"), "s", "t")
+    vs = F.array("s", "t", "x")
+    return tri.select(F.array_min(vs).alias("a"), F.element_at(F.array_sort(vs), 2).alias("b"), F.array_max(vs).alias("c"))
+
+
+def triangles_per_vertex(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
     """Triangles counted at their smallest vertex id: ``(vertex, n_triangles)``, zeros omitted."""
-    return triangles(und).groupBy(F.col("a").alias("vertex")).agg(F.count(F.lit(1)).alias("n_triangles"))
+    found = common_out_neighbours(und, block).select(F.explode("common").alias("x"), "s", "t")
+    return found.groupBy(F.least("s", "t", "x").alias("vertex")).agg(F.count(F.lit(1)).alias("n_triangles"))
 
 
-def triangle_count(und: DataFrame) -> DataFrame:
+def triangle_count(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
     """One row ``n_triangles``; 0 for a graph without triangles."""
-    return triangles(und).agg(F.count(F.lit(1)).alias("n_triangles"))
+    sizes = common_out_neighbours(und, block).agg(F.sum(F.size("common")).alias("n"))
+    return sizes.select(F.coalesce("n", F.lit(0)).cast("long").alias("n_triangles"))

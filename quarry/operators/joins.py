@@ -1,11 +1,9 @@
 """Equi-join with explicit splitting of hot keys (salting), for when one key holds a large share.
 
-AQE's skew-join already splits oversized shuffle partitions at runtime; this is the deterministic
-form for when the hot keys must be split regardless of runtime thresholds. Keys of ``big`` with
-more than ``hot_rows`` rows are spread over ``salts`` sub-keys (by a hash of the row, so reruns
-assign the same salt); the matching rows of ``small`` are replicated once per salt. Other keys
-join as usual (salt 0). The hot-key list holds at most ``rows(big) / hot_rows`` keys, which is the
-size bound that makes its broadcast safe.
+Keys of ``big`` with more than ``hot_rows`` rows are spread over ``salts`` sub-keys (by a hash of the row, so reruns
+assign the same salt); the matching rows of ``small`` are replicated once per salt. Other keys join as usual (salt 0).
+The hot keys are measured, and the ``MOST_HOT`` most frequent of them are split, which bounds the list that is
+broadcast; any key beyond those holds less than one part in ``MOST_HOT`` of the rows and needs no splitting.
 """
 
 from __future__ import annotations
@@ -14,9 +12,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+MOST_HOT = 10_000
+
+
 def hot_keys(big: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows (partial aggregation keeps this cheap)."""
-    return big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows).select(key)
+    """Keys with more than ``hot_rows`` rows, at most the ``MOST_HOT`` most frequent (partial aggregation keeps this cheap)."""
+    counts = big.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > hot_rows)
+    return counts.orderBy(F.col("_rows").desc(), key).limit(MOST_HOT).select(key)
 
 
 def salted_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner",

@@ -1,9 +1,8 @@
 """Global ordering: total-order sort with a dense global rank, and the first-character sort.
 
 The sort itself is Spark's range-partitioned sort (sampled split points, like a total-order
-partitioner). A dense rank needs the row count of every earlier partition. We tag rows with
-``monotonically_increasing_id`` (partition index in the high bits) right after the sort, cut the
-lineage by writing that table once to the checkpoint folder (so a recomputation cannot re-sample
+partitioner). A dense rank needs the row count of every earlier partition. Rows get their partition and
+their number in it right after the sort; the lineage is cut by writing that table once to the checkpoint folder (so a recomputation cannot re-sample
 different split points), count rows per partition (one row per partition) and add the offset.
 """
 
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 from quarry.functions.text import first_char_bucket
 from quarry.session import materialize
 
-_ROW_BITS = 33  # monotonically_increasing_id: partition index << 33 | row index in partition
+_ROW_BITS = 33  # monotonically_increasing_id is (partition index << 33) + row number in the partition
 
 
 def _cols(cols) -> list[Column]:
@@ -23,35 +22,43 @@ def _cols(cols) -> list[Column]:
 
 
 def sorted_by_range(df: DataFrame, order: list, num_partitions: int | None = None) -> DataFrame:
-    """Globally sorted output: partitions hold ordered, non-overlapping key ranges.
+    """Globally sorted output: partitions hold ordered, non-overlapping ranges of (``order``, row number).
 
-    Range-partition on the full sort key (never on a low-cardinality prefix, so a hot key is
-    spread over several partitions). ``num_partitions`` fixes the output file count.
+    Rows that are equal in ``order`` are interchangeable; a row number given before the range exchange comes last in the
+    sort, so the range bounds can fall between them and a key with a third of the rows spreads over its share of the
+    partitions. ``num_partitions`` fixes the output file count.
     """
+    names = df.columns
     order = _cols(order)
+    numbered = df.withColumn("_number", F.monotonically_increasing_id())
     if num_partitions is None:
-        return df.orderBy(*order)
-    return df.repartitionByRange(num_partitions, *order).sortWithinPartitions(*order)
+        ranged = numbered.repartitionByRange(*order, "_number")
+    else:
+        ranged = numbered.repartitionByRange(num_partitions, *order, "_number")
+    return ranged.sortWithinPartitions(*order, "_number").select(*names)
 
 
 def with_global_rank(df: DataFrame, order: list, rank_col: str = "rank",
                      num_partitions: int | None = None) -> DataFrame:
-    """Sort globally and add a dense 1-based rank in that order (ties broken by ``order``)."""
-    tagged = sorted_by_range(df, order, num_partitions).withColumn("_mid", F.monotonically_increasing_id())
+    """Add the dense 1-based rank in the global order (rows equal in ``order`` are interchangeable).
+
+    The rank column carries the order; the order of the returned rows is not promised.
+    """
+    number = F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), _ROW_BITS)
+    tagged = sorted_by_range(df, order, num_partitions).select(
+        "*", F.spark_partition_id().alias("_part"), number.alias("_in_part"))
     tagged = materialize(tagged, "ranked-sort")
-    part = F.shiftright(F.col("_mid"), _ROW_BITS)
-    counts = tagged.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = tagged.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     offsets = counts.select(
         "_part",
         F.coalesce(F.sum("_rows").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_offset"),
     )
     # One row per partition: a size bound by construction, so the broadcast is safe.
-    in_part = F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        tagged.join(F.broadcast(offsets), part == F.col("_part"))
-        .withColumn(rank_col, (F.col("_offset") + in_part + 1).cast("long"))
-        .drop("_mid", "_part", "_offset")
+        tagged.join(F.broadcast(offsets), "_part")
+        .withColumn(rank_col, (F.col("_offset") + F.col("_in_part") + 1).cast("long"))
+        .drop("_part", "_in_part", "_offset")
     )
 
 

@@ -1,110 +1,72 @@
-"""Dense global positions without a one-partition window.
+"""Dense global positions of the items of ordered records, without a pass through one task.
 
-A stream position ("the n-th token") is an exclusive prefix sum of per-record sizes in a
-fixed record order. We compute it in two levels: records are grouped into buckets of
-consecutive keys; bucket totals (one row per bucket, a small table) get a running sum; inside a
-bucket a partitioned running-sum window adds the rest. Only the bucket table passes through a
-single partition, and a bucket holds at most ``bucket_size`` records, so no task sees more
-than that many rows however large the input is or how skewed the record sizes are.
+The position of a record's first item is the number of items in all records before it. The records are
+range-partitioned and sorted by their key once (one exchange, which carries the compact record, not its items); a
+running count inside each partition is written with them, and the counts of the partitions before, one row for each
+partition, are added on reading. Nothing depends on how dense the keys are.
 """
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-DEFAULT_BUCKET_SIZE = 1 << 12
+from quarry.session import materialize
 
 
-def id_bucket(id_col: str | Column, bucket_size: int = DEFAULT_BUCKET_SIZE) -> Column:
-    """Bucket of consecutive integer ids: ``floor(id / bucket_size)`` (never NULL)."""
-    c = F.col(id_col) if isinstance(id_col, str) else id_col
-    return F.coalesce(F.floor(c / F.lit(bucket_size)).cast("long"), F.lit(-1).cast("long"))
+def with_positions(records: DataFrame, order: str | list[str], size: Column,
+                   base_col: str = "base", total_col: str = "total") -> DataFrame:
+    """``records`` with ``base`` (items of all earlier records) and ``total`` (items of all records).
 
-
-def bucket_offsets(sizes: DataFrame, size_col: str, bucket_cols: list[str]) -> DataFrame:
-    """Per bucket: ``_bucket_base`` (items in all earlier buckets) and ``total`` (all items).
-
-    One row per bucket; the running sum over buckets is the only single-partition step and it
-    sees one row per bucket, never a row per record.
+    ``size`` is the number of items of a record. Record order is ``order`` ascending; records equal in it are ordered
+    by a hash of their other columns and then by these, so equal keys spread over partitions and only rows equal in
+    everything are interchangeable. Records without a key have no place and are dropped.
     """
-    before = Window.unboundedPreceding
-    buckets = sizes.groupBy(*bucket_cols).agg(F.sum(size_col).alias("_bucket_sum"))
-    return buckets.select(
-        *bucket_cols,
-        F.coalesce(F.sum("_bucket_sum").over(Window.orderBy(*bucket_cols).rowsBetween(before, -1)),
-                   F.lit(0)).cast("long").alias("_bucket_base"),
-        F.sum("_bucket_sum").over(Window.partitionBy()).cast("long").alias("total"),
+    order = [order] if isinstance(order, str) else list(order)
+    names = records.columns
+    others = [c for c in names if c not in order]
+    keyed = records.dropna(subset=order).select(
+        "*", (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("_tie"), size.cast("long").alias("_n"))
+    ranged = keyed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie", *others)
+
+    def running(batches):
+        before = 0
+        for batch in batches:
+            n = batch.column(len(names)).to_numpy()
+            inner = n.cumsum() - n + before
+            before += int(n.sum())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(inner)], [*names, "_n", "_part", "_inner"])
+
+    schema = T.StructType([*(records.schema[c] for c in names), T.StructField("_n", T.LongType()),
+                           T.StructField("_part", T.IntegerType()), T.StructField("_inner", T.LongType())])
+    placed = ranged.select(*names, "_n", F.spark_partition_id().alias("_part")).mapInArrow(running, schema)
+    placed = materialize(placed, "positions")  # a second run of the sort could choose other split points
+    per_part = placed.groupBy("_part").agg(F.sum("_n").alias("_items"))
+    offsets = per_part.select(
+        "_part",
+        (F.sum("_items").over(Window.orderBy("_part")) - F.col("_items")).alias("_before"),
+        F.sum("_items").over(Window.partitionBy()).alias(total_col),
     )
+    # One row per partition of the sort.
+    return placed.join(F.broadcast(offsets), "_part").select(
+        *names, (F.col("_before") + F.col("_inner")).alias(base_col), total_col)
 
 
-def exclusive_prefix(sizes: DataFrame, size_col: str, bucket_cols: list[str], order_cols: list[str],
-                     base_col: str = "base", total_col: str = "total") -> DataFrame:
-    """Add ``base`` (sum of ``size_col`` over all earlier records) and ``total`` (grand sum).
+def window_slices(placed: DataFrame, items: Column, window_size: int) -> DataFrame:
+    """One row per (record, window): ``window_id``, ``start`` (position of the first item) and ``items`` of the slice.
 
-    Record order is ``bucket_cols`` then ``order_cols``; ``order_cols`` must be unique within a
-    bucket. The records are shuffled once by bucket; the in-bucket running sum and the bucket
-    totals both read that one exchange (Spark reuses it), so the sizes are computed once.
+    ``placed`` comes from :func:`with_positions`; a record's items are cut where a window of ``window_size`` positions
+    ends. Only full windows are kept (the last, partial one never fires).
     """
-    part = sizes.repartition(*bucket_cols)
-    spec = Window.partitionBy(*bucket_cols).orderBy(*order_cols)
-    # Running sum and bucket total share one window spec (one sort of the bucket), and the bucket
-    # table is derived from that same output, so both readers need the same shuffle input.
-    within = part.select(
-        "*",
-        F.coalesce(F.sum(size_col).over(spec.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        .alias("_inner_base"),
-        F.sum(size_col).over(spec.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-        .alias("_in_bucket"),
-    )
-    per_bucket = within.groupBy(*bucket_cols).agg(F.max("_in_bucket").alias(size_col))
-    offsets = bucket_offsets(per_bucket, size_col, bucket_cols).withColumnRenamed("total", total_col)
-    within = within.drop("_in_bucket")
-    return (
-        within.join(offsets, bucket_cols)
-        .withColumn(base_col, (F.col("_bucket_base") + F.col("_inner_base")).cast("long"))
-        .drop("_bucket_base", "_inner_base")
-    )
-
-
-def explode_with_ordinals(records: DataFrame, key_cols: list[str] | str, items_col: str,
-                          bucket_size: int = DEFAULT_BUCKET_SIZE, item_name: str = "item",
-                          bucket_cols: list[str] | None = None, size: Column | None = None) -> DataFrame:
-    """One row per array element with its dense global position ``ordinal`` (0-based).
-
-    Order: ``key_cols`` ascending (a unique record key), then position inside the array. With
-    no ``bucket_cols`` the first key must be an integer id, bucketed by ``bucket_size``
-    consecutive ids (ids should be dense; sparse ids want coarser buckets); for text files pass
-    e.g. ``["_file", "_split"]`` with a row id as key. Also returns ``total``, the number of
-    items in the whole input.
-
-    Only narrow rows (key, bucket, size) go through the prefix-sum shuffle; the item arrays
-    stay where they are and meet their base by key (a broadcast of the bases when AQE finds them
-    small, else a shuffle balanced by record). Give ``size`` (an expression equal to
-    ``size(items)`` that is cheaper, e.g. a match count) so the sizes do not rebuild the arrays.
-    """
-    keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
-    # A record without a key has no place in the order: it counts 0 items in the prefix sums and
-    # the key join below drops it, so positions stay dense. (A filter here would change how Spark
-    # places the array work and reuses exchanges; the size guard does not.)
-    has_key = F.col(keys[0]).isNotNull()
-    for k in keys[1:]:
-        has_key = has_key & F.col(k).isNotNull()
-    if bucket_cols is None:
-        records = records.withColumn("_bucket", id_bucket(keys[0], bucket_size))
-        bucket_cols = ["_bucket"]
-    order_cols = [k for k in keys if k not in bucket_cols]
-    sizes = records.select(*dict.fromkeys([*keys, *bucket_cols]),
-                           F.when(has_key, F.size(items_col) if size is None else size)
-                           .otherwise(F.lit(0)).cast("long").alias("_n"))
-    bases = exclusive_prefix(sizes, "_n", bucket_cols, order_cols).select(*keys, "base", "total")
-    # posexplode_outer: no inferred size(...) > 0 filter that would rebuild the arrays early.
-    exploded = (
-        records.select(*keys, F.col(items_col).alias("_items"))
-        .join(bases, keys)
-        .select(*keys, "total", "base", F.posexplode_outer("_items").alias("_pos", item_name))
-    )
-    return (
-        exploded.filter(F.col("_pos").isNotNull())
-        .select(*keys, (F.col("base") + F.col("_pos")).alias("ordinal"), item_name, "total")
-    )
+    n = F.lit(window_size)
+    first = F.expr(f"base div {window_size}")
+    cut = placed.select("base", "total", items.alias("_items")).filter(F.size("_items") > 0)
+    windows = F.sequence(first, F.expr(f"(base + size(_items) - 1) div {window_size}"))
+    sliced = cut.select("base", "total", "_items", F.explode(windows).alias("window_id"))
+    start = F.greatest(F.col("base"), F.col("window_id") * n)
+    end = F.least(F.col("base") + F.size("_items"), (F.col("window_id") + 1) * n)
+    return sliced.filter(F.col("window_id") < F.expr(f"total div {window_size}")).select(
+        "window_id", start.alias("start"),
+        F.slice("_items", (start - F.col("base") + 1).cast("int"), (end - start).cast("int")).alias("items"))

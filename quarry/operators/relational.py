@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarry.functions.numbers import INTEGRAL
 from quarry.functions.text import drop_last_component
 from quarry.operators.joins import salted_join
 from quarry.operators.topk import top_k
@@ -18,14 +19,23 @@ from quarry.operators.topk import top_k
 TCP_SPELLINGS = ("tcp", "TCP")
 BLOCKED = "Blocked"
 
+#: Trace rows of one connection id from which it is split.
+HOT_ROWS = 100_000
+
 
 def sum_by_key(df: DataFrame, key: str, value: str, out: str = "total", overflow: str = "fail") -> DataFrame:
     """``SUM(value)`` per key; NULLs skipped, an all-NULL group gives NULL.
 
-    ``overflow="fail"`` raises on a long overflow (ANSI); ``"null"`` gives NULL for that key.
+    ``overflow="fail"`` raises when the sum of a whole-number column leaves the long range; ``"null"`` gives NULL for that
+    key. Neither depends on the session's ANSI setting: the sum is taken in 38 digits.
     """
-    agg = F.sum(value) if overflow == "fail" else F.try_sum(value)
-    return df.groupBy(key).agg(agg.alias(out))
+    if df.schema[value].dataType.simpleString() not in INTEGRAL:
+        return df.groupBy(key).agg(F.sum(value).alias(out))
+    total = F.col(out)
+    fits = total.isNull() | total.between(F.lit(-(2**63)), F.lit(2**63 - 1))
+    beyond = F.raise_error(F.lit(f"sum of {value} is beyond the long range")).cast("long") if overflow == "fail" else F.lit(None).cast("long")
+    sums = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(28,0)")).alias(out))
+    return sums.select(key, F.when(fits, total.cast("long")).otherwise(beyond).alias(out))
 
 
 def sum_by_key_topk(df: DataFrame, key: str, value: str, k: int = 10, out: str = "total",
@@ -76,21 +86,16 @@ def blocked_verdicts(verdicts: DataFrame, case_sensitive: bool = False) -> DataF
 
 
 def firewall_log(trace: DataFrame, verdicts: DataFrame, case_sensitive: bool = False,
-                 sort: bool = True, hot_rows: int | None = None) -> DataFrame:
+                 sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Trace records joined with blocking verdicts on ``connection_id``, ordered by time.
 
     The action filter runs before the join (on the verdict side). Inner join: NULL ids never
-    match and duplicate ids multiply. AQE picks broadcast or sort-merge from runtime sizes and
-    splits skewed connection ids; with ``hot_rows`` set, connection ids with more trace rows than
-    that are split explicitly (``joins.salted_join``).
+    match and duplicate ids multiply. Connection ids with more than ``hot_rows`` trace rows are
+    spread over many tasks (``joins.salted_join``).
     """
     blocked = blocked_verdicts(verdicts, case_sensitive).select("connection_id", "action")
     records = trace.select("time", "connection_id", "source_ip", "destination_ip")
-    if hot_rows is None:
-        log = records.join(blocked, "connection_id")
-    else:
-        log = salted_join(records, blocked, "connection_id", hot_rows=hot_rows)
-    log = log.select("time", "connection_id", "source_ip", "destination_ip", "action")
+    log = salted_join(records, blocked, "connection_id", hot_rows=hot_rows).select("time", "connection_id", "source_ip", "destination_ip", "action")
     return log.orderBy("time", "connection_id", "source_ip", "destination_ip") if sort else log
 
 
@@ -107,7 +112,9 @@ def top_item_per_group(df: DataFrame, group: str, item: str, score: str, sort: b
     rank last. One aggregate with partial aggregation: no per-group collection.
     """
     s = F.col(score)
-    best_key = F.struct(s.isNull().alias("missing"), (-s).alias("neg"), F.col(item).alias("item"))
+    # The smallest long has no negative of its own type.
+    wide = s.cast("decimal(20,0)") if df.schema[score].dataType.simpleString() in INTEGRAL else s
+    best_key = F.struct(s.isNull().alias("missing"), (-wide).alias("neg"), F.col(item).alias("item"))
     out = df.groupBy(group).agg(
         F.count(F.lit(1)).alias("n_items"),
         F.min_by(F.col(item), best_key).alias("top_item"),

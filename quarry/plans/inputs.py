@@ -16,25 +16,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table. ``spread`` for CPU-heavy per-row work (regex tokenising, parsing)."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_narrow_input(df) if spread else df
-
-
-def spread_narrow_input(df: DataFrame) -> DataFrame:
-    """Round-robin an input that has fewer partitions than the cluster has cores.
-
-    A few large unsplittable files (one parquet row group, a gzip text) scan as a few tasks, and
-    everything before the first shuffle would run on those few cores. A wide input (any large
-    table: thousands of splits) is left alone, so this never adds a shuffle at scale.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < cores
-    except Exception:  # sessions without a SparkContext (Spark Connect): leave the plan as is
-        return df
-    return df.repartition(cores) if narrow else df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(table_path(sf_dir, name))
 
 
 def table_path(sf_dir: str, name: str) -> str:
@@ -43,16 +26,10 @@ def table_path(sf_dir: str, name: str) -> str:
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, value)``: every line of every document (documents read as text files)."""
-    docs = table(spark, sf_dir, "documents", spread=True)
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.explode(text_lines("text")).alias("value"))
 
 
-def document_line_arrays(spark: SparkSession, sf_dir: str, lowercase: bool = False) -> DataFrame:
-    """``(doc_id, lines)`` keeping the line order of each document (optionally lower-cased)."""
-    text = F.lower(F.col("text")) if lowercase else F.col("text")
-    return table(spark, sf_dir, "documents", spread=True).select("doc_id", text_lines(text).alias("lines"))
-
-
 # Trace lines: "time connection_id source_ip > destination_ip protocol", one per event.
 TRACE_LINE_SQL = """concat_ws(' ',
     concat(lpad(cast(((event_id * 7919) % 86400) div 3600 as string), 2, '0'), ':',
@@ -68,6 +45,16 @@ TRACE_LINE_SQL = """concat_ws(' ',
     CASE event_type WHEN 'click' THEN 'tcp' WHEN 'view' THEN 'TCP' WHEN 'purchase' THEN 'Tcp'
                     WHEN 'signup' THEN 'udp' ELSE 'tcp' END)"""
 
+# Trace lines as they come: every seventh has an empty, decimal, blank-padded, wordy or too large id, or ends early.
+NOISY_TRACE_LINE_SQL = """CASE cast(event_id % 7 as int)
+    WHEN 0 THEN concat('10:00:00  10.0.0.1 > ', cast(event_id as string))
+    WHEN 1 THEN concat('10:00:01 ', cast(event_id as string), '.7 10.0.0.1 > 10.0.0.2')
+    WHEN 2 THEN concat('10:00:02 \\t', cast(event_id as string), ' 10.0.0.1 >  tcp')
+    WHEN 3 THEN concat('10:00:03 -', cast(event_id as string), '.5e0')
+    WHEN 4 THEN concat(' ', cast(3000000000 + event_id as string), ' 10.0.0.1 > 10.0.0.2 ')
+    WHEN 5 THEN 'x y 10.0.0.1'
+    ELSE concat('10:00:06 ', cast(event_id as string), ' 10.0.0.1 > 10.0.0.2 tcp') END"""
+
 # Verdict lines: "connection_id action " (trailing blank as in the shipped sample).
 VERDICT_LINE_SQL = """concat(cast(o_orderkey as string), ' ',
     CASE o_orderstatus WHEN 'F' THEN 'Blocked' WHEN 'P' THEN 'blocked' ELSE 'Allowed' END, ' ')"""
@@ -107,6 +94,10 @@ def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(F.expr(TRACE_LINE_SQL).alias("value"))
 
 
+def noisy_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select("event_id", F.expr(NOISY_TRACE_LINE_SQL).alias("value"))
+
+
 def verdict_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.expr(VERDICT_LINE_SQL).alias("value"))
 
@@ -117,7 +108,7 @@ def kv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lineitem_tsv_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "lineitem", spread=True).select(F.expr(LINEITEM_TSV_SQL).alias("value"))
+    return table(spark, sf_dir, "lineitem").select(F.expr(LINEITEM_TSV_SQL).alias("value"))
 
 
 def repository_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,7 +117,7 @@ def repository_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edge_lines(spark: SparkSession, sf_dir: str, noisy: bool = False) -> DataFrame:
     expr = NOISY_EDGE_LINE_SQL if noisy else EDGE_LINE_SQL
-    return table(spark, sf_dir, "lineitem", spread=True).select(F.expr(expr).alias("value"))
+    return table(spark, sf_dir, "lineitem").select(F.expr(expr).alias("value"))
 
 
 # Event streams: the event id is the stream position.

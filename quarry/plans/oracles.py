@@ -233,5 +233,21 @@ ORACLES["bigram_topk"] = f"""{_BIGRAM_PREFIX},
 c AS (SELECT {_BIGRAM_LAST})
 SELECT row_number() OVER (ORDER BY n DESC, w1, w2) AS rank, w1, w2, n FROM c QUALIFY rank <= 10"""
 
-ORACLES["stream_word_window_topk_arrays"] = ORACLES["stream_word_window_topk"]
-ORACLES["stream_bigram_window_topk_arrays"] = ORACLES["stream_bigram_window_topk"]
+
+_LENIENT_ID = "nullif(p[2], '')"
+_LENIENT_NUMBER = (f"(CASE WHEN regexp_full_match({_LENIENT_ID}, '[\\x00-\\x20]*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?[\\x00-\\x20]*') "
+                   f"THEN TRY_CAST(trim({_LENIENT_ID}, chr(9) || ' ') AS DOUBLE) END)")
+ORACLES["lenient_trace_scan"] = f"""WITH lines AS (SELECT event_id, CASE event_id % 7
+    WHEN 0 THEN concat('10:00:00  10.0.0.1 > ', CAST(event_id AS VARCHAR))
+    WHEN 1 THEN concat('10:00:01 ', CAST(event_id AS VARCHAR), '.7 10.0.0.1 > 10.0.0.2')
+    WHEN 2 THEN concat('10:00:02 ', chr(9), CAST(event_id AS VARCHAR), ' 10.0.0.1 >  tcp')
+    WHEN 3 THEN concat('10:00:03 -', CAST(event_id AS VARCHAR), '.5e0')
+    WHEN 4 THEN concat(' ', CAST(3000000000 + event_id AS VARCHAR), ' 10.0.0.1 > 10.0.0.2 ')
+    WHEN 5 THEN 'x y 10.0.0.1'
+    ELSE concat('10:00:06 ', CAST(event_id AS VARCHAR), ' 10.0.0.1 > 10.0.0.2 tcp') END AS line FROM events),
+parts AS (SELECT event_id, string_split(line, ' ') AS p FROM lines)
+SELECT event_id, nullif(p[1], '') AS time,
+       CASE WHEN regexp_full_match({_LENIENT_ID}, '[+-]?[0-9]+') AND TRY_CAST({_LENIENT_ID} AS INTEGER) IS NOT NULL THEN CAST({_LENIENT_ID} AS INTEGER)
+            WHEN {_LENIENT_NUMBER} >= 2147483648 THEN NULL ELSE CAST(trunc({_LENIENT_NUMBER}) AS INTEGER) END AS connection_id,
+       nullif(p[3], '') AS source_ip, nullif(p[5], '') AS destination_ip
+FROM parts"""

@@ -18,7 +18,8 @@ from quarry.functions.text import (
     space_token_count,
     space_tokens,
 )
-from quarry.operators import count_windows, counting, graph, relational
+from quarry.operators import count_windows, counting, graph, ordering, relational
+from quarry.session import materialize
 from quarry.sinks import writers
 from quarry.sources import text as src
 
@@ -28,7 +29,6 @@ GAZETTEER_SCHEMA = [("usps", "string"), ("geoid", "long"), ("pop10", "int"), ("h
                     ("awater_sqmi", "double"), ("intptlat", "double"), ("intptlong", "double")]
 
 _FILE_KEYS = ["_file", "_split", "_row"]
-_FILE_BUCKETS = ["_file", "_split"]
 
 
 def bigram_top_k(spark: SparkSession, input_path: str, output_path: str, k: int = 10,
@@ -40,12 +40,15 @@ def bigram_top_k(spark: SparkSession, input_path: str, output_path: str, k: int
     return top
 
 
-def total_order_sort(spark: SparkSession, input_path: str, output_path: str, num_files: int = 10,
+def total_order_sort(spark: SparkSession, input_path: str, output_path: str, num_files: int | None = None,
                      mode: str = "overwrite") -> DataFrame:
-    """Key/value text sorted by key (then value) into ``num_files`` files in global order."""
-    kv = src.read_key_values(spark, input_path)
-    writers.write_tab_text(kv, output_path, mode, num_files=num_files, order=["key", "value"])
-    return kv
+    """Key/value text sorted by key (then value), in global order over the files (``num_files``, if given).
+
+    Returns the lines as written, in the order of the files.
+    """
+    kv = ordering.sorted_by_range(src.read_key_values(spark, input_path), ["key", "value"], num_files)
+    writers.write_tab_text(kv, output_path, mode)
+    return src.read_key_values(spark, output_path)
 
 
 def first_char_sort(spark: SparkSession, input_path: str, output_path: str, num_buckets: int = 10,
@@ -53,11 +56,10 @@ def first_char_sort(spark: SparkSession, input_path: str, output_path: str, num_
     """Key/value text sorted by key and routed by first character: directory ``bucket=i`` per
     bucket, files sorted and in range order inside it (a crowded bucket spreads over files)."""
     kv = src.read_key_values(spark, input_path).withColumn("bucket", first_char_bucket("key", num_buckets))
-    order = [F.col("bucket"), F.col("key"), F.col("value")]
-    shaped = kv.repartitionByRange(*order).sortWithinPartitions(*order)
+    shaped = ordering.sorted_by_range(kv, ["bucket", "key", "value"])
     shaped.select("bucket", F.concat_ws("\t", "key", "value").alias("value")).write.mode(mode) \
         .partitionBy("bucket").text(output_path)
-    return kv
+    return src.read_lines(spark, output_path).select("bucket", *src.split_key_value("value"))
 
 
 def land_area_top_k(spark: SparkSession, input_path: str, output_path: str, k: int = 10,
@@ -84,20 +86,17 @@ def firewall_log(spark: SparkSession, trace_path: str, block_path: str, log_outp
     """Blocked connections ordered by time, and blocked counts per source IP (most first).
 
     ``case_sensitive=True, strict=False, tuple_text=False`` is the Pig form (exact ``Blocked``,
-    NULL on bad fields, TAB output); the defaults are the RDD form. The join is persisted because
-    both outputs read it.
+    NULL on bad fields, TAB output); the defaults are the RDD form. The joined log is written once to the checkpoint
+    folder, and both outputs read that.
     """
     trace = src.read_trace(spark, trace_path, strict=strict)
     verdicts = src.read_verdicts(spark, block_path, strict=strict)
-    joined = relational.firewall_log(trace, verdicts, case_sensitive, sort=False).persist()
-    try:
-        log = joined.orderBy("time", "connection_id", "source_ip", "destination_ip")
-        counts = relational.blocked_count_by_source(joined)
-        write = writers.write_tuple_text if tuple_text else writers.write_tab_text
-        write(log, log_output, mode)
-        write(counts, counts_output, mode)
-    finally:
-        joined.unpersist()
+    joined = materialize(relational.firewall_log(trace, verdicts, case_sensitive, sort=False), "firewall-log")
+    log = joined.orderBy("time", "connection_id", "source_ip", "destination_ip")
+    counts = relational.blocked_count_by_source(joined)
+    write = writers.write_tuple_text if tuple_text else writers.write_tab_text
+    write(log, log_output, mode)
+    write(counts, counts_output, mode)
     return log, counts
 
 
@@ -130,9 +129,7 @@ def word_window_top_k(spark: SparkSession, input_path: str, output_path: str, wi
                       k: int = 10, mode: str = "overwrite") -> DataFrame:
     """Top ``k`` words of every full window of ``window`` words, in file order."""
     lines = src.read_ordered_lines(spark, input_path)
-    recs = lines.select(*_FILE_KEYS, lower_word_tokens("value").alias("w"), lower_word_count("value").alias("n"))
-    top = count_windows.word_window_topk(recs, _FILE_KEYS, "w", window, k, bucket_cols=_FILE_BUCKETS,
-                                         size=F.col("n"))
+    top = count_windows.word_window_topk(lines, _FILE_KEYS, lower_word_tokens("value"), lower_word_count("value"), window, k)
     writers.write_table(top, output_path, mode)
     return top
 
@@ -141,9 +138,7 @@ def bigram_window_top_k(spark: SparkSession, input_path: str, output_path: str,
                         k: int = 10, mode: str = "overwrite") -> DataFrame:
     """Top ``k`` bigrams of every full window of ``window`` raw tokens, in file order."""
     lines = src.read_ordered_lines(spark, input_path)
-    recs = lines.select(*_FILE_KEYS, space_tokens("value").alias("t"), space_token_count("value").alias("n"))
-    top = count_windows.bigram_window_topk(recs, _FILE_KEYS, "t", window, k, bucket_cols=_FILE_BUCKETS,
-                                           size=F.col("n"))
+    top = count_windows.bigram_window_topk(lines, _FILE_KEYS, space_tokens("value"), space_token_count("value"), window, k)
     writers.write_table(top, output_path, mode)
     return top
 

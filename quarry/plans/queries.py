@@ -7,17 +7,15 @@ sorted DataFrames (``orderBy``).
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens
+from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens, text_lines
 from quarry.operators import count_windows, counting, graph, ordering, relational
 from quarry.plans import inputs
 from quarry.sources import text as src
-from quarry.streaming import count_windows as stream_windows
 from quarry.streaming import stateful_windows
 
 K = 10
@@ -40,19 +38,18 @@ def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = inputs.table(spark, sf_dir, "documents", spread=True).select(
-        "doc_id", lower_word_tokens("text").alias("words"), lower_word_count("text").alias("n_words"))
-    return count_windows.word_window_topk(docs, "doc_id", "words", WINDOW, K, size=F.col("n_words"))
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
+    return count_windows.word_window_topk(docs, "doc_id", lower_word_tokens("text"), lower_word_count("text"), WINDOW, K)
 
 
 def bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Lower-casing the whole text equals lower-casing each token: it never adds or removes the
     # blanks and line breaks that delimit tokens.
-    docs = inputs.document_line_arrays(spark, sf_dir, lowercase=True).select(
-        "doc_id", F.flatten(F.transform("lines", lambda line: space_tokens(line))).alias("tokens"),
-        F.aggregate("lines", F.lit(0).cast("long"), lambda acc, line: acc + space_token_count(line)).alias("n_tokens"))
-    return count_windows.bigram_window_topk(docs, "doc_id", "tokens", WINDOW, K, size=F.col("n_tokens"),
-                                            lowercase=False)
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", F.lower("text").alias("text"))
+    lines = text_lines("text")
+    tokens = F.flatten(F.transform(lines, lambda line: space_tokens(line)))
+    n_tokens = F.aggregate(lines, F.lit(0).cast("long"), lambda acc, line: acc + space_token_count(line))
+    return count_windows.bigram_window_topk(docs, "doc_id", tokens, n_tokens, WINDOW, K, lowercase=False)
 
 
 # --- streams ----------------------------------------------------------------------------------
@@ -62,10 +59,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     number of state partitions of the streams started from it (fixed at a stream's first start).
     One per core suits these bounded runs; the caller's session conf is left untouched."""
     child = spark.newSession()
-    try:
-        child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
-    except Exception:  # no SparkContext (Spark Connect): keep the inherited setting
-        pass
+    child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
     return child
 
 
@@ -92,25 +86,6 @@ def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         stateful_windows.bigram_window_topk_stateful(items, window_size=WINDOW, k=K), spark, "stream-bigrams")
 
 
-def stream_word_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """JVM-only variant: complete-mode aggregate with array top-k, for bounded runs."""
-    spark = _stream_session(spark)
-    items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
-                                               F.expr(inputs.STREAM_WORD_SQL).alias("word"))
-    out = stream_windows.run_available(stream_windows.word_window_topk_stream(items, window_size=WINDOW, k=K),
-                                       f"stream_words_{uuid.uuid4().hex[:8]}", spark)
-    return stream_windows.explode_top(out, ["word"])
-
-
-def stream_bigram_window_topk_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = _stream_session(spark)
-    items = _event_stream(spark, sf_dir).select(F.col("event_id").alias("ordinal"),
-                                               F.expr(inputs.STREAM_TOKEN_SQL).alias("token"))
-    out = stream_windows.run_available(stream_windows.bigram_window_topk_stream(items, window_size=WINDOW, k=K),
-                                       f"stream_bigrams_{uuid.uuid4().hex[:8]}", spark)
-    return stream_windows.explode_top(out, ["w1", "w2"])
-
-
 # --- scans and parsers ------------------------------------------------------------------------
 
 def kv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,6 +101,10 @@ def positional_project(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.parse_network_events(inputs.trace_lines(spark, sf_dir))
 
 
+def lenient_trace_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return src.parse_trace(inputs.noisy_trace_lines(spark, sf_dir), strict=False, keep=["event_id"])
+
+
 # --- ordering ---------------------------------------------------------------------------------
 
 def total_order_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,11 +207,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bigram_window_topk": bigram_window_topk,
     "stream_word_window_topk": stream_word_window_topk,
     "stream_bigram_window_topk": stream_bigram_window_topk,
-    "stream_word_window_topk_arrays": stream_word_window_topk_arrays,
-    "stream_bigram_window_topk_arrays": stream_bigram_window_topk_arrays,
     "kv_parse": kv_parse,
     "delimited_typed_scan": delimited_typed_scan,
     "positional_project": positional_project,
+    "lenient_trace_scan": lenient_trace_scan,
     "total_order_sort": total_order_sort,
     "first_char_bucket_sort": first_char_bucket_sort,
     "sum_by_key_topk": sum_by_key_topk,

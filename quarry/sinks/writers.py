@@ -3,7 +3,7 @@
 Writes go through Spark's committers (one file per partition, atomic job commit). The replace
 policy is explicit: ``overwrite`` replaces the target, ``errorifexists`` refuses an existing one.
 Fixed output file counts are honoured by ``num_files`` with a range repartition when the rows are
-ordered (file order = total order) and a plain ``coalesce`` otherwise.
+ordered (file order = total order) and a plain repartition otherwise, so that the work before it keeps its tasks.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarry.operators.ordering import sorted_by_range
+
 
 def tuple_text(df: DataFrame) -> Column:
     """``(f1,f2,...)``: the text form of a tuple row; NULL prints as ``null``."""
@@ -27,9 +29,8 @@ def _shape(df: DataFrame, num_files: int | None, order: list | None) -> DataFram
     if num_files is None:
         return df
     if order:
-        cols = [F.col(c) if isinstance(c, str) else c for c in order]
-        return df.repartitionByRange(num_files, *cols).sortWithinPartitions(*cols)
-    return df.coalesce(num_files)
+        return sorted_by_range(df, order, num_files)
+    return df.repartition(num_files)
 
 
 def write_tuple_text(df: DataFrame, path: str, mode: str = "errorifexists", num_files: int | None = None,

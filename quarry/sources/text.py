@@ -1,16 +1,18 @@
 """Text sources and record parsers.
 
 Scans are Spark's own (``read.text``, ``read.csv``); parsing is column expressions on the line, so
-Catalyst prunes the fields a query does not use. Bad-input policy is explicit per parser:
-``strict=True`` fails the job on a bad number (ANSI cast), otherwise the field becomes NULL.
+Catalyst prunes the fields a query does not use. Bad-input policy is explicit per parser and the same under any
+session setting: ``strict=True`` fails the job on a bad number or a missing field, otherwise Pig's rules hold.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.functions.text import java_split, strict_int, strict_long
+from quarry.functions.text import java_split
 
 # Field positions of the record formats the queries read (fixed by the formats).
 TRACE_FIELDS = {"time": 0, "connection_id": 1, "source_ip": 2, "destination_ip": 4}
@@ -45,33 +47,54 @@ def split_key_value(line: str | Column = "value") -> list[Column]:
     return [parts.getItem(0).alias("key"), F.coalesce(F.get(parts, 1), F.lit("")).alias("value")]
 
 
-def _typed(field: Column, dtype: str, strict: bool) -> Column:
-    if strict:
-        return field.cast(dtype)
-    if dtype in ("int", "integer"):
-        return strict_int(field)
-    if dtype in ("long", "bigint"):
-        return strict_long(field)
+_WHOLE = {"int": "int", "integer": "int", "long": "bigint", "bigint": "bigint"}
+_RANGE = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+#: A decimal number as Java's Double.valueOf reads it, blanks around it included.
+_DECIMAL = "^[\\x00-\\x20]*[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?[\\x00-\\x20]*\\z"
+
+
+def strict_field(field: Column, dtype: str, name: str) -> Column:
+    """The field as ``dtype``; a missing field or a bad number raises, whatever the session's ANSI setting.
+
+    Whole numbers are digits with an optional sign and nothing else (``Integer.parseInt``), so blanks around them fail.
+    """
+    whole = _WHOLE.get(dtype)
+    value = field if dtype == "string" else field.try_cast(whole or dtype)
+    good = value.isNotNull() & (field.rlike("^[+-]?[0-9]+\\z") if whole else F.lit(True))
+    message = F.concat(F.lit(f"bad {name}: "), F.coalesce(field, F.lit("missing")))
+    return F.when(good, value).otherwise(F.raise_error(message).cast(whole or dtype))
+
+
+def pig_field(field: Column, dtype: str) -> Column:
+    """The field as Pig loads it: empty is NULL; a decimal read as a whole number is cut towards zero; what is no
+    number, or beyond the type's largest, is NULL, and below its smallest is the smallest."""
+    field = F.nullif(field, F.lit(""))
     if dtype == "string":
         return field
-    return field.try_cast(dtype)
+    whole = _WHOLE.get(dtype)
+    if whole is None:
+        return field.try_cast(dtype)
+    low, high = _RANGE[whole]
+    plain = F.when(field.rlike("^[+-]?[0-9]+\\z"), field.try_cast(whole))
+    number = F.when(field.rlike(_DECIMAL), F.regexp_replace(field, "[\\x00-\\x20]", "").try_cast("double"))
+    cut = F.when(number >= float(high) + (1 if whole == "int" else 0), F.lit(None)).when(number <= float(low), F.lit(low)).otherwise(number)
+    return F.coalesce(plain, cut.try_cast(whole))
 
 
 def parse_positional(lines: DataFrame, sep: str, fields: dict[str, tuple[int, str]], line_col: str = "value",
                      strict: bool = False, keep: list[str] | None = None) -> DataFrame:
     """Pick fields by position from ``sep``-split lines and type them.
 
-    Missing fields are NULL (Pig); with ``strict`` a missing field or bad number fails (Java).
-    ``sep`` is a regex, as in ``String.split``; trailing empty fields are dropped like Java does.
+    Missing and empty fields are NULL (``pig_field``); with ``strict`` a missing field or bad number fails
+    (``strict_field``). ``sep`` is a regex, as in ``String.split``; trailing empty fields are dropped like Java does.
     The split array is its own projection so it is computed once per line, not once per field.
     """
     keep = keep or []
     split = lines.select(*keep, java_split(F.col(line_col), sep).alias("_parts"))
-    parts = F.col("_parts")
     cols = []
     for name, (idx, dtype) in fields.items():
-        raw = parts.getItem(idx) if strict else F.get(parts, idx)
-        cols.append(_typed(raw, dtype, strict).alias(name))
+        raw = F.get(F.col("_parts"), F.lit(idx))
+        cols.append((strict_field(raw, dtype, name) if strict else pig_field(raw, dtype)).alias(name))
     return split.select(*keep, *cols)
 
 
@@ -133,8 +156,6 @@ def parse_edges(lines: DataFrame, sep: str = "\t", line_col: str = "value",
     ``1<TAB>2<TAB>3`` is not: one anchored regex decides, a split on the separator reads the ids
     (an id beyond the long range fails ``try_cast`` and is dropped, as ``parseLong`` would fail).
     """
-    import re
-
     s = re.escape(sep)
     pattern = f"^[+-]?[0-9]+{s}[+-]?[0-9]+(?:{s})*\\z"
     line = F.col(line_col)

@@ -1,23 +1,26 @@
-"""Count windows on an endless stream: per-window state, emitted once and evicted.
-
-``groupBy(window_id).applyInPandasWithState`` keeps, for each *open* window only, the items seen
-so far (at most N). When a window has received its N records it emits its top-k rows and
-removes its state, so state is bounded by (open windows x N) and the output is append-only (any
-file or table sink). Text semantics (tokenising, word / sentence-end classification) stay in JVM
-expressions before this step; the Python side only counts and ranks, with the same tie rules
-as the batch operators (frequency descending, then item ascending).
+"""Count windows on an endless stream: per-window state, reported once.
+
+Records carry their stream position (a dense id or a log offset); a window is ``position div N``.
+``groupBy(window_id).applyInPandasWithState`` keeps, for each open window, the positions seen and their items (at most
+N). A window is complete when all its N positions have been seen: a position that comes again is ignored, a gap leaves
+the window open, a NULL position belongs to no window. A complete window emits its top-k rows once and leaves an empty
+marker, so that a replay cannot reopen it. State is bounded by (open windows x N) plus one marker for each reported
+window. The output is append-only (any file or table sink). Text semantics (tokenising, word / sentence-end
+classification) stay in JVM expressions before this step; the Python side only counts and ranks, with the same tie
+rules as the batch operators (frequency descending, then item ascending).
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from quarry.functions.numbers import floor_div
 from quarry.functions.text import SENTENCE_MARK, classify_token
 from quarry.session import scratch_path
 
@@ -25,73 +28,68 @@ WINDOW_SIZE = 1000
 TOP_K = 10
 
 WORD_OUT = "window_id long, rank long, word string, n long"
-WORD_STATE = "n_items long, words array<string>"
 BIGRAM_OUT = "window_id long, rank long, w1 string, w2 string, n long"
-BIGRAM_STATE = "n_items long, ordinals array<long>, kept array<string>"
+STATE = "closed boolean, positions array<long>, items array<string>"
 
 
-def _window_of(ordinal: str, window_size: int):
-    return F.floor(F.col(ordinal) / F.lit(window_size)).cast("long").alias("window_id")
+def _windowed(records: DataFrame, position: str, item: Column, window_size: int, schema: str,
+              report: Callable[[int, list], pd.DataFrame]) -> DataFrame:
+    """Collect the items of each window by position; ``report(window_id, items in order)`` once it is complete.
 
-
-def word_window_topk_stateful(items: DataFrame, ordinal: str = "ordinal", word: str = "word",
-                              window_size: int = WINDOW_SIZE, k: int = TOP_K) -> DataFrame:
-    """Streaming ``(window_id, rank, word, n)``, appended once per completed window."""
-    # The state function ships to Python workers by value: it may use only the standard
-    # library, pandas and its closure (no module-level helpers of this package).
+    The state function ships to Python workers by value: it may use only the standard library, pandas and its closure.
+    """
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n_items, words = state.get if state.exists else (0, [])
-        words = list(words)
+        closed, positions, items = state.get if state.exists else (False, [], [])
+        if closed:
+            for _ in batches:
+                pass
+            return
+        seen = dict(zip(positions, items))
         for pdf in batches:
-            n_items += len(pdf)
-            words.extend(pdf["word"].tolist())
-        if n_items < window_size:
-            state.update((n_items, words))
+            for p, item in zip(pdf["position"].tolist(), pdf["item"].tolist()):
+                seen.setdefault(p, item)
+        if len(seen) < window_size:
+            state.update((False, list(seen), list(seen.values())))
             return
-        state.remove()
+        state.update((True, [], []))
+        yield report(key[0], [seen[p] for p in sorted(seen)])
+
+    keyed = (records.filter(F.col(position).isNotNull())
+             .select(floor_div(F.col(position), window_size).alias("window_id"), F.col(position).cast("long").alias("position"), item.alias("item")))
+    return keyed.groupBy("window_id").applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def word_window_topk_stateful(items: DataFrame, ordinal: str = "ordinal", word: str = "word",
+                              window_size: int = WINDOW_SIZE, k: int = TOP_K) -> DataFrame:
+    """Streaming ``(window_id, rank, word, n)``, appended once per completed window. A NULL word fills its position only."""
+
+    def report(window_id: int, words: list) -> pd.DataFrame:
         counts = Counter(w for w in words if w is not None)
         top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:k]
-        yield pd.DataFrame({"window_id": [key[0]] * len(top), "rank": range(1, len(top) + 1),
-                            "word": [w for w, _ in top], "n": [n for _, n in top]})
+        return pd.DataFrame({"window_id": [window_id] * len(top), "rank": range(1, len(top) + 1),
+                             "word": [w for w, _ in top], "n": [n for _, n in top]})
 
-    keyed = items.select(_window_of(ordinal, window_size), F.col(word).alias("word"))
-    return keyed.groupBy("window_id").applyInPandasWithState(
-        step, WORD_OUT, WORD_STATE, "append", GroupStateTimeout.NoTimeout)
+    return _windowed(items, ordinal, F.col(word), window_size, WORD_OUT, report)
 
 
 def bigram_window_topk_stateful(items: DataFrame, ordinal: str = "ordinal", token: str = "token",
                                 window_size: int = WINDOW_SIZE, k: int = TOP_K) -> DataFrame:
     """Streaming ``(window_id, rank, w1, w2, n)``, appended once per completed window.
 
-    Every raw token counts toward the window; only classified tokens (words and sentence ends)
-    are kept in state, with their positions, and paired in position order at completion.
+    Every raw token fills its position; only words and sentence ends are paired, in position order at completion.
     """
     mark = SENTENCE_MARK
 
-    def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        n_items, ords, kept = state.get if state.exists else (0, [], [])
-        ords, kept = list(ords), list(kept)
-        for pdf in batches:
-            n_items += len(pdf)
-            keep = pdf["c"].notna()
-            ords.extend(pdf.loc[keep, "o"].tolist())
-            kept.extend(pdf.loc[keep, "c"].tolist())
-        if n_items < window_size:
-            state.update((n_items, ords, kept))
-            return
-        state.remove()
-        seq = [c for _, c in sorted(zip(ords, kept))]
-        pairs = Counter((a, b) for a, b in zip(seq, seq[1:]) if a != mark and b != mark)
+    def report(window_id: int, tokens: list) -> pd.DataFrame:
+        kept = [t for t in tokens if t is not None]
+        pairs = Counter((a, b) for a, b in zip(kept, kept[1:]) if a != mark and b != mark)
         top = sorted(pairs.items(), key=lambda kv: (-kv[1], kv[0]))[:k]
-        yield pd.DataFrame({"window_id": [key[0]] * len(top), "rank": range(1, len(top) + 1),
-                            "w1": [p[0] for p, _ in top], "w2": [p[1] for p, _ in top],
-                            "n": [n for _, n in top]})
-
-    keyed = items.select(_window_of(ordinal, window_size), F.col(ordinal).alias("o"),
-                         classify_token(token).alias("c"))
-    return keyed.groupBy("window_id").applyInPandasWithState(
-        step, BIGRAM_OUT, BIGRAM_STATE, "append", GroupStateTimeout.NoTimeout)
+        return pd.DataFrame({"window_id": [window_id] * len(top), "rank": range(1, len(top) + 1),
+                             "w1": [p[0] for p, _ in top], "w2": [p[1] for p, _ in top],
+                             "n": [n for _, n in top]})
+
+    return _windowed(items, ordinal, classify_token(token), window_size, BIGRAM_OUT, report)
 
 
 def run_to_files(stream: DataFrame, spark: SparkSession, name: str, fmt: str = "parquet") -> DataFrame:

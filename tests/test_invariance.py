@@ -28,32 +28,6 @@ def test_partition_count_invariance(spark, name):
     assert results[0] == results[1]
 
 
-def test_small_bucket_ordinals_match_default(spark):
-    """Two-level prefix sums give the same positions whatever the bucket size."""
-    from quarry.functions.text import lower_word_tokens
-    from quarry.operators.ordinals import explode_with_ordinals
-    from quarry.plans.inputs import table
-
-    docs = table(spark, SF, "documents").select("doc_id", lower_word_tokens("text").alias("w"))
-    a = explode_with_ordinals(docs, "doc_id", "w", bucket_size=1 << 16).select("ordinal", "item", "total")
-    b = explode_with_ordinals(docs, "doc_id", "w", bucket_size=7).select("ordinal", "item", "total")
-    ra, rb = sorted(map(tuple, a.collect())), sorted(map(tuple, b.collect()))
-    assert ra == rb
-    assert [r[0] for r in ra] == list(range(len(ra)))
-
-
-def test_ordinals_skip_null_keys(spark):
-    from pyspark.sql import functions as F
-
-    from quarry.operators.ordinals import explode_with_ordinals
-
-    df = spark.createDataFrame([(0, ["a", "b"]), (None, ["x"]), (5, ["c"]), (2, [])], "id long, w array<string>")
-    rows = sorted(tuple(r) for r in explode_with_ordinals(df, "id", "w", bucket_size=2)
-                  .select("ordinal", "item", "total").collect())
-    assert rows == [(0, "a", 3), (1, "b", 3), (2, "c", 3)]
-    assert F is not None
-
-
 def test_global_rank_dense_with_duplicates(spark):
     from pyspark.sql import functions as F
 
