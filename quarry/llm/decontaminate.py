@@ -4,8 +4,8 @@ Words are lower-cased runs of letters and digits; a shingle is five of them (an
 passage matches an item if a window of as many words has a weighted-shingle similarity of at least 0.8, that is the
 sum of the smaller over the sum of the larger count of each shingle (for a text shorter than the item, its whole).
 
-1. Shingles of the documents are joined to those of the items. A window that matches an item shares a shingle with it,
-   and moved to the first one it shares (or back to the text's end) it matches at least as well, so only windows that
+1. Texts that share no shingle with any item are dropped where they are read. A window that matches an item shares a
+   shingle with it, and moved to the first one it shares (or back to the text's end) it matches at least as well, so only windows that
    start there are looked at.
 2. Each has a 64-bit SimHash. Windows and items of one size are joined on ``radius + 1`` blocks of bits, which finds
    every pair of fingerprints within ``radius``. Two windows at similarity 0.8 differ in about ten of 64 bits.
@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from quarry.llm.components import materialised
 
 SHINGLE_WORDS, SIMILARITY, RADIUS = 5, 0.8, 15
-#: Words of all items up to which item tables are broadcast; beyond, Spark shuffles both sides.
-BROADCAST_WORDS = 200_000
+#: Words of all items up to which their shingles are a constant of the filter and item tables are broadcast; beyond, both
+#: are joins that Spark shuffles.
+BROADCAST_WORDS = 50_000
 
 
 def _words(text: Column) -> Column:
@@ -62,6 +63,16 @@ def _similarity() -> Column:
     return common / (F.size("shingles") + F.size("item_shingles") - common)
 
 
+def _sharing(shingled: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
+    """The rows of which some hash in ``all`` is in ``wanted.h``."""
+    if small:
+        hashes = [r["h"] for r in wanted.collect()]  # at most BROADCAST_WORDS
+        listed = ", ".join(f"{h}L" if h > -(2**63) else "cast('-9223372036854775808' as bigint)" for h in hashes)
+        return shingled.filter(F.expr(f"exists(all, h -> h in ({listed}))") if hashes else F.lit(False))
+    hit = shingled.select("id", "key", F.explode("all").alias("h")).join(wanted, "h", "left_semi").select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct()
+    return shingled.join(hit, shingled["id"].eqNullSafe(F.col("_id")) & (shingled["key"] == F.col("_key")), "left_semi")
+
+
 def find(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
     shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, radius: int = RADIUS,
@@ -89,16 +100,17 @@ def find(
         own = own.select("item", "n", "item_shingles").withColumn("item_fp", F.expr(_fingerprint("item_shingles")))
         wanted = own.select("n", F.explode("item_shingles").alias("h")).distinct()
 
-        tokens = rows.select("id", "key", _words(F.col("text")).alias("words"))
-        each = tokens.select("id", "key", F.size("words").alias("n_words"), F.posexplode(_shingles(width)).alias("at", "h"))
-        hits = each.join(maybe(wanted), "h").select("id", "key", "n", F.greatest(F.least("at", F.col("n_words") - F.col("n")), F.lit(0)).alias("start"))
-        starts = materialised(hits.groupBy("id", "key").agg(F.collect_set(F.struct("n", "start")).alias("starts")))
-
-        hit = starts.select(F.col("id").alias("_id"), F.col("key").alias("_key"), "starts")
-        texts = rows.join(hit, rows["id"].eqNullSafe(F.col("_id")) & (rows["key"] == F.col("_key"))).dropDuplicates(["id", "key"])
-        shingled = texts.select("id", "key", "starts", _words(F.col("text")).alias("words")).select("id", "key", "starts", _shingles(width).alias("all"))
+        # a generator, so that no filter below makes Spark split the text again for each shingle
+        tokens = rows.select("id", "key", F.explode(F.array(_words(F.col("text")))).alias("words"))
+        shingled = tokens.select("id", "key", F.size("words").alias("n_words"), _shingles(width).alias("all"))
+        sharing = materialised(_sharing(shingled, wanted.select("h").distinct(), small))
+        hits = sharing.select("id", "key", "n_words", F.posexplode("all").alias("at", "h")).join(maybe(wanted), "h")
+        starts = hits.select("id", "key", "n", F.greatest(F.least("at", F.col("n_words") - F.col("n")), F.lit(0)).alias("start"))
+        starts = starts.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_set(F.struct("n", "start")).alias("starts"))
+        texts = sharing.dropDuplicates(["id", "key"])
+        texts = texts.join(starts, texts["id"].eqNullSafe(F.col("_id")) & (texts["key"] == F.col("_key")))
         windows = (
-            shingled.select("id", "key", F.explode(F.expr(f"transform(starts, s -> named_struct('n', s.n, 'start', s.start, 'shingles', slice(all, s.start + 1, s.n - {width - 1})))")).alias("w"))
+            texts.select("id", "key", F.explode(F.expr(f"transform(starts, s -> named_struct('n', s.n, 'start', s.start, 'shingles', slice(all, s.start + 1, s.n - {width - 1})))")).alias("w"))
             .select("id", "key", "w.*").withColumn("fp", F.expr(_fingerprint("shingles")))
         )
         mine = windows.select("*", _block_values("fp", radius)).select("id", "key", "n", "start", "shingles", "fp", "b.block", "b.value")

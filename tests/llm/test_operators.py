@@ -22,7 +22,7 @@ def bag(items):
 # --- 1 line dedup
 
 
-@pytest.mark.parametrize("options", [{}, {"frequent": 0, "enough": 1}])
+@pytest.mark.parametrize("options", [{}, {"frequent": 0, "rounds": (1, None)}])
 def test_line_dedup(docs, rows, options, monkeypatch):
     if options:
         monkeypatch.setattr(linededup, "SMALL_GROUP", 2)
@@ -43,7 +43,7 @@ def test_line_dedup_second_round(spark, monkeypatch):
             line[k] = f"x{r.randrange(40)}"
         rows.append((i, " ".join(line), None, None))
     docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
-    got = linededup.deduplicate(docs, enough=1)
+    got = linededup.deduplicate(docs, rounds=(1, 2, None))
     assert bag(got.select("doc_id", "n_lines", "n_removed", "text").collect()) == bag(brute.line_dedup(rows))
 
 
@@ -130,7 +130,9 @@ def test_thresholds_of_large_groups_are_their_own(spark):
 ITEMS = [(1, "tarimo kel one two three four five six seven eight nine ten eleven"), (2, "short item"), (3, None), (4, "..."), (None, "an item that has no number but some words"), (2, "short item")]
 
 
-def test_decontamination(spark, rows, docs):
+@pytest.mark.parametrize("broadcast_words", [decontaminate.BROADCAST_WORDS, 0])
+def test_decontamination(spark, rows, broadcast_words, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_WORDS", broadcast_words)
     passage = ITEMS[0][1]
     more = [
         (200, "before " + passage.upper().replace(" ", ", ") + " after", None, None), (201, passage.replace("eleven", "twelve"), None, None), (202, "a very SHORT: item here", None, None),
