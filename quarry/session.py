@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 
@@ -38,10 +41,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     own when none is set and the master is local (tests). A cluster without one is
     a configuration error: a machine-local folder would not survive executor loss.
     """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
-        return spark.conf.get("spark.checkpoint.dir", "")
+    sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
@@ -55,14 +55,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a shared (HDFS/S3/ABFS) folder")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the checkpoint directory for streaming state and spills."""
-    import uuid
+_removed_at_exit: set[str] = set()
 
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh path for an intermediate table or a stream's state, in the application's folder under the checkpoint
+    directory. The folder is removed when the driver's Python ends; results that must outlive it are written elsewhere."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/quarry-{spark.sparkContext.applicationId}"
+    if base not in _removed_at_exit:
+        _removed_at_exit.add(base)
+        target = spark._jvm.org.apache.hadoop.fs.Path(base)
+        files = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        atexit.register(_remove, files, target)
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
+def _remove(files, target) -> None:
+    try:
+        files.delete(target, True)
+    except Py4JError:  # the JVM has gone before us
+        pass
+
+
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as parquet under the checkpoint folder and reading it back.
 

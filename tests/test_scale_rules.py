@@ -1,5 +1,10 @@
 """Whole-number edges, hot keys, hashed ids: what small tables don't show."""
 
+import glob
+import os
+import subprocess
+import sys
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -89,3 +94,17 @@ def test_triangles_with_many_blocks(spark):
     assert graph.triangle_count(clique, block=3).first()[0] == n * (n - 1) * (n - 2) // 6
     spread = graph.common_out_neighbours(clique, block=3).groupBy("t").count().count()
     assert spread > 10
+
+
+def test_intermediate_tables_go_when_the_driver_ends(tmp_path):
+    code = f"""
+from pyspark.sql import SparkSession
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", "{tmp_path}").getOrCreate()
+from quarry.session import materialize
+import glob
+assert materialize(spark.range(5), "t").count() == 5
+assert glob.glob("{tmp_path}/**/*.parquet", recursive=True)
+"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=root, timeout=120)
+    assert not glob.glob(f"{tmp_path}/**/*.parquet", recursive=True)
