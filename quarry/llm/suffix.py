@@ -30,11 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import materialised
-from quarry.llm.sketch import bitmap, log2_cells, text_bytes
+from quarry.llm.sketch import bitmap, log2_cells, signed_hashes, split_by_key, text_bytes
 from quarry.llm.textbatch import Chunk, Spans, chunks, inside, runs, slide
 
 LENGTH = 200
-ANCHOR = 64
+ANCHOR = 100
 HOT_CONTENTS = 5_000
 #: Bytes of segments that a bucket holds on average.
 BUCKET_BYTES = 1 << 20
@@ -56,20 +56,16 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
     rises = np.append(text[change] < text[change + 1], False)
     smaller = np.repeat(rises, np.diff(np.concatenate(([-1], ends))))
     padded = np.concatenate([text, np.zeros(depth, np.uint8)])
-    direct = np.flatnonzero(smaller)
-    keys = np.ndarray(n, f"S{depth}", padded.tobytes(), strides=(1,))[direct]
-    direct = direct[np.argsort(keys, kind="stable")]
-    del keys
+    keys = np.ndarray(n, f"S{depth}", padded, strides=(1,))
 
     size = np.bincount(text, minlength=256)
     start = np.concatenate(([0], np.cumsum(size)))[:-1]
     end = start + size
     order = np.full(n, -1, np.int64)
-    n_direct = np.bincount(text[direct], minlength=256)
-    at = 0
+    n_direct = np.bincount(text[smaller], minlength=256)
     for byte in np.flatnonzero(n_direct):  # the smaller ones stand at the end of the bucket of their first byte
-        order[end[byte] - n_direct[byte] : end[byte]] = direct[at : at + n_direct[byte]]
-        at += n_direct[byte]
+        direct = np.flatnonzero(smaller & (text == byte))
+        order[end[byte] - n_direct[byte] : end[byte]] = direct[np.argsort(keys[direct], kind="stable")]
     head = start.copy()
     order[head[text[-1]]] = n - 1
     head[text[-1]] += 1
@@ -107,7 +103,7 @@ def repeated_windows(segments: list[bytes], length: int) -> np.ndarray:
     order = order[whole[order]]
     a, b = order[:-1], order[1:]
     padded = np.concatenate([text, np.zeros(8, np.uint8)])
-    eight = np.ndarray(len(text), ">u8", padded.tobytes(), strides=(1,))
+    eight = np.ndarray(len(text), ">u8", padded, strides=(1,))
     common = np.zeros(len(a), np.int64)  # of neighbours, up to the window's length
     live = np.arange(len(a))
     for done in range(0, length - length % 8, 8):
@@ -136,24 +132,25 @@ class _Segments:
     twice: np.ndarray  # whether the minimizer stands at two places in it
 
 
-def _least(chunk: Chunk, length: int, anchor: int, spans: Spans) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hashes, the minimizer of each window, and the flags of the anchors that are some window's minimizer."""
+def _least(chunk: Chunk, length: int, anchor: int, spans: Spans) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor hashes, and the minimizer of each window (0 where the window isn't within one text)."""
     h = spans.windows(anchor)
-    width = length - anchor + 1
-    least = slide(h, width)
-    ok = inside(chunk.offsets, length)
-    masked = np.where(ok, least, np.uint64(0))
+    return h, np.where(inside(chunk.offsets, length), slide(h, length - anchor + 1), np.uint64(0))
+
+
+def _chosen(h: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
+    """Flags of the anchors that are some window's minimizer."""
     edge = np.zeros(width - 1, np.uint64)
-    chosen = slide(np.concatenate([edge, masked, edge]), width, np.maximum)[: len(h)] == h
-    return h, np.where(ok, least, np.uint64(0)), chosen
+    return slide(np.concatenate([edge, least, edge]), width, np.maximum)[: len(h)] == h
 
 
-def _segments(chunk: Chunk, length: int, anchor: int, spans: Spans) -> _Segments:
+def _segments(chunk: Chunk, length: int, anchor: int, spans: Spans, places: bool = False) -> _Segments:
+    """The segments of a chunk; ``twice`` is found only if ``places`` is set."""
     n = len(chunk.data) - length + 1
     none = np.zeros(0, np.int64)
     if n <= 0:
         return _Segments(none.astype(np.uint64), none.astype(np.uint64), none, none, none, none.astype(bool))
-    h, least, chosen = _least(chunk, length, anchor, spans)
+    h, least = _least(chunk, length, anchor, spans)
     ok = inside(chunk.offsets, length)
     new = np.concatenate(([True], (least[1:] != least[:-1]) | (ok[1:] != ok[:-1])))
     text_start = chunk.offsets[(chunk.offsets > 0) & (chunk.offsets < n)]
@@ -161,7 +158,7 @@ def _segments(chunk: Chunk, length: int, anchor: int, spans: Spans) -> _Segments
     start = np.flatnonzero(new)
     windows = np.diff(np.append(start, n))
     start, windows = start[ok[start]], windows[ok[start]]
-    at = np.flatnonzero(chosen)
+    at = np.flatnonzero(_chosen(h, least, length - anchor + 1)) if places else none
     pair = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (np.diff(at) <= length - anchor)) if len(at) > 1 else none
     twice = np.zeros(len(start), bool)
     for_pair = np.searchsorted(start, np.maximum(at[pair + 1] - (length - anchor), 0) if len(pair) else none, "right") - 1 if len(start) else none
@@ -176,17 +173,10 @@ def _segments(chunk: Chunk, length: int, anchor: int, spans: Spans) -> _Segments
     return _Segments(least[start], spans.hash(start, start + windows + length - 1), text, start, windows, twice)
 
 
-_SEGMENT = "m bigint, c bigint, key bigint, start bigint, windows int, twice boolean"
-
-
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.view(np.int64))
 
 
-def _unsigned(column: pa.Array) -> np.ndarray:
-    return column.to_numpy(zero_copy_only=False).astype(np.int64, copy=False).view(np.uint64)
-
-
 def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, anchor: int = ANCHOR, hot_contents: int = HOT_CONTENTS) -> DataFrame:
     """(id, key, start, end): byte spans of a row that repeated strings cover, one or more for a segment; ``key`` is xxhash64 of the text."""
     spark = docs.sparkSession
@@ -197,15 +187,15 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def anchors(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for c in chunks(batch.column(0)):
             if len(c.data) >= length:
-                h, _, chosen = _least(c, length, anchor, c.byte_spans())
-                yield h[chosen]
+                h, least = _least(c, length, anchor, c.byte_spans())
+                yield h[_chosen(h, least, length - anchor + 1)]
 
     repeated = spark.sparkContext.broadcast(bitmap(rows.select("bytes"), anchors, log2_cells(size // per_anchor), 2, 1))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for c in chunks(batch.column(2)):
-                s = _segments(c, length, anchor, c.byte_spans())
+                s = _segments(c, length, anchor, c.byte_spans(), places=True)
                 at = np.flatnonzero(repeated.value.has(s.minimizer))
                 row = pa.array(s.text[at] + c.first)
                 yield pa.RecordBatch.from_arrays(
@@ -239,7 +229,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         wanted = {}
         for name, (n, _) in of_kind.items():
             cells = open_.filter(F.col("kind") == name).select("c")
-            wanted[name] = bitmap(cells, lambda batch: [_unsigned(batch.column(0))], log2_cells(n, 16), 1)
+            wanted[name] = bitmap(cells, lambda batch: [signed_hashes(batch.column(0))], log2_cells(n, 16), 1)
         wanted = spark.sparkContext.broadcast(wanted)
 
         def chosen(kind: str, batches: Iterator[pa.RecordBatch], give) -> Iterator[pa.RecordBatch]:
@@ -312,9 +302,12 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     copies remove each other whole. Null ids are kept. Other columns are ignored. An empty table gives an empty result.
     """
     spans = repeated_bytes(docs, id_col, text_col, length, anchor, hot_contents)
-    spans = spans.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_set(F.struct("start", "end")).alias("gone"))
+    spans = materialised(spans.groupBy(F.col("id").alias("_id"), F.col("key").alias("_key")).agg(F.collect_set(F.struct("start", "end")).alias("gone")))
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("bytes"))
-    joined = rows.join(spans, rows["id"].eqNullSafe(F.col("_id")) & (rows["key"] == F.col("_key")), "left").select("id", "bytes", "gone.start", "gone.end")
+    changed, same = split_by_key(rows, spans.select(F.col("_key").alias("key")))
+    joined = changed.join(spans, changed["id"].eqNullSafe(F.col("_id")) & (changed["key"] == F.col("_key")), "left").select("id", "bytes", "gone.start", "gone.end")
+    none = F.lit(None).cast("array<bigint>")
+    joined = joined.unionAll(same.select("id", "bytes", none.alias("start"), none.alias("end")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

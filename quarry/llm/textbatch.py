@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2_000_000
+CHUNK_BYTES = 500_000
 
 #: The six bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 IS_WORD = np.ones(256, bool)
@@ -112,7 +112,9 @@ class Chunk:
 def chunks(column: pa.Array, size: int | None = None) -> Iterator[Chunk]:
     """Cut a string or binary column into chunks of whole texts; a null is an empty text."""
     size = size or CHUNK_BYTES
-    binary = pc.fill_null(column.cast(pa.large_binary()), b"")
+    binary = column.cast(pa.large_binary())
+    if binary.null_count:
+        binary = pc.fill_null(binary, b"")
     offsets = np.frombuffer(binary.buffers()[1], np.int64)[binary.offset : binary.offset + len(binary) + 1] if len(binary) else np.zeros(1, np.int64)
     raw = binary.buffers()[2] if len(binary) else None
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
