@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.sketch import Shared
 from quarry.llm.textbatch import mix
 
 ORDERS = (1, 2, 3)
@@ -131,7 +132,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
 def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (all, if not given), ``lang_pred`` and ``score`` (the posterior probability)."""
     names = docs.columns if carry is None else carry
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = Shared(docs.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value

@@ -5,16 +5,18 @@ line goes if one before it, by document id and line number, matches. Steps:
 
 1. Word counts of the corpus are merged into a sketch of one byte a cell; it orders the words of a line by rarity (any
    fixed order is exact, the rarest first is the fastest).
-2. Lines with the same set are one, at the place of the first of them.
-3. Each different set posts the first words of that order, as many as a match must share one of (prefix filter). Words
-   that the sketch has counted once are left out: no other line has them.
-4. Postings of one word meet in a task that applies the length and the positional filter and compares 128-bit bitmaps
-   of the sets, which bound the overlap from above. Postings of very frequent words are dealt out by length as well.
-   Each set asks those before it, in groups of more than ``SMALL_GROUP`` only until ``ENOUGH`` may match; if none of them does,
-   a second round asks all.
-5. The pairs are verified on the word sets themselves, and the lines of matched sets and later copies are cut out.
-
-Words are compared by 64-bit hashes.
+2. Equal lines are one, at the place of the first of them.
+3. Each different line posts the first words of that order, as many as a match must share one of (prefix filter). Words
+   that the sketch has counted once are left out: no other line has them. Postings travel as arrays, one row for a task's
+   postings in a part of the words.
+4. Postings of one word meet in a task that applies the length and the positional filter and compares 64-bit bitmaps of
+   the word sets, which bound the overlap from above. Postings of very frequent words are dealt out by length as well.
+   Each line asks those before it, from the first on, until a few may match (``ROUNDS``); if none of these does, it asks
+   for more in the next round, and in the last one all.
+5. The pairs that 1024 parity bits leave are verified on the word sets themselves, and the lines of matched sets and later
+   copies are cut out.
+
+Words and lines are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -29,65 +31,91 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import materialised
-from quarry.llm.sketch import Bitmap, Levels, bitmap, levels, log2_cells, signed_hashes, text_bytes
-from quarry.llm.textbatch import Chunk, chunks, mix
+from quarry.llm.sketch import Bitmap, Levels, Shared, bitmap, levels, log2_cells, signed_hashes, split_by_key, text_bytes
+from quarry.llm.textbatch import Chunk, Spans, chunks, mix
 
 #: Similarity as a fraction of whole numbers, so that the bounds are exact.
 NUMERATOR, DENOMINATOR = 4, 5
-#: Sets with fewer words match no other set: 0.8 needs four of five.
-LEAST_WORDS = 4
 BYTES_A_CELL = 32
-#: Sketch level from which a word's postings are dealt out by length (about 16,000 lines).
+#: Sketch level from which a word's postings are dealt out by length (about 16,000 words).
 FREQUENT = 8 * 14
-GROUP_ROWS = 100_000
-SMALL_GROUP, ENOUGH = 64, 4
+#: Bytes of text for each part that postings are dealt to.
+PART_BYTES = 2_000_000
+#: Postings that a task gathers before it sends them.
+GATHER = 500_000
+SMALL_GROUP = 64
+PARITY_LONGS = 16
+#: Lines that may match that a line looks for with one word, in each round.
+ROUNDS = (1, 16, None)
 
 
 class _Lines:
-    """Lines of a chunk with at least one word, as sets: tokens sorted by (line, rarity)."""
+    """Lines of a chunk with at least one word: hash of the bytes, text and number in the text."""
 
-    def __init__(self, chunk: Chunk, rarity: Levels | None, only: Bitmap | None = None) -> None:
+    def __init__(self, chunk: Chunk) -> None:
+        self.spans = chunk.byte_spans()
         start, end, first = chunk.lines()
-        spans = chunk.byte_spans()
-        self.raw = spans.hash(start, end)
         word_start, word_end, _ = chunk.words()
         line = np.searchsorted(start, word_start, "right") - 1
-        if only is not None:
-            wanted = only.has(self.raw)[line] if len(line) else np.zeros(0, bool)
-            word_start, word_end, line = word_start[wanted], word_end[wanted], line[wanted]
-        h = spans.hash(word_start, word_end)
+        self.line = np.flatnonzero(np.bincount(line, minlength=len(start)))
+        self.raw = self.spans.hash(start[self.line], end[self.line])
+        self.text = np.searchsorted(first, self.line, "right") - 1
+        self.number = self.line - first[self.text]
+        self._words = word_start, word_end, np.searchsorted(self.line, line)
+
+    def sets(self, lines: np.ndarray, rarity: Levels | None) -> _Sets:
+        """The word sets of some of the lines (flags)."""
+        start, end, of = self._words
+        wanted = lines[of]
+        return _Sets(self.spans, start[wanted], end[wanted], of[wanted], rarity)
+
+
+class _Sets:
+    """Word sets: ``h`` sorted by (line, rarity), ``begin`` and ``n`` of each line's words, its number ``line``."""
+
+    def __init__(self, spans: Spans, start: np.ndarray, end: np.ndarray, line: np.ndarray, rarity: Levels | None) -> None:
+        h = spans.hash(start, end)
         level = rarity.of(h) if rarity is not None else np.zeros(len(h), np.uint8)
-        # by rarity, then by hash
-        key = (level.astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
-        order = np.lexsort((h, key, line)) if rarity is None else np.lexsort((key, line))
+        order = np.lexsort((h, level, line))
         line, h, level = line[order], h[order], level[order]
         new = np.ones(len(h), bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
         self.h, self.level, line = h[new], level[new], line[new]
         self.begin = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(line) else np.zeros(0, np.int64)
         self.n = np.diff(np.append(self.begin, len(line)))
-        self.line = line[self.begin]  # number in the chunk
-        self.raw = self.raw[self.line]
-        self.set = np.add.reduceat(mix(self.h ^ np.uint64(0x5DEECE66D)), self.begin) if len(line) else np.zeros(0, np.uint64)
-        self.text = np.searchsorted(first, self.line, "right") - 1
-        self.number = self.line - first[self.text]
+        self.line = line[self.begin]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
 
 
-def _postings(found: _Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Line and place of each prefix word, and two 64-bit bitmaps of each line."""
+def _postings(found: _Sets, frequent: int) -> dict[str, np.ndarray]:
+    """Postings of the sets' prefix words: word, m, role (0: asks and answers, 1: answers, 2: asks), place, n, bitmap, at (number of the set)."""
     place = np.arange(len(found.h)) - np.repeat(found.begin, found.n)
     prefix = found.n - (NUMERATOR * found.n + DENOMINATOR - 1) // DENOMINATOR + 1
     at = np.repeat(np.arange(len(found.n)), found.n)
-    post = (place < prefix[at]) & (found.n[at] >= LEAST_WORDS) & (found.level > Levels.ONCE)
-    bit = (mix(found.h) >> np.uint64(57)).astype(np.uint64)
-    one = np.uint64(1) << (bit & np.uint64(63))
-    maps = [np.bitwise_or.reduceat(np.where(side, one, np.uint64(0)), found.begin) if len(bit) else one for side in (bit < 64, bit >= 64)]
-    which = np.flatnonzero(post)
-    return which, place[which], at[which], maps
+    which = np.flatnonzero((place < prefix[at]) & (found.level > Levels.ONCE))
+    one = np.uint64(1) << (mix(found.h) >> np.uint64(58))
+    maps = np.bitwise_xor.reduceat(one, found.begin) if len(one) else one
+    n = found.n[at[which]]
+    # a frequent word's groups hold the sets of one size; a set asks in those of all sizes that can match
+    low, high = -(-n * NUMERATOR // DENOMINATOR), n * DENOMINATOR // NUMERATOR
+    often = found.level[which] >= frequent
+    copies = np.where(often, high - low + 2, 1)
+    nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
+    which, n, low, often = (np.repeat(x, copies) for x in (which, n, low, often))
+    role = np.where(often, np.where(nth == 0, 1, 2), 0)
+    m = np.where(role == 0, 0, np.where(role == 1, n, low + nth - 1))
+    return {"word": found.h[which], "m": m, "role": role, "place": place[which], "n": n, "bitmap": maps[at[which]], "at": at[which]}
+
+
+def _parities(found: _Sets) -> pa.Array:
+    """1024 parity bits of each set, as ``PARITY_LONGS`` longs."""
+    place = mix(found.h ^ np.uint64(0x5DEECE66D))
+    one, slot = np.uint64(1) << (place & np.uint64(63)), (place >> np.uint64(6)) % np.uint64(PARITY_LONGS)
+    longs = [np.bitwise_xor.reduceat(np.where(slot == k, one, np.uint64(0)), found.begin) if len(one) else one for k in range(PARITY_LONGS)]
+    return pa.ListArray.from_arrays(pa.array(np.arange(len(found.n) + 1, dtype=np.int32) * PARITY_LONGS), _signed(np.stack(longs, 1).ravel()))
 
 
 def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -96,28 +124,29 @@ def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
     return -(-total // (NUMERATOR + DENOMINATOR))
 
 
-def _may_match(table: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _may_match(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which pairs of postings of one word pass the length, positional and bitmap filters, and stand in order."""
-    n, m = table["n"][x], table["n"][y]
+    n, m = c["n"][x], c["n"][y]
     need = _needed(n, m)
-    p, q = table["place"][x], table["place"][y]
+    p, q = c["place"][x], c["place"][y]
     most = np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1)
-    ok = (table["order"][y] < table["order"][x]) & (np.minimum(n, m) >= need) & (most >= need) & (table["role"][y] != 2) & (table["role"][x] != 1) & table["ask"][x] & (table["set"][x] != table["set"][y])
-    apart = np.bitwise_count(table["b0"][x] ^ table["b0"][y]).astype(np.int64) + np.bitwise_count(table["b1"][x] ^ table["b1"][y])
-    return ok & (apart <= n + m - 2 * need)
+    ok = (c["order"][y] < c["order"][x]) & (np.minimum(n, m) >= need) & (most >= need) & (c["role"][y] != 2) & (c["role"][x] != 1) & c["ask"][x] & (c["raw"][x] != c["raw"][y])
+    return ok & (np.bitwise_count(c["bitmap"][x] ^ c["bitmap"][y]) <= n + m - 2 * need)
 
 
 def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sets (x, y) that may match, and the x that did not ask all before them (``enough`` were found)."""
-    table = table.append_column("code", table["id"].combine_chunks().dictionary_encode(null_encoding="encode").indices if table.num_rows else pa.array([], pa.int32()))
-    at = pc.sort_indices(table, sort_keys=[("token", "ascending"), ("m", "ascending"), ("id", "ascending"), ("line", "ascending")], null_placement="at_end")
+    """Lines (x, y) that may match, and the x that did not ask all before them (``enough`` were found)."""
+    at = pc.sort_indices(table, sort_keys=[("word", "ascending"), ("m", "ascending"), ("id", "ascending"), ("line", "ascending")], null_placement="at_end")
     table = table.take(at)
-    c = {name: table[name].to_numpy() for name in ("token", "m", "code", "line", "n", "place", "role", "set", "b0", "b1", "ask")}
-    c["b0"], c["b1"] = c["b0"].view(np.uint64), c["b1"].view(np.uint64)
+    c = {name: table[name].to_numpy() for name in ("word", "m", "line", "n", "place", "role", "raw", "bitmap", "ask")}
+    c["bitmap"] = c["bitmap"].view(np.uint64)
     c["n"], c["place"] = c["n"].astype(np.int64), c["place"].astype(np.int64)
-    step = np.concatenate(([0], (c["code"][1:] != c["code"][:-1]) | (c["line"][1:] != c["line"][:-1]))) if len(at) else np.zeros(0, np.int64)
-    new = np.concatenate(([True], (c["token"][1:] != c["token"][:-1]) | (c["m"][1:] != c["m"][:-1]))) if len(at) else np.zeros(0, bool)
-    c["order"] = np.cumsum(step | new)
+    code = table["id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) if len(at) else np.zeros(0, np.int32)
+    new = np.ones(len(at), bool)
+    new[1:] = (c["word"][1:] != c["word"][:-1]) | (c["m"][1:] != c["m"][:-1])
+    step = new.copy()
+    step[1:] |= (code[1:] != code[:-1]) | (c["line"][1:] != c["line"][:-1])
+    c["order"] = np.cumsum(step)
     begin = np.flatnonzero(new)
     size = np.diff(np.append(begin, len(at)))
     group = np.repeat(np.arange(len(begin)), size)
@@ -125,12 +154,17 @@ def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray,
     open_: list[np.ndarray] = []
 
     small = np.flatnonzero((size[group] <= SMALL_GROUP) & (size[group] > 1)) if len(group) else np.zeros(0, np.int64)
-    for back in range(1, SMALL_GROUP):
-        x = small[small - begin[group[small]] >= back]
-        if not len(x):
+    have = np.zeros(len(at), np.int64)
+    for nth in range(SMALL_GROUP):
+        small = small[(small - begin[group[small]] > nth) & (enough is None or have[small] < enough)]
+        if not len(small):
             break
-        hit = _may_match(c, x, x - back)
-        out.append((x[hit], x[hit] - back))
+        y = begin[group[small]] + nth
+        hit = _may_match(c, small, y)
+        out.append((small[hit], y[hit]))
+        have[small[hit]] += 1
+    if enough:
+        open_.append(np.flatnonzero(have >= enough))
 
     for g in np.flatnonzero(size > SMALL_GROUP):
         lo, hi = begin[g], begin[g] + size[g]
@@ -156,115 +190,165 @@ def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray,
     x = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
     y = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
     more = np.concatenate(open_) if open_ else np.zeros(0, np.int64)
-    return c["set"][x], c["set"][y], np.unique(c["set"][more])
+    return c["raw"][x], c["raw"][y], np.unique(c["raw"][more])
+
+
+def _place_hash(raw: np.ndarray, id_hash: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return mix(raw + mix(id_hash + mix(line.astype(np.uint64))))
+
+
+#: Arrays of postings: element type by name. ``raw`` is the line's hash, ``word`` 32 bits of the word's (two words that share them are only compared in vain).
+_ARRAYS = {"word": "int", "m": "int", "role": "tinyint", "place": "int", "n": "int", "bitmap": "bigint", "raw": "bigint", "line": "int"}
 
 
-def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, enough: int = ENOUGH) -> DataFrame:
+def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, rounds: tuple[int | None, ...] = ROUNDS) -> DataFrame:
     """(id, key, line): the lines (from 0) of a row that go; ``key`` is xxhash64 of its text."""
-    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).cast("binary").alias("bytes"))
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.xxhash64(F.col(id_col)).alias("id_hash"), F.col(text_col).cast("binary").alias("bytes"))
     spark = docs.sparkSession
+    size = text_bytes(docs, text_col)
+    id_type, long = rows.schema["id"].dataType, T.LongType()
 
     def word_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for c in chunks(batch.column(0)):
             start, end, _ = c.words()
             yield c.byte_spans().hash(start, end)
 
-    rarity = spark.sparkContext.broadcast(levels(rows.select("bytes"), word_hashes, log2_cells(text_bytes(docs, text_col) // BYTES_A_CELL, 1)))
-    id_type = rows.schema["id"].dataType
+    rarity = Shared(spark, levels(rows.select("bytes"), word_hashes, log2_cells(size // BYTES_A_CELL, 1)))
 
-    def read(batches: Iterator[pa.RecordBatch], give) -> Iterator[pa.RecordBatch]:
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for c in chunks(batch.column(2)):
-                found = _Lines(c, rarity.value)
-                yield from give(batch, c, found)
-
-    def places(batch: pa.RecordBatch, c: Chunk, found: _Lines) -> Iterator[pa.RecordBatch]:
-        """Every line, and with it the postings of its set."""
-        which, place, at, maps = _postings(found)
-        first = np.searchsorted(at, np.arange(len(found.n) + 1))
-        posted = pa.StructArray.from_arrays([_signed(found.h[which]), pa.array(place.astype(np.int32)), pa.array(found.level[which] >= frequent)], ["token", "place", "frequent"])
-        row = pa.array(found.text + c.first)
-        yield pa.RecordBatch.from_arrays(
-            [
-                _signed(found.set), batch.column(0).take(row), batch.column(1).take(row), pa.array(found.number), _signed(found.raw), pa.array(found.n.astype(np.int32)),
-                _signed(maps[0]), _signed(maps[1]), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), posted),
-            ],
-            line_schema.names,
-        )
-
-    long, post = T.LongType(), T.StructType([T.StructField("token", T.LongType()), T.StructField("place", T.IntegerType()), T.StructField("frequent", T.BooleanType())])
-    line_schema = T.StructType(
-        [
-            T.StructField("set", long), T.StructField("id", id_type), T.StructField("key", long), T.StructField("line", long), T.StructField("raw", long), T.StructField("n", T.IntegerType()),
-            T.StructField("b0", long), T.StructField("b1", long), T.StructField("posts", T.ArrayType(post)),
-        ]
+            for c in chunks(batch.column(3)):
+                found = _Lines(c)
+                row = pa.array(found.text + c.first)
+                yield pa.RecordBatch.from_arrays([_signed(found.raw), *(batch.column(k).take(row) for k in range(3)), pa.array(found.number.astype(np.int32))], place_schema.names)
+
+    place_schema = T.StructType([T.StructField("raw", long), T.StructField("id", id_type), T.StructField("key", long), T.StructField("id_hash", long), T.StructField("line", T.IntegerType())])
+    lines = materialised(rows.mapInArrow(places, place_schema))
+    order = F.struct(F.col("id").isNull().alias("null"), "id", "line", "id_hash")
+    first = materialised(lines.groupBy("raw").agg(F.min(order).alias("f")).select("raw", "f.id", "f.line", "f.id_hash"))
+
+    def first_hashes(batch: pa.RecordBatch) -> list[np.ndarray]:
+        return [_place_hash(signed_hashes(batch.column(0)), signed_hashes(batch.column(1)), batch.column(2).to_numpy())]
+
+    is_first = Shared(spark, bitmap(first.select("raw", "id_hash", "line"), first_hashes, log2_cells(first.count(), 16), 1))
+    parts = max(1, size // PART_BYTES)
+
+    def post(batches: Iterator[pa.RecordBatch], only: Bitmap | None) -> Iterator[pa.RecordBatch]:
+        """Postings of the first of each line (and few others), as one row of arrays for each part of the words; ``only`` for some lines' words."""
+        waiting: list[tuple[dict[str, np.ndarray], pa.Array]] = []
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            if not waiting:
+                return
+            arrays = {name: np.concatenate([w[0][name] for w in waiting]) for name in [*_ARRAYS]}
+            ids = pa.concat_arrays([w[1] for w in waiting])
+            waiting.clear()
+            mixed = mix(arrays["word"] + mix(arrays["m"].astype(np.uint64)))
+            part = (mixed % np.uint64(parts)).astype(np.int32)
+            arrays["word"] = (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
+            by = np.argsort(part, kind="stable")
+            used, begin = np.unique(part[by], return_index=True)
+            offsets = pa.array(np.append(begin, len(by)).astype(np.int32))
+            columns = [pa.array(used)]
+            for name, kind in _ARRAYS.items():
+                values = arrays[name][by]
+                columns.append(pa.ListArray.from_arrays(offsets, _signed(values) if kind == "bigint" else pa.array(values.astype({"int": np.int32, "tinyint": np.int8}[kind]))))
+            columns.append(pa.ListArray.from_arrays(offsets, ids.take(pa.array(by))))
+            yield pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id"])
+
+        gathered = 0
+        for batch in batches:
+            for c in chunks(batch.column(3)):
+                found = _Lines(c)
+                id_hash = signed_hashes(batch.column(2))[found.text + c.first]
+                mine = is_first.value.has(_place_hash(found.raw, id_hash, found.number))
+                sets = found.sets(mine, rarity.value)
+                own = _postings(sets, frequent)
+                line = sets.line[own.pop("at")]
+                own |= {"raw": found.raw[line], "line": found.number[line]}
+                if only is not None:
+                    keep = only.has(own["word"])
+                    own, line = {name: v[keep] for name, v in own.items()}, line[keep]
+                waiting.append((own, batch.column(0).take(pa.array(found.text[line] + c.first))))
+                gathered += len(line)
+                if gathered >= GATHER:
+                    yield from sent()
+                    gathered = 0
+        yield from sent()
+
+    array_schema = T.StructType(
+        [T.StructField("part", T.IntegerType()), *(T.StructField(name, T.ArrayType(T.LongType() if kind == "bigint" else T.IntegerType() if kind == "int" else T.ByteType())) for name, kind in _ARRAYS.items()), T.StructField("id", T.ArrayType(id_type))]
     )
-    lines = materialised(rows.mapInArrow(lambda batches: read(batches, places), line_schema))
-    order = F.struct(F.col("id").isNull().alias("null"), "id", "line", "raw")
-    first = lines.groupBy("set").agg(F.min(order).alias("f")).select("set", F.col("f.id").alias("id"), F.col("f.line").alias("line"), F.col("f.raw").alias("raw"))
-    first = materialised(first)
-
-    # postings of every different set: each copy of a line has the same ones
-    each = lines.filter(F.size("posts") > 0).select("set", "n", "b0", "b1", "id", "line", F.explode("posts").alias("p"))
-    postings = (
-        each.groupBy("set", "n", "b0", "b1", "p.token", "p.place", "p.frequent").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "line")).alias("f"))
-        .select("set", "n", "b0", "b1", "token", "place", "frequent", "f.id", "f.line")
-    )
-    # a frequent word's groups hold the sets of one length; a set asks in those of all lengths that can match
-    dealt = F.expr(
-        f"""if(frequent, concat(array(named_struct('m', n, 'role', 1)),
-            transform(sequence((n * {NUMERATOR} + {DENOMINATOR - 1}) div {DENOMINATOR}, n * {DENOMINATOR} div {NUMERATOR}), m -> named_struct('m', cast(m as int), 'role', 2))),
-            array(named_struct('m', 0, 'role', 0)))"""
-    )
-    postings = materialised(postings.withColumn("d", F.explode(dealt)).select("set", "n", "b0", "b1", "token", "place", "id", "line", "d.m", "d.role"))
-    buckets = max(1, postings.count() // GROUP_ROWS)
-
-    def candidates(asking: DataFrame, limit: int | None) -> DataFrame:
+
+    def candidates(limit: int | None, asking: Bitmap | None = None, only: Bitmap | None = None) -> DataFrame:
+        """Pairs (x, y) of lines that may match; x alone with ``all_asked`` false where it found ``limit`` and stopped. ``asking``: lines that ask."""
+        ask = Shared(spark, asking)
+        words = Shared(spark, only)
+
         def meet(table: pa.Table) -> pa.Table:
-            x, y, more = _pairs(table, limit)
-            return pa.table({"x": np.concatenate([x, more]), "y": pa.array(np.concatenate([y, more])), "all_asked": np.concatenate([np.ones(len(x), bool), np.zeros(len(more), bool)])})
+            flat = {name: pc.list_flatten(table[name]) for name in [*_ARRAYS, "id"]}
+            n = len(flat["word"])
+            flat["ask"] = pa.array(ask.value.has(signed_hashes(flat["raw"])) if ask.value is not None else np.ones(n, bool))
+            x, y, more = _pairs(pa.table(flat), limit)
+            return pa.table({"x": np.concatenate([x, more]), "y": np.concatenate([y, more]), "all_asked": np.concatenate([np.ones(len(x), bool), np.zeros(len(more), bool)])})
 
-        dealt = asking.withColumn("bucket", F.pmod(F.xxhash64("token", "m"), F.lit(buckets)))
-        return dealt.groupBy("bucket").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
+        return rows.mapInArrow(lambda b: post(b, words.value), array_schema).groupBy("part").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The x of the pairs that match, by their word sets."""
-        wanted_sets = pairs.select(F.explode(F.array("x", "y")).alias("set")).distinct()
-        wanted = materialised(first.join(wanted_sets, "set").select("set", "raw"))
-        only = spark.sparkContext.broadcast(
-            bitmap(wanted.select("raw"), lambda batch: [signed_hashes(batch.column(0))], log2_cells(wanted.count(), 16), 1)
-        )
+    def asked_words(asking: Bitmap):
+        """The words that the asking lines post."""
+        shared = Shared(spark, asking)
+
+        def words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+            for c in chunks(batch.column(0)):
+                found = _Lines(c)
+                yield _postings(found.sets(shared.value.has(found.raw), rarity.value), frequent)["word"]
+
+        return words
+
+    def of_lines(pairs: DataFrame, give, kind: str) -> tuple[DataFrame, DataFrame]:
+        """What ``give`` makes of the word sets of the lines in the pairs, with their sizes and first places, for x and for y."""
+        wanted_lines = pairs.select(F.explode(F.array("x", "y")).alias("raw")).distinct()
+        wanted = materialised(first.join(wanted_lines, "raw").select("raw", "id", "line"))
+        only = Shared(spark, bitmap(wanted.select("raw"), lambda batch: [signed_hashes(batch.column(0))], log2_cells(wanted.count(), 16), 1))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for c in chunks(batch.column(0)):
-                    found = _Lines(c, None, only.value)
-                    if not len(found.n):
-                        continue
-                    offsets = np.append(found.begin, len(found.h)).astype(np.int32)
-                    words = pa.ListArray.from_arrays(pa.array(offsets), _signed(found.h))
-                    keep = pa.array(np.sort(np.unique(found.set, return_index=True)[1]))
-                    yield pa.RecordBatch.from_arrays([_signed(found.set).take(keep), words.take(keep)], ["set", "words"])
-
-        words = rows.select("bytes").mapInArrow(sets, "set bigint, words array<bigint>").join(wanted.select("set"), "set", "left_semi").dropDuplicates(["set"])
-        words = materialised(words)
-        common = F.size(F.array_intersect("wx", "wy"))
-        return (
-            pairs.join(words.select(F.col("set").alias("x"), F.col("words").alias("wx")), "x").join(words.select(F.col("set").alias("y"), F.col("words").alias("wy")), "y")
-            .filter(common * (NUMERATOR + DENOMINATOR) >= NUMERATOR * (F.size("wx") + F.size("wy")))
-            .select(F.col("x").alias("set")).distinct()
-        )
-
-    asked = materialised(candidates(postings.withColumn("ask", F.lit(True)), enough))
-    matched = materialised(verified(asked.filter("all_asked").select("x", "y")))
-    rest = materialised(asked.filter("not all_asked").select(F.col("x").alias("set")).distinct().join(matched, "set", "left_anti"))
-    if not rest.isEmpty():
-        tokens = postings.join(rest, "set", "left_semi").select("token", "m").distinct()
-        again = postings.join(tokens, ["token", "m"], "left_semi").join(rest.withColumn("ask", F.lit(True)), "set", "left").withColumn("ask", F.coalesce("ask", F.lit(False)))
-        matched = matched.unionAll(verified(materialised(candidates(again, None)).select("x", "y")))
-    state = materialised(first.join(matched.withColumn("matched", F.lit(True)), "set", "left").select("set", F.col("id").alias("first_id"), F.col("line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched")))
+                    found = _Lines(c)
+                    one = np.zeros(len(found.raw), bool)
+                    one[np.unique(found.raw, return_index=True)[1]] = True
+                    own = found.sets(only.value.has(found.raw) & one, None)
+                    yield pa.RecordBatch.from_arrays([_signed(found.raw[own.line]), pa.array(own.n.astype(np.int32)), give(own)], ["raw", "n", "what"])
+
+        table = materialised(rows.select("bytes").mapInArrow(sets, f"raw bigint, n int, what {kind}").join(wanted, "raw").dropDuplicates(["raw"]))
+        at = F.struct(F.col("id").isNull().alias("null"), "id", "line").alias("at")
+        return tuple(table.select(F.col("raw").alias(name), F.struct("n", "what", at).alias(f"of_{name}")) for name in ("x", "y"))
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The x of the pairs that match, by their first places, parities and word sets."""
+        x, y = of_lines(pairs, _parities, "array<bigint>")
+        apart = F.expr("aggregate(zip_with(of_x.what, of_y.what, (a, b) -> bit_count(a ^ b)), 0, (s, n) -> s + n)")
+        both = F.col("of_x.n") + F.col("of_y.n")
+        need = F.expr(f"({NUMERATOR} * (of_x.n + of_y.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR}")
+        near = materialised(pairs.join(x, "x").join(y, "y").filter(F.col("of_y.at") < F.col("of_x.at")).filter(apart <= both - 2 * need).select("x", "y"))
+        x, y = of_lines(near, lambda own: pa.ListArray.from_arrays(pa.array(np.append(own.begin, len(own.h)).astype(np.int32)), _signed(own.h)), "array<bigint>")
+        common = F.size(F.array_intersect("of_x.what", "of_y.what"))
+        return near.join(x, "x").join(y, "y").filter(common >= need).select(F.col("x").alias("raw")).distinct()
+
+    matched, asking, only = None, None, None
+    for limit in rounds:
+        asked = materialised(candidates(limit, asking, only))
+        found = materialised(verified(asked.filter("all_asked").select("x", "y")))
+        matched = found if matched is None else matched.unionAll(found)
+        rest = materialised(asked.filter("not all_asked").select(F.col("x").alias("raw")).distinct().join(matched, "raw", "left_anti"))
+        waiting = rest.count()
+        if not waiting:
+            break
+        asking = bitmap(rest, lambda batch: [signed_hashes(batch.column(0))], log2_cells(waiting, 16), 1)
+        only = bitmap(rows.select("bytes"), asked_words(asking), log2_cells(waiting, 256), 1)
+    state = materialised(first.join(matched.distinct().withColumn("matched", F.lit(True)), "raw", "left").select("raw", F.col("id").alias("first_id"), F.col("line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched")))
     gone = ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line")))
-    return lines.select("set", "id", "key", "line").join(state, "set").filter(F.col("matched") | gone).select("id", "key", "line")
+    return lines.select("raw", "id", "key", "line").join(state, "raw").filter(F.col("matched") | gone).select("id", "key", "line")
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False, **options) -> DataFrame:
@@ -278,10 +362,14 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = removed_lines(docs, id_col, text_col, **options)
     # a bit for each line: rows equal in id and text give the same bits
     bits = gone.groupBy("id", "key", F.expr("line div 64").alias("block")).agg(F.expr("bit_or(shiftleft(1L, cast(line % 64 as int)))").alias("bits"))
-    bits = bits.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list(F.struct("block", "bits")).alias("__gone"))
+    bits = materialised(bits.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list(F.struct("block", "bits")).alias("__gone")))
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
-    joined = docs.join(bits, docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__key")), "left").select(*[docs[c] for c in names], F.col("__gone.block").alias("__block"), F.col("__gone.bits").alias("__bits"))
+    changed, same = split_by_key(docs.withColumn("__text_key", F.xxhash64(text_col)), bits.select("__key"), "__text_key")
+    joined = changed.join(bits, changed[id_col].eqNullSafe(F.col("__id")) & (changed["__text_key"] == F.col("__key")), "left")
+    joined = joined.select(*[changed[c] for c in names], F.col("__gone.block").alias("__block"), F.col("__gone.bits").alias("__bits"))
+    none = F.lit(None).cast("array<bigint>")
+    joined = joined.unionAll(same.select(*[same[c] for c in names], none.alias("__block"), none.alias("__bits")))
     where = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MIN_LOG2_CELLS, MAX_LOG2_CELLS = 16, 30
@@ -29,6 +29,22 @@ def log2_cells(items: int, cells_an_item: int = 4) -> int:
     return max(MIN_LOG2_CELLS, min(MAX_LOG2_CELLS, (max(1, items) * cells_an_item).bit_length()))
 
 
+class Shared:
+    """A broadcast object of a class of this subpackage. Only its plain attributes are broadcast, and the class travels
+    with the function that uses it, so executors need not have the package."""
+
+    def __init__(self, spark: SparkSession, value) -> None:
+        self._kind, self._value = type(value), None
+        self._attributes = None if value is None else spark.sparkContext.broadcast(vars(value))
+
+    @property
+    def value(self):
+        if self._value is None and self._attributes is not None:
+            self._value = object.__new__(self._kind)
+            self._value.__dict__.update(self._attributes.value)
+        return self._value
+
+
 class Bitmap:
     """The cells of a sketch that have reached the threshold."""
 
@@ -118,11 +134,11 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0
 
 
-def split_by_key(rows: DataFrame, keys: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows whose ``key`` (a hash) may be in ``keys``, and those whose key surely isn't, which then need no join with it."""
+def split_by_key(rows: DataFrame, keys: DataFrame, key_col: str = "key") -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``key_col`` (a hash) may be in ``keys``, and those whose key surely isn't, which then need no join with it."""
     found = bitmap(keys, lambda batch: [signed_hashes(batch.column(0))], log2_cells(keys.count(), 16), 1)
-    shared = rows.sparkSession.sparkContext.broadcast(found)
-    at = rows.columns.index("key")
+    shared = Shared(rows.sparkSession, found)
+    at = rows.columns.index(key_col)
 
     def kept(batches: Iterator[pa.RecordBatch], side: bool) -> Iterator[pa.RecordBatch]:
         for batch in batches:

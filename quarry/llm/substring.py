@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import materialised
-from quarry.llm.sketch import bitmap, log2_cells, signed_hashes, split_by_key, text_bytes
+from quarry.llm.sketch import Shared, bitmap, log2_cells, signed_hashes, split_by_key, text_bytes
 from quarry.llm.textbatch import Chunk, Spans, chunks, inside, slide
 
 WINDOW_WORDS = 13
@@ -91,7 +91,7 @@ def removed_words(
     found = bitmap(
         rows.select("bytes"), lambda batch: (_anchors(c, window, anchor) for c in chunks(batch.column(0))), log2_cells(text_bytes(docs, text_col) // BYTES_A_CELL, 1), 2, DEPTH
     )
-    estimated = spark.sparkContext.broadcast(found)
+    estimated = Shared(spark, found)
 
     def read(batches: Iterator[pa.RecordBatch], give) -> Iterator[pa.RecordBatch]:
         """``give`` for the segments of each chunk whose minimizer is estimated to repeat."""
@@ -119,7 +119,7 @@ def removed_words(
     content_schema = T.StructType([T.StructField("m", long), T.StructField("c", long), T.StructField("id", id_type)])
     groups = materialised(rows.mapInArrow(lambda batches: read(batches, contents), content_schema).groupBy("m", "c").agg(*smallest))
     several = materialised(groups.groupBy("m").agg(F.min("c").alias("c"), F.max("c").alias("d")).filter("c <> d").select("m"))
-    mixed = spark.sparkContext.broadcast(
+    mixed = Shared(spark, 
         bitmap(several, lambda batch: [signed_hashes(batch.column(0))], log2_cells(several.count(), 16), 1)
     )
 
@@ -145,7 +145,7 @@ def removed_words(
 
     window_schema = T.StructType([T.StructField("h", long), *place_fields])
     windows = rows.mapInArrow(lambda batches: read(batches, single), window_schema)
-    least = windows.groupBy("h").agg(*smallest).filter(in_two).select("h", "least")
+    least = materialised(windows.groupBy("h").agg(*smallest).filter(in_two).select("h", "least"))  # so that a hot window's join can be split
     ragged = windows.join(least.hint("shuffle_hash"), "h").filter(later)
     ragged = ragged.select("id", "key", F.expr("`at` div 64").alias("block"), F.expr("shiftleft(1L, cast(`at` % 64 as int))").alias("bits"))
     return whole.unionAll(ragged).groupBy("id", "key", "block").agg(F.expr("bit_or(bits)").alias("bits"))

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quarry.llm.components import materialised
-from quarry.llm.sketch import bitmap, log2_cells, signed_hashes, split_by_key, text_bytes
+from quarry.llm.sketch import Shared, bitmap, log2_cells, signed_hashes, split_by_key, text_bytes
 from quarry.llm.textbatch import Chunk, Spans, chunks, inside, runs, slide
 
 LENGTH = 200
@@ -190,7 +190,7 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 h, least = _least(c, length, anchor, c.byte_spans())
                 yield h[_chosen(h, least, length - anchor + 1)]
 
-    repeated = spark.sparkContext.broadcast(bitmap(rows.select("bytes"), anchors, log2_cells(size // per_anchor), 2, 1))
+    repeated = Shared(spark, bitmap(rows.select("bytes"), anchors, log2_cells(size // per_anchor), 2, 1))
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -230,14 +230,14 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         for name, (n, _) in of_kind.items():
             cells = open_.filter(F.col("kind") == name).select("c")
             wanted[name] = bitmap(cells, lambda batch: [signed_hashes(batch.column(0))], log2_cells(n, 16), 1)
-        wanted = spark.sparkContext.broadcast(wanted)
+        wanted = {name: Shared(spark, found) for name, found in wanted.items()}
 
         def chosen(kind: str, batches: Iterator[pa.RecordBatch], give) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for c in chunks(batch.column(0)):
                     spans = c.byte_spans()
                     s = _segments(c, length, anchor, spans)
-                    at = np.flatnonzero(repeated.value.has(s.minimizer) & wanted.value[kind].has(s.content))
+                    at = np.flatnonzero(repeated.value.has(s.minimizer) & wanted[kind].value.has(s.content))
                     if len(at):
                         at = at[np.unique(s.content[at], return_index=True)[1]]
                         yield give(c, spans, s, at)
