@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.sketch import Shared
 from quarry.llm.textbatch import chunks
 
 KINDS = ("email", "ip", "card", "phone")
@@ -291,7 +292,11 @@ def train(docs: DataFrame, text_col: str = "text", texts: int = TRAIN_TEXTS, cha
     """The field, from the ``texts`` distinct texts with the smallest hashes among those with nodes and at most ``chars`` characters."""
     text = F.col(text_col)
     pool = docs.select(text.alias("text")).filter((F.length(text) <= chars) & text.rlike("[0-9@+]")).withColumn("h", F.xxhash64("text"))
-    return fit([r["text"] for r in pool.orderBy("h", "text").limit(texts).select("text").collect()])
+    smallest = [r["h"] for r in pool.select("h").distinct().orderBy("h").limit(texts).collect()]
+    if not smallest:
+        return fit([])
+    sample = pool.filter(F.col("h") <= smallest[-1]).groupBy("h").agg(F.min("text").alias("text"))
+    return fit([r["text"] for r in sample.orderBy("h").collect()])
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -305,7 +310,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", field:
     kind:start:end in characters, by kind and start. Null and empty texts have no span. Repeated rows are each searched
     and null ids kept. Other columns are ignored. An empty table gives an empty result.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(field or train(docs, text_col))
+    shared = Shared(docs.sparkSession, field or train(docs, text_col))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = hashlib.sha256(b"").hexdigest()
