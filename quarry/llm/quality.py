@@ -89,15 +89,16 @@ def with_counts(docs: DataFrame, text_col: str = "text", carry: list[str] | None
     one text. A null text counts as one without words.
     """
     names = docs.columns if carry is None else carry
+    text = names.index(text_col) if text_col in names else len(names)
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [_counts(c) for c in chunks(batch.column(len(names)))]
+            parts = [_counts(c) for c in chunks(batch.column(text))]
             arrays = [pa.array(np.concatenate([p[i] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)) for i in range(len(COUNTS))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.StructArray.from_arrays(arrays, COUNTS)], [*names, into])
 
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(into, T.StructType([T.StructField(c, T.LongType()) for c in COUNTS]))])
-    return docs.select(*[docs[c] for c in names], docs[text_col].cast("binary").alias("__bytes")).mapInArrow(compute, schema)
+    return docs.select(*[docs[c] for c in names], *([docs[text_col]] if text == len(names) else [])).mapInArrow(compute, schema)
 
 
 def base_failed(q: str = "quality") -> Column:
