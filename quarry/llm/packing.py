@@ -27,8 +27,8 @@ from quarry.llm.components import materialised
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a Python worker remembers; it starts afresh when there are more.
-MEMO_WORDS = 1 << 19
+#: Words whose ids a task remembers; it starts afresh when there are more.
+MEMO_WORDS = 1 << 18
 _RANK_BITS = 40
 
 
@@ -93,7 +93,7 @@ class _WordIds:
 
 
 def _word_ids(path: str) -> _WordIds:
-    """Kept for the life of a Python worker."""
+    """The tokenizer is kept for the life of a Python worker."""
     kept = sys.modules.setdefault("_quarry_word_ids", SimpleNamespace(by_path={}))
     if path not in kept.by_path:
         kept.by_path[path] = _WordIds(path)
@@ -129,6 +129,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_co
                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array([shard] * len(row), pa.int32()), pa.array(nth, pa.int64()),
                 ]
                 yield pa.RecordBatch.from_arrays(arrays + [pa.array(ids, pa.binary())] * with_ids, [f.name for f in schema])
+        _word_ids(tokenizer_path).ids = {}  # an idle worker holds the tokenizer only
 
     schema = T.StructType(
         [
