@@ -42,7 +42,7 @@ FREQUENT = 8 * 14
 #: Bytes of text for each part that postings are dealt to.
 PART_BYTES = 2_000_000
 #: Postings that a task gathers before it sends them.
-GATHER = 500_000
+GATHER = 150_000
 SMALL_GROUP = 64
 PARITY_LONGS = 16
 #: Lines that may match that a line looks for with one word, in each round.
@@ -255,6 +255,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 columns.append(pa.ListArray.from_arrays(offsets, _signed(values) if kind == "bigint" else pa.array(values.astype({"int": np.int32, "tinyint": np.int8}[kind]))))
             columns.append(pa.ListArray.from_arrays(offsets, ids.take(pa.array(by))))
             yield pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id"])
+            pa.default_memory_pool().release_unused()
 
         gathered = 0
         for batch in batches:
