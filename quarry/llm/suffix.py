@@ -159,7 +159,7 @@ def _segments(chunk: Chunk, length: int, anchor: int, spans: Spans, places: bool
     windows = np.diff(np.append(start, n))
     start, windows = start[ok[start]], windows[ok[start]]
     at = np.flatnonzero(_chosen(h, least, length - anchor + 1)) if places else none
-    pair = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (np.diff(at) <= length - anchor)) if len(at) > 1 else none
+    pair = np.flatnonzero((h[at[1:]] == h[at[:-1]]) & (np.diff(at) <= length - anchor + 1)) if len(at) > 1 else none  # the windows of places so far apart still touch
     twice = np.zeros(len(start), bool)
     for_pair = np.searchsorted(start, np.maximum(at[pair + 1] - (length - anchor), 0) if len(pair) else none, "right") - 1 if len(start) else none
     for shift in (0, 1):  # the window that ends with the pair may be the first of the next segment

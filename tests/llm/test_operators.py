@@ -213,6 +213,18 @@ def test_suffix_dedup(docs, rows, hot_contents):
     assert bag(suffix.deduplicate(docs, hot_contents=hot_contents).collect()) == bag(brute.suffix_dedup(rows))
 
 
+@pytest.mark.parametrize("unit", [99, 100, 101, 102])
+def test_suffix_dedup_of_a_unit_repeated_in_one_text(spark, unit):
+    """A window of 200 bytes holds 101 anchors, so the minimizer of a unit of 101 bytes stands once in each window."""
+    r = random.Random(unit)
+    rows = []
+    for i, copies in enumerate((1, 2, 3, 10, 50)):
+        line = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(unit - 1)) + "\n"
+        rows.append((i, line * copies, None, None))
+    docs = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    assert bag(suffix.deduplicate(docs).collect()) == bag(brute.suffix_dedup(rows))
+
+
 # --- 7 secrets
 
 
