@@ -1,4 +1,4 @@
-"""Benchmark decontamination by SimHash of item-sized windows. DataFrame functions only.
+"""Benchmark decontamination by item-sized windows and their SimHash. DataFrame functions only.
 
 Words are lower-cased runs of letters and digits; a shingle is five of them (an item with fewer is one shingle). A
 passage matches an item if a window of as many words has a weighted-shingle similarity of at least 0.8, that is the
@@ -7,9 +7,13 @@ sum of the smaller over the sum of the larger count of each shingle (for a text
 1. Texts that share no shingle with any item are dropped where they are read. A window that matches an item shares a
    shingle with it, and moved to the first one it shares (or back to the text's end) it matches at least as well, so only windows that
    start there are looked at.
-2. Each has a 64-bit SimHash. Windows and items of one size are joined on ``radius + 1`` blocks of bits, which finds
-   every pair of fingerprints within ``radius``. Two windows at similarity 0.8 differ in about ten of 64 bits.
-3. What remains within the radius is verified by the exact similarity.
+2. A window is compared with the items of its size that hold the shingle it starts with (at the text's end, any shingle
+   of it), so every pair that can match is.
+3. What remains is verified by the exact similarity, and the distance of the 64-bit SimHashes is given.
+
+With a ``radius``, windows and items of one size are joined on ``radius + 1`` blocks of the bits of their SimHashes
+instead, which finds the pairs of fingerprints within the radius only; passages near the least similarity can be further
+apart.
 """
 
 from __future__ import annotations
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm.components import materialised
 
-SHINGLE_WORDS, SIMILARITY, RADIUS = 5, 0.8, 15
+SHINGLE_WORDS, SIMILARITY = 5, 0.8
 #: Words of all items up to which their shingles are a constant of the filter and item tables are broadcast; beyond, both
 #: are joins that Spark shuffles.
 BROADCAST_WORDS = 50_000
@@ -56,9 +60,10 @@ def _block_values(fp: str, radius: int) -> Column:
 
 
 def _similarity() -> Column:
-    """Weighted Jaccard of the arrays ``shingles`` and ``item_shingles``."""
+    """Weighted Jaccard of the arrays ``shingles`` and ``item_shingles``, ``both`` being their different common elements."""
     common = F.expr(
-        "aggregate(array_intersect(shingles, item_shingles), 0, (s, x) -> s + least(size(filter(shingles, y -> y = x)), size(filter(item_shingles, y -> y = x))))"
+        "if(size(array_distinct(shingles)) = size(shingles) or size(array_distinct(item_shingles)) = size(item_shingles), size(both), "
+        "aggregate(both, 0, (s, x) -> s + least(size(filter(shingles, y -> y = x)), size(filter(item_shingles, y -> y = x)))))"
     )
     return common / (F.size("shingles") + F.size("item_shingles") - common)
 
@@ -75,11 +80,11 @@ def _sharing(shingled: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
 
 def find(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, radius: int = RADIUS,
+    shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, radius: int | None = None,
 ) -> DataFrame:
     """(id, key, item, similarity, distance, start, n_words): the best window of every (document, item) that matches.
 
-    ``key`` is xxhash64 of the text, ``start`` the window's first word. Null, empty and wordless texts and items match
+    With a ``radius``, only those whose fingerprints are within it. ``key`` is xxhash64 of the text, ``start`` the window's first word. Null, empty and wordless texts and items match
     nothing. Rows equal in id and text count once, null ids are kept, and of equally good windows the first is given. Other
     columns are ignored. An empty table on either side gives an empty result.
     """
@@ -97,7 +102,7 @@ def find(
     found = []
     for width in widths:
         own = item.filter(F.least("n", F.lit(shingle_words)) == width).withColumn("item_shingles", _shingles(width))
-        own = own.select("item", "n", "item_shingles").withColumn("item_fp", F.expr(_fingerprint("item_shingles")))
+        own = own.select("item", "n", "item_shingles")
         wanted = own.select("n", F.explode("item_shingles").alias("h")).distinct()
 
         # a generator, so that no filter below makes Spark split the text again for each shingle
@@ -110,17 +115,30 @@ def find(
         texts = sharing.dropDuplicates(["id", "key"])
         texts = texts.join(starts, texts["id"].eqNullSafe(F.col("_id")) & (texts["key"] == F.col("_key")))
         windows = (
-            texts.select("id", "key", F.explode(F.expr(f"transform(starts, s -> named_struct('n', s.n, 'start', s.start, 'shingles', slice(all, s.start + 1, s.n - {width - 1})))")).alias("w"))
-            .select("id", "key", "w.*").withColumn("fp", F.expr(_fingerprint("shingles")))
+            texts.select("id", "key", "n_words", F.explode(F.expr(f"transform(starts, s -> named_struct('n', s.n, 'start', s.start, 'shingles', slice(all, s.start + 1, s.n - {width - 1})))")).alias("w"))
+            .select("id", "key", "n_words", "w.*")
         )
-        mine = windows.select("*", _block_values("fp", radius)).select("id", "key", "n", "start", "shingles", "fp", "b.block", "b.value")
-        theirs = own.select("*", _block_values("item_fp", radius)).select("item", "n", "item_shingles", "item_fp", "b.block", "b.value")
-        x = "(fp ^ item_fp)"
-        earlier = " and ".join(f"(block <= {k} or shiftrightunsigned({x}, {a}) & {(1 << n) - 1}L <> 0)" for k, (a, n) in enumerate(_blocks(radius)))
-        near = mine.join(maybe(theirs), ["n", "block", "value"]).filter(f"bit_count({x}) <= {radius}").filter(earlier)  # the first equal block stands for the pair
+        if radius is None:
+            number = F.xxhash64("item", "n", "item_shingles").alias("number")  # items of one number are all looked at
+            theirs = own.select("*", number)
+            last = F.expr("start >= n_words - n")
+            mine = windows.select("*", F.explode(F.when(last, F.array_distinct("shingles")).otherwise(F.slice("shingles", 1, 1))).alias("h"))
+            near = mine.join(maybe(theirs.select("n", "number", F.explode("item_shingles").alias("h")).distinct()), ["n", "h"])
+            near = near.join(maybe(theirs.drop("n").dropDuplicates(["item", "item_shingles"])), "number")
+        else:
+            mine = windows.withColumn("fp", F.expr(_fingerprint("shingles"))).select("*", _block_values("fp", radius)).select("id", "key", "n", "start", "shingles", "fp", "b.block", "b.value")
+            theirs = own.withColumn("item_fp", F.expr(_fingerprint("item_shingles"))).select("*", _block_values("item_fp", radius)).select("item", "n", "item_shingles", "item_fp", "b.block", "b.value")
+            x = "(fp ^ item_fp)"
+            earlier = " and ".join(f"(block <= {k} or shiftrightunsigned({x}, {a}) & {(1 << n) - 1}L <> 0)" for k, (a, n) in enumerate(_blocks(radius)))
+            near = mine.join(maybe(theirs), ["n", "block", "value"]).filter(f"bit_count({x}) <= {radius}").filter(earlier)  # the first equal block stands for the pair
+        # a generator, so that the filters below don't make it again
+        near = near.withColumn("both", F.explode(F.array(F.array_intersect("shingles", "item_shingles"))))
+        if radius is None:
+            near = near.filter("h = both[0]")  # the first in common stands for the pair
+        near = near.withColumn("similarity", _similarity()).filter(F.col("similarity") >= similarity)
+        distance = F.expr(f"bit_count({_fingerprint('shingles')} ^ {_fingerprint('item_shingles')})").alias("distance")
         found.append(
-            near.withColumn("distance", F.expr(f"bit_count({x})")).withColumn("similarity", _similarity()).filter(F.col("similarity") >= similarity)
-            .select("id", "key", "item", "similarity", "distance", "start", F.col("n").alias("n_words"))
+            near.select("id", "key", "item", "similarity", distance, "start", F.col("n").alias("n_words"))
         )
     every = found[0]
     for more in found[1:]:

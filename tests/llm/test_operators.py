@@ -148,6 +148,23 @@ def test_decontamination(spark, rows, broadcast_words, monkeypatch):
     assert bag(left.select("doc_id").collect()) == bag((i,) for i, t, *_ in every if not brute.leaks([(i, t)], ITEMS))
 
 
+def test_passages_with_far_fingerprints_are_found(spark):
+    """One word of fifty changed leaves a similarity of 41/51, and a few fingerprints differ in more than 15 bits."""
+    r = random.Random(8)
+    items = [(j, " ".join(f"w{j}x{k}" for k in range(50))) for j in range(20)]
+    rows = []
+    for i in range(300):
+        changed = items[i % 20][1].split(" ")
+        changed[r.randrange(4, 46)] = f"x{i}"
+        rows.append((i, " ".join([f"a{i}"] * (i % 3) + changed + [f"b{i}"] * (i % 2)), None, None))
+    table = spark.createDataFrame([x[:2] for x in rows], "doc_id long, text string")
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.leaks(table, asked).collect()
+    assert {(x.doc_id, x.item_id): round(x.similarity, 9) for x in got} == brute.leaks(rows, items) and len(got) == 300
+    far = sum(x.distance > 15 for x in got)
+    assert far and decontaminate.leaks(table, asked, radius=15).count() == 300 - far
+
+
 def test_every_near_fingerprint_shares_a_block(spark):
     for radius in (3, 15):
         blocks = decontaminate._blocks(radius)
