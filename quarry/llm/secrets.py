@@ -1,10 +1,10 @@
 """Secret scans: fixed patterns, and sliding-window entropy per character class. DataFrame functions only.
 
 Patterns are found with positions by matching ``\\G`` (gap)(pattern) over the whole text and adding up the lengths.
-Candidate strings are runs of key characters with a letter and a digit. Their Shannon entropy over every window of
+Candidate strings are runs of key characters with a letter. Their Shannon entropy over every window of
 ``WINDOW`` characters comes from incremental counts: a character that enters a window where it stood k times adds
 t(k + 1) - t(k) to the sum of t(count) with t(k) = k log2 k, the one that leaves takes its share away, and a running
-sum gives every window. The sums are whole numbers (``SCALE`` to one bit), so their order doesn't matter. Each distinct
+sum gives every window. A window that touches an allow-listed word's run of letters and digits isn't looked at. The sums are whole numbers (``SCALE`` to one bit), so their order doesn't matter. Each distinct
 candidate is scored once, whatever its copies.
 """
 
@@ -23,12 +23,13 @@ PATTERNS = [
     ("access", r"AKIA[A-Z0-9]{16,}+", 20, False),
     ("hex", r"[0-9a-f]{24,}+", 24, False),
 ]
-CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])(?=[0-9+/_=-]*+[A-Za-z])[A-Za-z0-9+/_=-]{20,}+"
 WINDOW = 20
 SCALE = 1 << 20
 #: Character classes of a candidate, the first that holds all of it, and the bits a character that make a window suspect.
-CLASSES = [("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8)]
-#: Candidates that are known to be harmless: UUIDs, example keys, runs of the alphabet, dates and times, dashed words.
+CLASSES = [("letters", r"^[A-Za-z+/_=-]+$", 3.7), ("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8)]
+#: Known to be harmless: UUIDs, example keys, runs of the alphabet, dates and times, dashed words. Patterns from ^ to $
+#: allow a whole candidate; the others allow the run of letters and digits that they stand in, not what is glued to it.
 ALLOWED = [
     r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$",
     r"(?i)example|placeholder|changeme|x{6,}|0{8,}",
@@ -60,10 +61,14 @@ def _spans(text: Column, pattern: str, least: int = 0, last_group: bool = False)
 def _suspect(strings: DataFrame, window: int) -> DataFrame:
     """(text, runs): for each distinct candidate of column ``text`` the maximal stretches covered by windows of high entropy."""
     t = F.expr("array(" + ", ".join(f"{round(k * math.log2(k) * SCALE) if k else 0}L" for k in range(window + 1)) + ")")
-    allowed = F.col("text").rlike("|".join(f"(?:{a})" for a in ALLOWED))
+    allowed, words = (F.lit("|".join(f"(?:{a})" for a in ALLOWED if a.startswith("^") == whole)) for whole in (True, False))
+    pieces = F.regexp_extract_all("text", F.lit("[A-Za-z0-9]++|[^A-Za-z0-9]++"), F.lit(0))
+    harmless = F.flatten(F.transform(pieces, lambda p: F.array_repeat(F.rlike(p, words).cast("int"), F.length(p))))
+    harmless = F.when(F.rlike("text", words), harmless).otherwise(F.array_repeat(F.lit(0), F.length("text")))
     limit = F.coalesce(*[F.when(F.col("text").rlike(p), F.lit(bits)) for _, p, bits in CLASSES])
-    one = strings.distinct().filter(~allowed & (F.length("text") >= window)).withColumn("limit", limit)
-    chars = one.select(F.xxhash64("text").alias("h"), "text", "limit", F.posexplode(F.split("text", "")).alias("at", "char")).filter("char <> ''").drop("text")
+    one = strings.distinct().filter(~F.rlike("text", allowed) & (F.length("text") >= window)).withColumn("limit", limit)
+    each = F.arrays_zip(F.split("text", "").alias("char"), harmless.alias("harmless"))
+    chars = one.select(F.xxhash64("text").alias("h"), "limit", F.posexplode(each).alias("at", "c")).select("h", "limit", "at", "c.char", "c.harmless").filter("char <> ''")
     same = Window.partitionBy("h", "char").orderBy("at")
     counted = (
         chars.withColumn("before", F.count("*").over(same.rangeBetween(1 - window, -1)))
@@ -74,12 +79,13 @@ def _suspect(strings: DataFrame, window: int) -> DataFrame:
     loss = F.element_at(t, (F.col("after") + 2).cast("int")) - F.element_at(t, (F.col("after") + 1).cast("int"))
     order = Window.partitionBy("h").orderBy("at")
     summed = (
-        counted.select("h", "limit", "at", gain.alias("gain"), loss.alias("loss"))
+        counted.select("h", "limit", "at", "harmless", gain.alias("gain"), loss.alias("loss"))
         .withColumn("left", F.coalesce(F.lag("loss", window).over(order), F.lit(0)))
+        .withColumn("harmless", F.max("harmless").over(order.rowsBetween(1 - window, 0)))
         .withColumn("t", F.sum(F.col("gain") - F.col("left")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
     )
     entropy = F.lit(math.log2(window)) - F.col("t") / (window * SCALE)
-    high = summed.filter((F.col("at") >= window - 1) & (entropy >= F.col("limit"))).select("h", "at")
+    high = summed.filter((F.col("at") >= window - 1) & (F.col("harmless") == 0) & (entropy >= F.col("limit"))).select("h", "at")
     new = (F.col("at") - F.lag("at").over(order) > window) | F.lag("at").over(order).isNull()
     stretch = high.withColumn("new", new.cast("int")).withColumn("n", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     runs = stretch.groupBy("h", "n").agg((F.min("at") - window + 1).alias("lo"), (F.max("at") + 1).alias("hi"))
@@ -102,7 +108,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window
     """One row per row of ``docs``: id, n_assign, n_access, n_hex, base_sha256, n_entropy, spans.
 
     Spans are kind:start:end in characters, by start and then kind (assign, access, hex, entropy). Entropy spans that
-    lie within a span of a pattern, and candidates on the allow-list, are left out. Null and empty texts have no span.
+    lie within a span of a pattern, candidates on the allow-list and windows that touch an allow-listed word are left out. Null and empty texts have no span.
     Repeated rows are each scanned and null ids kept. Other columns are ignored. An empty table gives an empty result.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))

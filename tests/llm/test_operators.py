@@ -258,6 +258,15 @@ def test_allowed_candidates_are_left_alone(spark):
     assert {x.doc_id: x.n_entropy for x in secrets.scan(docs).collect()} == {0: 0, 1: 1, 2: 0, 3: 0}
 
 
+def test_keys_beside_allowed_words_and_of_letters_only_are_scored(spark):
+    key, letters = "Zx9Qw3Er7Ty1Ui5Op2As4Df6Gh8", "QwErTyUiOpAsDfGhJkLzXcVbNm"
+    texts = ["/examples/" + key, key + "=placeholder", f"{key}/EXAMPLE/{key[::-1]}", letters, "/" + letters + "/", "EXAMPLE" + key, "a" * 40, "some-dashed-words-without-digits", "x" * 8 + letters]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {x.doc_id: x for x in secrets.scan(docs).collect()}
+    assert [got[k].n_entropy for k in range(len(texts))] == [1, 1, 2, 1, 1, 0, 0, 0, 0]
+    assert got[0].spans == "entropy:9:37" and got[2].spans == "entropy:0:28,entropy:35:63"
+
+
 # --- 8 language identification
 
 
