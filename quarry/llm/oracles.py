@@ -1,10 +1,12 @@
-r"""DuckDB SQL for the operators that SQL can say: line dedup, quality rules, decontamination, substring dedup.
+r"""DuckDB SQL for the operators that SQL can say: line dedup, quality rules, decontamination, substring dedup, URL filters.
 
 Fingerprints by XXH64, suffix order over bytes, spans with positions, trained models and token ids are beyond it; tests
 hold those operators against brute-force versions.
 """
 
-from quarry.llm import quality
+import string
+
+from quarry.llm import quality, urls
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -92,4 +94,36 @@ words AS (SELECT doc_id, ws[p] AS w, p FROM (SELECT doc_id, ws, unnest(range(1,
 cut AS (SELECT doc_id, count(gone.p) AS n_removed, string_agg(w, ' ' ORDER BY words.p) FILTER (gone.p IS NULL) AS kept FROM words LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id)
 SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM docs LEFT JOIN cut USING (doc_id)"""
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP, "op3_quality_rules": QUALITY, "op4_decontaminate": DECONTAMINATE, "op9_substring_dedup": SUBSTRING}
+
+def _urls() -> str:
+    upper, lower = string.ascii_uppercase, string.ascii_lowercase
+    by_length = sorted(urls.RULES, key=lambda r: (-len(r[1]), -r[1].index("/")))
+    fits = " ".join(f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '/{p}') THEN '{h}/{p}'" for h, p in (r.split("/", 1) for _, r in by_length))
+    verdicts = " ".join(f"WHEN '{r}' THEN '{v}'" for v, r in by_length)
+    link = urls.LINK.replace("'", "''")
+    return rf"""
+WITH RECURSIVE split AS (SELECT page_id, html, translate(coalesce(regexp_extract(url, '{urls.URL}', 1), ''), '{upper}', '{lower}') AS host, coalesce(regexp_extract(url, '{urls.URL}', 2), '') AS path FROM pages),
+ruled AS (SELECT *, CASE rule {verdicts} END AS by_rule FROM (SELECT *, CASE {fits} END AS rule FROM split)),
+hosts AS (SELECT *, CASE WHEN 2 * allowed > pages THEN 0 WHEN 2 * blocked > pages THEN 1 END AS side
+          FROM (SELECT host, count(*) AS pages, count(*) FILTER (by_rule = 'allow') AS allowed, count(*) FILTER (by_rule = 'block') AS blocked FROM ruled WHERE host <> '' GROUP BY host)),
+seeds AS (SELECT side, host, {urls.UNITS} // count(*) OVER (PARTITION BY side) AS amount FROM hosts WHERE side IS NOT NULL),
+targets AS (SELECT DISTINCT page, src, translate(regexp_extract(a, '{urls.LINK_HOST}', 1), '{upper}', '{lower}') AS dst
+            FROM (SELECT row_number() OVER () AS page, host AS src, unnest(regexp_extract_all(regexp_replace(html, '{urls.NO_LINKS}', ' ', 'g'), '{link}', 1)) AS a FROM split)),
+edges AS (SELECT src, dst, count(*) AS pages FROM targets WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY src, dst),
+arcs AS (SELECT *, sum(pages) OVER (PARTITION BY side, a)::BIGINT AS total FROM (SELECT 0 AS side, src AS a, dst AS b, pages FROM edges UNION ALL SELECT 1, dst, src, pages FROM edges)),
+spread AS (SELECT 0 AS k, side, host, amount::BIGINT AS amount FROM seeds
+           UNION ALL
+           SELECT k, side, host, amount FROM (
+             SELECT s.k + 1 AS k, s.side, b AS host, sum((amount * {urls.DAMPING} // 100 // total) * pages + (amount * {urls.DAMPING} // 100 % total) * pages // total)::BIGINT AS amount
+             FROM spread s JOIN arcs ON s.side = arcs.side AND s.host = arcs.a WHERE s.k < {urls.ROUNDS} GROUP BY s.k + 1, s.side, b) WHERE amount > 0),
+scores AS (SELECT host, coalesce(sum(amount) FILTER (side = 0), 0) AS trust, coalesce(sum(amount) FILTER (side = 1), 0) AS distrust FROM spread GROUP BY host),
+totals AS (SELECT greatest(1, coalesce(sum(trust), 0)) AS all_trust, greatest(1, coalesce(sum(distrust), 0)) AS all_distrust, (SELECT count(*) FROM hosts) AS n FROM scores)
+SELECT page_id, host, path, rule,
+       coalesce(by_rule, CASE WHEN distrust * n >= {urls.LIFT} * all_distrust AND distrust * all_trust > trust * all_distrust THEN 'block' ELSE 'allow' END) AS verdict,
+       coalesce(trust, 0)::BIGINT AS trust, coalesce(distrust, 0)::BIGINT AS distrust
+FROM ruled LEFT JOIN scores USING (host), totals"""
+
+
+URLS = _urls()
+
+ORACLES = {"op1_line_dedup": LINE_DEDUP, "op3_quality_rules": QUALITY, "op4_decontaminate": DECONTAMINATE, "op9_substring_dedup": SUBSTRING, "op11_url_filter": URLS}

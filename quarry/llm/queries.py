@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, langid, linededup, packing, pii, quality, secrets, simhash, substring, suffix, whitening
+from quarry.llm import decontaminate, langid, linededup, packing, pii, quality, secrets, simhash, substring, suffix, urls, whitening
 from quarry.llm.oracles import ORACLES  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -61,6 +61,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_documents(spark, sf_dir), TOKENIZER)
 
 
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -80,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": op8_language_id,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
+    "op11_url_filter": op11_url_filter,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }

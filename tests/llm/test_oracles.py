@@ -17,7 +17,7 @@ def test_query_matches_oracle(spark, name):
     if not os.path.isdir(SF):
         pytest.skip("driver tables not available")
     con = duckdb.connect()
-    for table in ("documents", "benchmark"):
+    for table in ("documents", "benchmark", "pages"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     found = con.execute(ORACLES[name])
     columns = [d[0] for d in found.description]
