@@ -1,4 +1,4 @@
-r"""DuckDB SQL for the operators that SQL can say: line dedup, quality rules, decontamination, substring dedup, URL filters.
+r"""DuckDB SQL for the operators that SQL can say: line dedup, quality rules, decontamination, substring dedup, URL filters, phrases.
 
 Fingerprints by XXH64, suffix order over bytes, spans with positions, trained models and token ids are beyond it; tests
 hold those operators against brute-force versions.
@@ -6,7 +6,7 @@ hold those operators against brute-force versions.
 
 import string
 
-from quarry.llm import quality, urls
+from quarry.llm import phrases, quality, urls
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -126,4 +126,19 @@ FROM ruled LEFT JOIN scores USING (host), totals"""
 
 URLS = _urls()
 
-ORACLES = {"op1_line_dedup": LINE_DEDUP, "op3_quality_rules": QUALITY, "op4_decontaminate": DECONTAMINATE, "op9_substring_dedup": SUBSTRING, "op11_url_filter": URLS}
+PHRASES = rf"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS t FROM documents),
+pieces AS (SELECT lang, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM docs)),
+grams AS (SELECT lang, g, count(*) AS f FROM (SELECT lang, ws[i : i + m - 1] AS g FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM pieces, range(1, {phrases.WORDS + 1}) r(m)))
+          GROUP BY lang, g HAVING count(*) >= {phrases.MIN_COUNT}),
+totals AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM pieces GROUP BY lang),
+inner_ AS (SELECT lang, g[i : j] AS g, max(f) AS longer FROM (SELECT lang, g, f, i, unnest(range(i, len(g) + 1)) AS j FROM (SELECT lang, g, f, unnest(range(1, len(g) + 1)) AS i FROM grams))
+           WHERE j - i + 1 < len(g) GROUP BY ALL),
+own AS (SELECT grams.* FROM grams LEFT JOIN inner_ USING (lang, g) WHERE len(g) > 1 AND (longer IS NULL OR 100 * longer < 100 * f)),
+cuts AS (SELECT c.lang, c.g, c.f AS a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * c.f * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
+         FROM (SELECT *, unnest(range(1, len(g))) AS k FROM own) c JOIN grams x ON x.lang = c.lang AND x.g = c.g[1 : k] JOIN grams y ON y.lang = c.lang AND y.g = c.g[k + 1 :] JOIN totals t ON t.lang = c.lang),
+least AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank, array_to_string(g, ' ') AS phrase, a, l, r, n, score
+FROM least QUALIFY rank <= {phrases.TOP}"""
+
+ORACLES = {"op1_line_dedup": LINE_DEDUP, "op3_quality_rules": QUALITY, "op4_decontaminate": DECONTAMINATE, "op9_substring_dedup": SUBSTRING, "op11_url_filter": URLS, "op12_phrases": PHRASES}

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm import decontaminate, langid, linededup, packing, pii, quality, secrets, simhash, substring, suffix, urls, whitening
+from quarry.llm import decontaminate, langid, linededup, packing, phrases, pii, quality, secrets, simhash, substring, suffix, urls, whitening
 from quarry.llm.oracles import ORACLES  # noqa: F401
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -65,6 +65,10 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_documents(spark, sf_dir))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_packing": op10_packing,
     "op11_url_filter": op11_url_filter,
+    "op12_phrases": op12_phrases,
     "op13_whitening": op13_whitening,
     "pipeline": pipeline,
 }
