@@ -3,9 +3,10 @@
 Texts are cut into pieces at punctuation and line breaks, pieces into words. Steps:
 
 1. Pairs of neighbouring words are counted in a sketch (never too low); a bit a cell says whether a pair may be frequent.
+   Then triples of such pairs are.
 2. Every word begins one window: itself and lead columns with the words after it, as far as the piece goes and the pairs
-   may be frequent, and padding behind. Only these windows are counted, first within a task. A phrase that is frequent has
-   frequent pairs only, so no occurrence of it is cut short.
+   and triples may be frequent, and padding behind. Only these windows are counted, first within a task. A phrase that is
+   frequent has frequent pairs and triples only, so no occurrence of it is cut short.
 3. One ``ROLLUP`` over (language, first word, ..., last word) sums them to the counts of all shorter prefixes: every phrase
    is the prefix of the windows that begin with it, a word is the shortest prefix, and the language's total is n.
 4. Frequent phrases find the counts of both parts of each cut by equi-joins. A phrase goes if a phrase of one word more
@@ -30,7 +31,9 @@ from quarry.llm.sketch import Bitmap, Shared, bitmap, log2_cells, signed_hashes,
 from quarry.llm.textbatch import Chunk, chunks, mix, owner
 
 WORDS, MIN_COUNT, TOP = 5, 100, 2000
-#: Bytes of text to one cell of the sketch (at most 2**MAX_LOG2_CELLS, so the broadcast has 16 MB at most). A full sketch only
+#: Phrases of up to so many words have a sketch.
+SKETCHED = 3
+#: Bytes of text to one cell of a sketch (at most 2**MAX_LOG2_CELLS, so a broadcast has 16 MB at most). A full sketch only
 #: lets more windows through.
 BYTES_A_CELL, MAX_LOG2_CELLS = 64, 27
 #: Windows that a task counts before it sends them.
@@ -67,21 +70,23 @@ class _Words:
         self.h = Chunk(self.data, chunk.offsets, chunk.first).byte_spans().hash(self.start, self.end)
         self.h[self.h == 0] = 1
 
-    def pairs(self, lang: np.ndarray) -> np.ndarray:
-        """Hash of each word with its successor (whatever follows) and ``lang``, the language's hash for each text."""
-        after = np.append(self.h[1:], np.uint64(0))[: len(self.h)]
-        return mix(self.h + mix(after + mix(lang[self.text])))
+    def after(self, values: np.ndarray, k: int) -> np.ndarray:
+        """The value of the word k places on, 0 behind the last one."""
+        return np.append(values[k:], np.zeros(min(k, len(values)), values.dtype))
 
+    def phrases(self, lang: np.ndarray, sketches: list[Bitmap], width: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For 2, 3, ... words from each word on: may they be a frequent phrase, and its hash with ``lang``, the language's hash for each text.
 
-def _windows(words: _Words, extends: np.ndarray, width: int) -> list[np.ndarray]:
-    """Lead columns: ``width`` words from each word on, 0 from the first that does not extend the window."""
-    n = len(words.h)
-    h, extends = np.append(words.h, np.zeros(width, np.uint64)), np.append(extends, np.zeros(width, bool))
-    columns, alive = [words.h], np.ones(n, bool)
-    for k in range(1, width):
-        alive = alive & extends[k - 1 : k - 1 + n]
-        columns.append(np.where(alive, h[k : k + n], np.uint64(0)))
-    return columns
+        They may if both shorter phrases in them may, and the sketch of their length, if there is one, has counted enough.
+        """
+        key, may = mix(self.h + mix(lang[self.text])), self.joined
+        for m in range(2, width + 1):
+            key = mix(key + self.after(self.h, m - 1))
+            may = may & self.after(may, 1) if m > 2 else may.copy()
+            if m - 2 < len(sketches):
+                at = np.flatnonzero(may)
+                may[at] = sketches[m - 2].has(key[at])
+            yield may, key
 
 
 def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", width: int = WORDS, min_count: int = MIN_COUNT) -> DataFrame:
@@ -89,14 +94,19 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).cast("binary").alias("bytes"))
     rows = rows.withColumn("h", F.xxhash64("lang"))
 
-    def pairs(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    log2 = min(MAX_LOG2_CELLS, log2_cells(text_bytes(docs, text_col) // BYTES_A_CELL, 1))
+    sketches: list[Shared] = []
+
+    def longest(batch: pa.RecordBatch, shared: list[Shared]) -> Iterator[np.ndarray]:
+        """Hashes of the phrases of one word more than the sketches so far are for."""
         lang = signed_hashes(batch.column(1))
         for c in chunks(batch.column(0)):
-            words = _Words(c)
-            yield words.pairs(lang)[words.joined]
+            *_, (may, key) = _Words(c).phrases(lang, [x.value for x in shared], len(shared) + 2)
+            yield key[may]
 
-    log2 = min(MAX_LOG2_CELLS, log2_cells(text_bytes(docs, text_col) // BYTES_A_CELL, 1))
-    frequent = Shared(docs.sparkSession, bitmap(rows.select("bytes", "h"), pairs, log2, min_count))
+    for _ in range(min(SKETCHED, width) - 1):
+        found = bitmap(rows.select("bytes", "h"), lambda batch, shared=tuple(sketches): longest(batch, shared), log2, min_count)
+        sketches.append(Shared(docs.sparkSession, found))
     names = [f"w{k + 1}" for k in range(width)]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +130,8 @@ def phrase_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             lang = signed_hashes(batch.column(2))
             for c in chunks(batch.column(1)):
                 words = _Words(c)
-                extends = words.joined & frequent.value.has(words.pairs(lang))
-                waiting.append([code[words.text], *_windows(words, extends, width)])
+                lead = [np.where(may, words.after(words.h, k), np.uint64(0)) for k, (may, _) in enumerate(words.phrases(lang, [x.value for x in sketches], width), 1)]
+                waiting.append([code[words.text], words.h, *lead])
                 size += len(words.h)
                 if size >= GATHER:
                     yield from sent()
