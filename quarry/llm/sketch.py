@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 MIN_LOG2_CELLS, MAX_LOG2_CELLS = 16, 30
 LOG2_PARTS = 6
 #: Hashes that a task gathers before it sends their counts.
-GATHER = 1_000_000
+GATHER = 400_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 

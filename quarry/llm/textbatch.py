@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 500_000
+CHUNK_BYTES = 250_000
 
 #: The six bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return.
 IS_WORD = np.ones(256, bool)
