@@ -228,6 +228,10 @@ cnt AS (SELECT window_id, w1, w2, count(*) AS n FROM p WHERE w1 IS NOT NULL AND
 SELECT window_id, row_number() OVER (PARTITION BY window_id ORDER BY n DESC, w1, w2) AS rank, w1, w2, n
 FROM cnt QUALIFY rank <= 10"""
 
+# A stream of the documents' lines as text files reports the windows of the batch.
+ORACLES["stream_text_word_window_topk"] = ORACLES["word_window_topk"]
+ORACLES["stream_text_bigram_window_topk"] = ORACLES["bigram_window_topk"]
+
 _BIGRAM_PREFIX, _BIGRAM_LAST = ORACLES["bigram_count"].rsplit("\nSELECT ", 1)
 ORACLES["bigram_topk"] = f"""{_BIGRAM_PREFIX},
 c AS (SELECT {_BIGRAM_LAST})

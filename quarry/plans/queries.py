@@ -15,12 +15,15 @@ from pyspark.sql import functions as F
 from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens, text_lines
 from quarry.operators import count_windows, counting, graph, ordering, relational
 from quarry.plans import inputs
+from quarry.session import scratch_path
 from quarry.sources import text as src
-from quarry.streaming import stateful_windows
+from quarry.streaming import stateful_windows, text_stream
 
 K = 10
 WINDOW = 1000
 SORT_BUCKETS = 10
+#: Text files that a micro-batch takes.
+FILES_A_BATCH = 4
 
 
 # --- words and bigrams ------------------------------------------------------------------------
@@ -86,6 +89,27 @@ def stream_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         stateful_windows.bigram_window_topk_stateful(items, window_size=WINDOW, k=K), spark, "stream-bigrams")
 
 
+def stream_text_word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files as a stream that assigns the words' positions itself; the windows of ``word_window_topk``."""
+    spark = _stream_session(spark)
+    files = inputs.document_files(spark, sf_dir, scratch_path(spark, "text-files"))
+
+    def windows(lines: DataFrame) -> DataFrame:
+        return stateful_windows.word_window_topk_stateful(lines, "position", lower_word_tokens("value"), WINDOW, K)
+
+    return text_stream.advance(spark, files, scratch_path(spark, "text-words"), lower_word_count("value"), windows, FILES_A_BATCH)
+
+
+def stream_text_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _stream_session(spark)
+    files = inputs.document_files(spark, sf_dir, scratch_path(spark, "text-files"))
+
+    def windows(lines: DataFrame) -> DataFrame:
+        return stateful_windows.bigram_window_topk_stateful(lines, "position", space_tokens("value"), WINDOW, K)
+
+    return text_stream.advance(spark, files, scratch_path(spark, "text-bigrams"), space_token_count("value"), windows, FILES_A_BATCH)
+
+
 # --- scans and parsers ------------------------------------------------------------------------
 
 def kv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +231,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bigram_window_topk": bigram_window_topk,
     "stream_word_window_topk": stream_word_window_topk,
     "stream_bigram_window_topk": stream_bigram_window_topk,
+    "stream_text_word_window_topk": stream_text_word_window_topk,
+    "stream_text_bigram_window_topk": stream_text_bigram_window_topk,
     "kv_parse": kv_parse,
     "delimited_typed_scan": delimited_typed_scan,
     "positional_project": positional_project,
