@@ -28,6 +28,8 @@ _JAVA_DOT_EXCLUDED = "\n\r\u0085\u2028\u2029"
 # an ASCII letter and no character that '.' refuses.
 WORD_TOKEN = f"^[^{_JAVA_DOT_EXCLUDED}]*[a-zA-Z][^{_JAVA_DOT_EXCLUDED}]*\\z"
 ASCII_LETTER = "[a-zA-Z]"
+# Most word tokens are of lower-case letters and digits only: nothing to strip or to exclude.
+PLAIN_WORD = "^[0-9]*[a-z][a-z0-9]*\\z"
 DOT_EXCLUDED = f"[{_JAVA_DOT_EXCLUDED}]"
 # Characters removed from a word token.
 NON_ALNUM = "[^a-zA-Z0-9]+"
@@ -128,7 +130,8 @@ def classify_token(token, lowercase: bool = True) -> Column:
     """
     t = F.lower(_col(token)) if lowercase else _col(token)
     return (
-        F.when(is_word(t), strip_punctuation(t))
+        F.when(t.rlike(PLAIN_WORD), t)
+        .when(is_word(t), strip_punctuation(t))
         .when(is_sentence_end(t), F.lit(SENTENCE_MARK))
     )
 

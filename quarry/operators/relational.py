@@ -19,9 +19,6 @@ from quarry.operators.topk import top_k
 TCP_SPELLINGS = ("tcp", "TCP")
 BLOCKED = "Blocked"
 
-#: Trace rows of one connection id from which it is split.
-HOT_ROWS = 100_000
-
 
 def sum_by_key(df: DataFrame, key: str, value: str, out: str = "total", overflow: str = "fail") -> DataFrame:
     """``SUM(value)`` per key; NULLs skipped, an all-NULL group gives NULL.
@@ -86,16 +83,18 @@ def blocked_verdicts(verdicts: DataFrame, case_sensitive: bool = False) -> DataF
 
 
 def firewall_log(trace: DataFrame, verdicts: DataFrame, case_sensitive: bool = False,
-                 sort: bool = True, hot_rows: int = HOT_ROWS) -> DataFrame:
+                 sort: bool = True, hot_rows: int | None = None) -> DataFrame:
     """Trace records joined with blocking verdicts on ``connection_id``, ordered by time.
 
     The action filter runs before the join (on the verdict side). Inner join: NULL ids never
-    match and duplicate ids multiply. Connection ids with more than ``hot_rows`` trace rows are
-    spread over many tasks (``joins.salted_join``).
+    match and duplicate ids multiply. The trace is read once, and the adaptive skew join splits the
+    partitions of hot connection ids; where it is off, ``hot_rows`` spreads ids with more trace rows
+    than that over many tasks, which costs a second reading (``joins.salted_join``).
     """
     blocked = blocked_verdicts(verdicts, case_sensitive).select("connection_id", "action")
     records = trace.select("time", "connection_id", "source_ip", "destination_ip")
-    log = salted_join(records, blocked, "connection_id", hot_rows=hot_rows).select("time", "connection_id", "source_ip", "destination_ip", "action")
+    joined = records.join(blocked, "connection_id") if hot_rows is None else salted_join(records, blocked, "connection_id", hot_rows=hot_rows)
+    log = joined.select("time", "connection_id", "source_ip", "destination_ip", "action")
     return log.orderBy("time", "connection_id", "source_ip", "destination_ip") if sort else log
 
 

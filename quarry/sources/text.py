@@ -87,10 +87,11 @@ def parse_positional(lines: DataFrame, sep: str, fields: dict[str, tuple[int, st
 
     Missing and empty fields are NULL (``pig_field``); with ``strict`` a missing field or bad number fails
     (``strict_field``). ``sep`` is a regex, as in ``String.split``; trailing empty fields are dropped like Java does.
-    The split array is its own projection so it is computed once per line, not once per field.
+    The line is split once: the generator keeps a filter on a field, which the optimizer would else push below the split
+    together with a copy of it, above.
     """
     keep = keep or []
-    split = lines.select(*keep, java_split(F.col(line_col), sep).alias("_parts"))
+    split = lines.select(*keep, F.explode(F.array(java_split(F.col(line_col), sep))).alias("_parts"))
     cols = []
     for name, (idx, dtype) in fields.items():
         raw = F.get(F.col("_parts"), F.lit(idx))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.functions.numbers import floor_div
 from quarry.operators import graph, joins, ordinals, ordering, relational
+from quarry.sources import text
 
 
 def test_floor_div_is_exact(spark):
@@ -68,6 +69,30 @@ def test_a_hot_connection_is_spread(spark):
     assert len(tasks) >= 6 and max(r["count"] for r in tasks) < 5_000
 
 
+def test_a_hot_connection_is_split_and_the_trace_read_once(spark):
+    """One connection holds a third of the trace; the adaptive skew join splits it without a count of the keys."""
+    trace = spark.range(300_000).selectExpr("cast(id as string) as time", "cast(if(id % 3 = 0, 1, id) as int) as connection_id", "uuid() as source_ip", "uuid() as destination_ip").repartition(12)
+    verdicts = spark.range(0, 300_000, 2).selectExpr("cast(id + 1 as int) as connection_id", "'Blocked' as action")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2"}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        log = relational.firewall_log(trace, verdicts, sort=False)
+        assert log.count() == 100_000 + 100_000
+        tasks = log.groupBy(F.spark_partition_id()).agg(F.expr("count_if(connection_id = 1) as hot"), F.max(F.struct("source_ip", "destination_ip"))).filter("hot > 0").collect()
+        assert len(tasks) >= 4 and max(r["hot"] for r in tasks) < 60_000
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+
+
+def test_a_parsed_line_is_split_once(spark):
+    lines = spark.createDataFrame([("10:00:00 1 10.0.0.1 > 10.0.0.2 tcp",)], "value string")
+    for df in (relational.tcp_only(text.parse_network_events(lines)), relational.source_destination_topk(text.parse_network_events(lines)), relational.firewall_log(text.parse_trace(lines), text.parse_verdicts(lines))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("split(") == plan.count("explode(")
+
+
 def test_positions_with_hashed_and_repeated_keys(spark):
     rows = [((i * 0x9E3779B97F4A7C15) % 2**63, f"r{i}", i % 4) for i in range(500)] + [(7, "same", 2)] * 40 + [(None, "no key", 3)]
     df = spark.createDataFrame(rows, "k long, v string, n int").repartition(9)
