@@ -30,11 +30,10 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode(text_lines("text")).alias("value"))
 
 
-def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
-    """The documents' lines as text files under ``folder``, in document order; modification times follow that order."""
-    docs = table(spark, sf_dir, "documents").filter("doc_id is not null")
-    lines = docs.select("doc_id", F.posexplode(text_lines("text")).alias("line", "value"))
-    lines.repartitionByRange("doc_id", "line").sortWithinPartitions("doc_id", "line").select("value").write.text(folder)
+def text_files(lines: DataFrame, order: list[str], folder: str) -> str:
+    """Lines (``value``) as text files under ``folder``, sorted by ``order``; modification times follow that order."""
+    spark = lines.sparkSession
+    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.text(folder)
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     paths = sorted((f.getPath() for f in files.listStatus(at)), key=lambda p: p.getName())  # one for each write task
@@ -43,6 +42,12 @@ def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     return folder
 
 
+def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """The documents' lines as text files, in document order."""
+    docs = table(spark, sf_dir, "documents").filter("doc_id is not null")
+    return text_files(docs.select("doc_id", F.posexplode(text_lines("text")).alias("line", "value")), ["doc_id", "line"], folder)
+
+
 # Trace lines: "time connection_id source_ip > destination_ip protocol", one per event.
 TRACE_LINE_SQL = """concat_ws(' ',
     concat(lpad(cast(((event_id * 7919) % 86400) div 3600 as string), 2, '0'), ':',

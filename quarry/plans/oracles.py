@@ -231,6 +231,8 @@ FROM cnt QUALIFY rank <= 10"""
 # A stream of the documents' lines as text files reports the windows of the batch.
 ORACLES["stream_text_word_window_topk"] = ORACLES["word_window_topk"]
 ORACLES["stream_text_bigram_window_topk"] = ORACLES["bigram_window_topk"]
+ORACLES["stream_firewall_log"] = ORACLES["firewall_log"]
+ORACLES["stream_blocked_count_by_source"] = ORACLES["blocked_count_by_source"]
 
 _BIGRAM_PREFIX, _BIGRAM_LAST = ORACLES["bigram_count"].rsplit("\nSELECT ", 1)
 ORACLES["bigram_topk"] = f"""{_BIGRAM_PREFIX},

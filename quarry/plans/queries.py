@@ -17,7 +17,7 @@ from quarry.operators import count_windows, counting, graph, ordering, relationa
 from quarry.plans import inputs
 from quarry.session import scratch_path
 from quarry.sources import text as src
-from quarry.streaming import stateful_windows, text_stream
+from quarry.streaming import firewall, stateful_windows, text_stream
 
 K = 10
 WINDOW = 1000
@@ -110,6 +110,22 @@ def stream_text_bigram_window_topk(spark: SparkSession, sf_dir: str) -> DataFram
     return text_stream.advance(spark, files, scratch_path(spark, "text-bigrams"), space_token_count("value"), windows, FILES_A_BATCH)
 
 
+def _firewall_streams(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    spark = _stream_session(spark)
+    trace = inputs.text_files(inputs.trace_lines(spark, sf_dir), ["value"], scratch_path(spark, "trace-files"))
+    verdicts = inputs.text_files(inputs.verdict_lines(spark, sf_dir), ["value"], scratch_path(spark, "verdict-files"))
+    return firewall.advance(spark, trace, verdicts, scratch_path(spark, "firewall"), FILES_A_BATCH)
+
+
+def stream_firewall_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trace and verdict files joined as they arrive; the rows of ``firewall_log``."""
+    return _firewall_streams(spark, sf_dir)[0]
+
+
+def stream_blocked_count_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _firewall_streams(spark, sf_dir)[1]
+
+
 # --- scans and parsers ------------------------------------------------------------------------
 
 def kv_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -233,6 +249,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_bigram_window_topk": stream_bigram_window_topk,
     "stream_text_word_window_topk": stream_text_word_window_topk,
     "stream_text_bigram_window_topk": stream_text_bigram_window_topk,
+    "stream_firewall_log": stream_firewall_log,
+    "stream_blocked_count_by_source": stream_blocked_count_by_source,
     "kv_parse": kv_parse,
     "delimited_typed_scan": delimited_typed_scan,
     "positional_project": positional_project,
