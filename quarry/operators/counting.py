@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.text import kept_tokens, pairs_of_kept, tokenizer_tokens, whitespace_words
+from quarry.operators.heavy_hitters import CAPACITY, top_k_items
 from quarry.operators.topk import top_k
 
 
@@ -52,3 +53,8 @@ def bigram_order() -> list[Column]:
 def bigram_topk(lines: DataFrame, k: int = 10, line_col: str = "value") -> DataFrame:
     """The ``k`` most frequent bigrams, ``rank`` 1 = most frequent, ties by (w1, w2)."""
     return top_k(bigram_count(lines, line_col), bigram_order(), k)
+
+
+def bigram_topk_by_summaries(lines: DataFrame, k: int = 10, line_col: str = "value", capacity: int = CAPACITY) -> DataFrame:
+    """:func:`bigram_topk` from per-task summaries: the shuffle carries the frequent bigrams only, the lines are read twice."""
+    return top_k_items(bigrams_of_lines(lines, line_col), bigram_order(), k, capacity)

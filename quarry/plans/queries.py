@@ -40,6 +40,10 @@ def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.bigram_topk(inputs.document_lines(spark, sf_dir), K).select("rank", "w1", "w2", "n")
 
 
+def bigram_topk_by_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counting.bigram_topk_by_summaries(inputs.document_lines(spark, sf_dir), K).select("rank", "w1", "w2", "n")
+
+
 def word_window_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
     return count_windows.word_window_topk(docs, "doc_id", lower_word_tokens("text"), lower_word_count("text"), WINDOW, K)
@@ -243,6 +247,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_sorted": word_count_sorted,
     "bigram_count": bigram_count,
     "bigram_topk": bigram_topk,
+    "bigram_topk_by_summaries": bigram_topk_by_summaries,
     "word_window_topk": word_window_topk,
     "bigram_window_topk": bigram_window_topk,
     "stream_word_window_topk": stream_word_window_topk,
