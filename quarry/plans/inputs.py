@@ -133,9 +133,9 @@ def repository_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(F.expr(REPOSITORY_LINE_SQL).alias("value"))
 
 
-def edge_lines(spark: SparkSession, sf_dir: str, noisy: bool = False) -> DataFrame:
+def edge_lines(spark: SparkSession, sf_dir: str, noisy: bool = False, keep: list[str] | None = None) -> DataFrame:
     expr = NOISY_EDGE_LINE_SQL if noisy else EDGE_LINE_SQL
-    return table(spark, sf_dir, "lineitem").select(F.expr(expr).alias("value"))
+    return table(spark, sf_dir, "lineitem").select(*(keep or []), F.expr(expr).alias("value"))
 
 
 # Event streams: the event id is the stream position.

@@ -238,6 +238,8 @@ _BIGRAM_PREFIX, _BIGRAM_LAST = ORACLES["bigram_count"].rsplit("\nSELECT ", 1)
 ORACLES["bigram_topk"] = f"""{_BIGRAM_PREFIX},
 c AS (SELECT {_BIGRAM_LAST})
 SELECT row_number() OVER (ORDER BY n DESC, w1, w2) AS rank, w1, w2, n FROM c QUALIFY rank <= 10"""
+ORACLES["kept_bigram_count"] = ORACLES["bigram_count"]
+ORACLES["arriving_triangle_count"] = ORACLES["triangle_count"]
 ORACLES["bigram_topk_by_summaries"] = ORACLES["bigram_topk"]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens, text_lines
-from quarry.operators import count_windows, counting, graph, ordering, relational
+from quarry.operators import count_windows, counting, graph, graph_increments, kept_counts, ordering, relational
 from quarry.plans import inputs
 from quarry.session import scratch_path
 from quarry.sources import text as src
@@ -40,6 +40,14 @@ def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.bigram_topk(inputs.document_lines(spark, sf_dir), K).select("rank", "w1", "w2", "n")
 
 
+def kept_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts of three batches, the second of which comes twice, kept in one table; the rows of ``bigram_count``."""
+    folder, lines = scratch_path(spark, "kept-counts"), inputs.document_lines(spark, sf_dir)
+    for batch in (0, 1, 1, 2):
+        kept_counts.add(counting.bigram_count(lines.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == batch)), folder, batch)
+    return kept_counts.total(spark, folder, ["w1", "w2"])
+
+
 def bigram_topk_by_summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counting.bigram_topk_by_summaries(inputs.document_lines(spark, sf_dir), K).select("rank", "w1", "w2", "n")
 
@@ -243,11 +251,21 @@ def triangle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.triangle_count(graph.simple_undirected(_edges(spark, sf_dir)))
 
 
+def arriving_triangle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triangles of three batches of edges, counted as they come; the row of ``triangle_count``."""
+    folder = scratch_path(spark, "arriving-edges")
+    edges = src.parse_edges(inputs.edge_lines(spark, sf_dir, keep=["l_orderkey"]), keep=["l_orderkey"])
+    for batch in range(3):
+        graph_increments.add_edges(edges.filter(F.pmod(F.xxhash64("l_orderkey"), F.lit(3)) == batch), folder, batch)
+    return graph_increments.triangle_count(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_count_sorted": word_count_sorted,
     "bigram_count": bigram_count,
     "bigram_topk": bigram_topk,
     "bigram_topk_by_summaries": bigram_topk_by_summaries,
+    "kept_bigram_count": kept_bigram_count,
     "word_window_topk": word_window_topk,
     "bigram_window_topk": bigram_window_topk,
     "stream_word_window_topk": stream_word_window_topk,
@@ -276,4 +294,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ordered_wedges": ordered_wedges,
     "triangles_per_vertex": triangles_per_vertex,
     "triangle_count": triangle_count,
+    "arriving_triangle_count": arriving_triangle_count,
 }
