@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from quarry.session import materialize
 
 
+def fresh(name: str, columns: list[str]) -> str:
+    """``name``, with as many underscores behind it as no column has (names differ by more than case)."""
+    used = {c.lower() for c in columns}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def materialised(df: DataFrame) -> DataFrame:
     """The rows, written once to the shared folder of ``spark.checkpoint.dir`` and read back from there."""
     return materialize(df, "llm")

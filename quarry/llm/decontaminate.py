@@ -7,13 +7,12 @@ sum of the smaller over the sum of the larger count of each shingle (for a text
 1. Texts that share no shingle with any item are dropped where they are read. A window that matches an item shares a
    shingle with it, and moved to the first one it shares (or back to the text's end) it matches at least as well, so only windows that
    start there are looked at.
-2. A window is compared with the items of its size that hold the shingle it starts with (at the text's end, any shingle
-   of it), so every pair that can match is.
-3. What remains is verified by the exact similarity, and the distance of the 64-bit SimHashes is given.
+2. Windows and items of one size are joined on ``radius + 1`` blocks of the bits of their 64-bit SimHashes: fingerprints
+   within the radius agree in one block at least, so every such pair is found.
+3. What remains is verified by the exact similarity.
 
-With a ``radius``, windows and items of one size are joined on ``radius + 1`` blocks of the bits of their SimHashes
-instead, which finds the pairs of fingerprints within the radius only; passages near the least similarity can be further
-apart.
+The default ``RADIUS`` is above the largest distance measured on passages near the least similarity. ``radius=None`` instead
+compares each window with the items that hold the shingle it starts with, whatever the distance of the fingerprints.
 """
 
 from __future__ import annotations
@@ -21,9 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.components import materialised
+from quarry.llm.components import fresh, materialised
 
 SHINGLE_WORDS, SIMILARITY = 5, 0.8
+#: Of 2,352 made passages of similarity 0.8 to 0.85 (items of 13, 50 and 100 words) none was more than 22 bits apart.
+RADIUS = 24
 #: Words of all items up to which their shingles are a constant of the filter and item tables are broadcast; beyond, both
 #: are joins that Spark shuffles.
 BROADCAST_WORDS = 50_000
@@ -80,11 +81,11 @@ def _sharing(shingled: DataFrame, wanted: DataFrame, small: bool) -> DataFrame:
 
 def find(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
-    shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, radius: int | None = None,
+    shingle_words: int = SHINGLE_WORDS, similarity: float = SIMILARITY, radius: int | None = RADIUS,
 ) -> DataFrame:
     """(id, key, item, similarity, distance, start, n_words): the best window of every (document, item) that matches.
 
-    With a ``radius``, only those whose fingerprints are within it. ``key`` is xxhash64 of the text, ``start`` the window's first word. Null, empty and wordless texts and items match
+    Only those whose fingerprints are within the ``radius``, if there is one. ``key`` is xxhash64 of the text, ``start`` the window's first word. Null, empty and wordless texts and items match
     nothing. Rows equal in id and text count once, null ids are kept, and of equally good windows the first is given. Other
     columns are ignored. An empty table on either side gives an empty result.
     """
@@ -154,6 +155,11 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
 
 
 def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that hold no passage of any item, with their columns as they are."""
-    bad = materialised(find(docs, items, id_col, text_col, **options).select(F.col("id").alias("_id"), F.col("key").alias("_key")).distinct())
-    return docs.join(bad, docs[id_col].eqNullSafe(F.col("_id")) & (F.xxhash64(docs[text_col]) == F.col("_key")), "left_anti")
+    """The documents that hold no passage of any item, with their columns as they are.
+
+    Null, empty and wordless texts stay; repeated rows stay or go together. Columns may have any names. An empty
+    table gives an empty result, and no items remove nothing.
+    """
+    id_, key = fresh("_id", docs.columns), fresh("_key", docs.columns)
+    bad = materialised(find(docs, items, id_col, text_col, **options).select(F.col("id").alias(id_), F.col("key").alias(key)).distinct())
+    return docs.join(bad, docs[id_col].eqNullSafe(F.col(id_)) & (F.xxhash64(docs[text_col]) == F.col(key)), "left_anti")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.components import materialised
+from quarry.llm.components import fresh, materialised
 from quarry.llm.sketch import Bitmap, Levels, Shared, bitmap, levels, log2_cells, signed_hashes, split_by_key, text_bytes
 from quarry.llm.textbatch import Chunk, Spans, chunks, mix
 
@@ -363,14 +363,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     gone = removed_lines(docs, id_col, text_col, **options)
     # a bit for each line: rows equal in id and text give the same bits
     bits = gone.groupBy("id", "key", F.expr("line div 64").alias("block")).agg(F.expr("bit_or(shiftleft(1L, cast(line % 64 as int)))").alias("bits"))
-    bits = materialised(bits.groupBy(F.col("id").alias("__id"), F.col("key").alias("__key")).agg(F.collect_list(F.struct("block", "bits")).alias("__gone")))
     docs = docs.drop("n_lines", "n_removed")
     names = docs.columns
-    changed, same = split_by_key(docs.withColumn("__text_key", F.xxhash64(text_col)), bits.select("__key"), "__text_key")
-    joined = changed.join(bits, changed[id_col].eqNullSafe(F.col("__id")) & (changed["__text_key"] == F.col("__key")), "left")
-    joined = joined.select(*[changed[c] for c in names], F.col("__gone.block").alias("__block"), F.col("__gone.bits").alias("__bits"))
+    text_key, id_, key, gone_bits, block, bit = (fresh(c, names) for c in ("__text_key", "__id", "__key", "__gone", "__block", "__bits"))
+    bits = materialised(bits.groupBy(F.col("id").alias(id_), F.col("key").alias(key)).agg(F.collect_list(F.struct("block", "bits")).alias(gone_bits)))
+    changed, same = split_by_key(docs.withColumn(text_key, F.xxhash64(text_col)), bits.select(key), text_key)
+    joined = changed.join(bits, changed[id_col].eqNullSafe(F.col(id_)) & (changed[text_key] == F.col(key)), "left")
+    joined = joined.select(*[changed[c] for c in names], F.col(f"{gone_bits}.block").alias(block), F.col(f"{gone_bits}.bits").alias(bit))
     none = F.lit(None).cast("array<bigint>")
-    joined = joined.unionAll(same.select(*[same[c] for c in names], none.alias("__block"), none.alias("__bits")))
+    joined = joined.unionAll(same.select(*[same[c] for c in names], none.alias(block), none.alias(bit)))
     where = names.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.components import materialised
+from quarry.llm.components import fresh, materialised
 from quarry.llm.textbatch import IS_WORD, Chunk, Spans, chunks, inside, owner
 
 MIN_WORDS = 50
@@ -152,23 +152,24 @@ def thresholds(sketch: DataFrame, fence: int = FENCE, min_rows: int = MIN_ROWS)
     return fenced.groupBy("lang", "source").agg(*pick)
 
 
-def judged(counted: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source", q: str = "quality") -> DataFrame:
-    """``counted`` plus struct ``__verdict`` (base_failed, kept, failed: the rates outside their fences)."""
+def judged(counted: DataFrame, limits: DataFrame, lang_col: str = "lang", source_col: str = "source", q: str = "quality", into: str = "verdict") -> DataFrame:
+    """``counted`` plus struct ``into`` (base_failed, kept, failed: the rates outside their fences)."""
     limits = materialised(limits)
     size = limits.agg(F.sum(F.coalesce(F.octet_length("lang"), F.lit(0)) + F.coalesce(F.octet_length("source"), F.lit(0)) + 200)).first()[0] or 0
-    limits = limits.select(F.struct("*").alias("limits"))
+    own = fresh("limits", [*counted.columns, into])
+    limits = limits.select(F.struct("*").alias(own))
     if size <= BROADCAST_BYTES:
         limits = F.broadcast(limits)
     outside = []
     for r, (_, _, _, both) in RATES.items():
         value = _rate(r, q)
-        bad = value > F.col(f"limits.high_{r}")
-        outside.append(F.when(bad | (value < F.col(f"limits.low_{r}")) if both else bad, F.lit(r)))
-    match = counted[lang_col].eqNullSafe(F.col("limits.lang")) & counted[source_col].eqNullSafe(F.col("limits.source"))
+        bad = value > F.col(f"{own}.high_{r}")
+        outside.append(F.when(bad | (value < F.col(f"{own}.low_{r}")) if both else bad, F.lit(r)))
+    match = counted[lang_col].eqNullSafe(F.col(f"{own}.lang")) & counted[source_col].eqNullSafe(F.col(f"{own}.source"))
     failed = F.array_compact(F.array(*outside))
     return counted.join(limits, match, "left").select(
         *[counted[c] for c in counted.columns],
-        F.struct(base_failed(q).alias("base_failed"), (~base_failed(q) & (F.size(failed) == 0)).alias("kept"), failed.alias("failed")).alias("__verdict"),
+        F.struct(base_failed(q).alias("base_failed"), (~base_failed(q) & (F.size(failed) == 0)).alias("kept"), failed.alias("failed")).alias(into),
     )
 
 
@@ -181,16 +182,16 @@ def rate_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     plain = docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), F.col(text_col).alias("text"))
     counted = materialised(with_counts(plain, "text", ["id", "lang", "source"]))
     out = judged(counted, thresholds(sketches(counted)))
-    return out.select(F.col("id").alias(id_col), *[f"quality.{c}" for c in COUNTS[:5]], "__verdict.base_failed", "__verdict.kept", F.array_join("__verdict.failed", ",").alias("failed_rules"))
+    return out.select(F.col("id").alias(id_col), *[f"quality.{c}" for c in COUNTS[:5]], "verdict.base_failed", "verdict.kept", F.array_join("verdict.failed", ",").alias("failed_rules"))
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """The documents that pass, with their columns as they are; see ``rate_documents`` for nulls and empty tables.
 
-    A first pass gathers the sketches, a second one counts again and filters, so no text is shuffled. Columns named
-    ``__quality`` and ``__verdict`` of ``docs`` may not exist.
+    A first pass gathers the sketches, a second one counts again and filters, so no text is shuffled.
     """
     narrow = docs.select(lang_col, source_col, text_col)
     limits = thresholds(sketches(with_counts(narrow, text_col, [lang_col, source_col]), lang_col, source_col))
-    out = judged(with_counts(docs, text_col, into="__quality"), limits, lang_col, source_col, "__quality")
-    return out.filter("__verdict.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    counts, verdict = fresh("__quality", docs.columns), fresh("__verdict", docs.columns)
+    out = judged(with_counts(docs, text_col, into=counts), limits, lang_col, source_col, counts, verdict)
+    return out.filter(F.col(f"{verdict}.kept")).select(*[F.col(f"`{c}`") for c in docs.columns])

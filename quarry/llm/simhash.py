@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.components import connected_components, materialised
+from quarry.llm.components import connected_components, fresh, materialised
 from quarry.llm.textbatch import chunks
 
 SHINGLE_WORDS, MAX_BITS = 3, 3
@@ -202,6 +202,7 @@ def keep_one_of_each_group(
     first = fps.groupBy("fp").agg(F.min(F.struct(F.col(id_col).isNull(), F.col(id_col).alias("_id"), F.col("_key"))).alias("b"))
     groups = first.join(label, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     best = groups.groupBy("component").agg(F.min("b").alias("b")).select("b._id", "b._key")
-    keyed = docs.withColumn("_key_of_text", F.xxhash64(text_col))
-    match = keyed[id_col].eqNullSafe(best["_id"]) & (keyed["_key_of_text"] == best["_key"])
-    return keyed.join(best, match, "left_semi").dropDuplicates([id_col, "_key_of_text"]).drop("_key_of_text")
+    key = fresh("_key_of_text", docs.columns)
+    keyed = docs.withColumn(key, F.xxhash64(text_col))
+    match = keyed[id_col].eqNullSafe(best["_id"]) & (keyed[key] == best["_key"])
+    return keyed.join(best, match, "left_semi").dropDuplicates([id_col, key]).drop(key)

@@ -4,7 +4,7 @@ import pytest
 
 NAMES = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that the operators use inside; a table may hold them too.
-CLASHES = ["id", "key", "fp", "word", "words", "line", "at", "n", "m", "c", "h", "bytes", "bits", "block", "set", "quality", "spans", "held_out", "piece", "n_words", "item_id"]
+CLASHES = ["id", "key", "fp", "word", "words", "line", "at", "n", "m", "c", "h", "bytes", "bits", "block", "set", "quality", "spans", "held_out", "piece", "n_words", "item_id", "__text_key", "_key_of_text", "__quality", "__verdict", "limits", "verdict", "_id", "_key", "__id", "__gone", "__text"]
 
 
 def _corpus() -> list[tuple]:

@@ -163,6 +163,7 @@ def test_passages_with_far_fingerprints_are_found(spark):
     assert {(x.doc_id, x.item_id): round(x.similarity, 9) for x in got} == brute.leaks(rows, items) and len(got) == 300
     far = sum(x.distance > 15 for x in got)
     assert far and decontaminate.leaks(table, asked, radius=15).count() == 300 - far
+    assert bag(decontaminate.leaks(table, asked, radius=None).collect()) == bag(got)  # recall 1 of the default radius
 
 
 def test_every_near_fingerprint_shares_a_block(spark):
