@@ -59,3 +59,12 @@ def test_stages_take_an_empty_table(spark, corpus):
     docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, folder).count() == 0
+
+
+def test_stages_take_clashing_columns_and_no_n_chars(spark, corpus, docs):
+    folder, _ = corpus
+    table = docs.drop("n_chars")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, folder)
+        assert out.columns == table.columns, name
+        assert out.count() > 0
