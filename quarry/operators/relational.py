@@ -47,9 +47,9 @@ def tcp_only(df: DataFrame, protocol: str = "protocol") -> DataFrame:
     return df.filter(F.col(protocol).isin(*TCP_SPELLINGS))
 
 
-def trim_subnets(df: DataFrame, cols: dict[str, str]) -> DataFrame:
+def trim_subnets(df: DataFrame, cols: dict[str, str], keep: list[str] | None = None) -> DataFrame:
     """Replace each IP column by its prefix without the last dotted part (NULL when no dot)."""
-    return df.select(*[drop_last_component(src).alias(dst) for src, dst in cols.items()])
+    return df.select(*(keep or []), *[drop_last_component(src).alias(dst) for src, dst in cols.items()])
 
 
 def distinct_count_by_key(df: DataFrame, key: str, value: str, out: str = "n_distinct",

@@ -108,8 +108,8 @@ NOISY_EDGE_LINE_SQL = """CASE l_linenumber
     ELSE concat(cast(l_partkey as string), '\\t', cast(l_suppkey as string)) END"""
 
 
-def trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select(F.expr(TRACE_LINE_SQL).alias("value"))
+def trace_lines(spark: SparkSession, sf_dir: str, keep: list[str] | None = None) -> DataFrame:
+    return table(spark, sf_dir, "events").select(*(keep or []), F.expr(TRACE_LINE_SQL).alias("value"))
 
 
 def noisy_trace_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

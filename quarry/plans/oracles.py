@@ -240,6 +240,15 @@ c AS (SELECT {_BIGRAM_LAST})
 SELECT row_number() OVER (ORDER BY n DESC, w1, w2) AS rank, w1, w2, n FROM c QUALIFY rank <= 10"""
 ORACLES["kept_bigram_count"] = ORACLES["bigram_count"]
 ORACLES["arriving_triangle_count"] = ORACLES["triangle_count"]
+ORACLES["distinct_count_topk_from_days"] = ORACLES["distinct_count_topk"]
+
+_EDGE_LINES, _ = ORACLES["edge_parse"].split("\nSELECT ", 1)
+_WHOLE_PAIR = "regexp_full_match(p[1], '[+-]?[0-9]+') AND regexp_full_match(p[2], '[+-]?[0-9]+')"
+ORACLES["edge_parse_with_rejects"] = _EDGE_LINES.replace("AS p FROM el", "AS p, line FROM el") + f""",
+r AS (SELECT line, p, CASE WHEN len(p) <> 2 THEN 'number of fields' WHEN NOT ({_WHOLE_PAIR}) THEN 'no whole number'
+                           WHEN TRY_CAST(p[1] AS BIGINT) IS NULL OR TRY_CAST(p[2] AS BIGINT) IS NULL THEN 'beyond the range' END AS reason FROM sp)
+SELECT CASE WHEN reason IS NULL THEN CAST(p[1] AS BIGINT) END AS src, CASE WHEN reason IS NULL THEN CAST(p[2] AS BIGINT) END AS dst,
+       CASE WHEN reason IS NOT NULL THEN line END AS line, reason FROM r"""
 ORACLES["bigram_topk_by_summaries"] = ORACLES["bigram_topk"]
 
 

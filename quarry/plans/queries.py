@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens, text_lines
-from quarry.operators import count_windows, counting, graph, graph_increments, kept_counts, ordering, relational
+from quarry.operators import count_windows, counting, distinct_bitmaps, graph, graph_increments, kept_counts, ordering, relational
+from quarry.operators.topk import top_k
 from quarry.plans import inputs
 from quarry.session import scratch_path
+from quarry.sources import rejects
 from quarry.sources import text as src
 from quarry.streaming import firewall, stateful_windows, text_stream
 
@@ -192,6 +194,18 @@ def distinct_count_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top.select("source_subnet", "n_destinations", "rank")
 
 
+def distinct_count_topk_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of ``distinct_count_topk`` from bitmaps per day, of two batches, the first of which comes twice."""
+    folder = scratch_path(spark, "distinct-days")
+    trace = src.parse_network_events(inputs.trace_lines(spark, sf_dir, keep=["event_id", "ts"]), keep=["event_id", "ts"])
+    subnets = relational.trim_subnets(relational.tcp_only(trace), {"source_ip": "key", "destination_ip": "value"}, keep=["event_id", "ts"])
+    for batch in (0, 0, 1):
+        own = subnets.filter(F.pmod(F.xxhash64("event_id"), F.lit(2)) == batch)
+        distinct_bitmaps.add(own.select(F.to_date("ts").alias("day"), "key", "value"), folder, batch)
+    counts = distinct_bitmaps.distinct_counts(spark, folder).select(F.col("key").alias("source_subnet"), F.col("n_distinct").alias("n_destinations"))
+    return top_k(counts, [F.col("n_destinations").desc(), F.col("source_subnet").asc_nulls_last()], K).select("source_subnet", "n_destinations", "rank")
+
+
 def _trace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.parse_trace(inputs.trace_lines(spark, sf_dir))
 
@@ -230,6 +244,15 @@ def edge_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.parse_edges(inputs.edge_lines(spark, sf_dir, noisy=True))
 
 
+def edge_parse_with_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the noisy edge list, with its ids or the reason why it has none, written once."""
+    folder = scratch_path(spark, "edge-rejects")
+    rejects.write_checked(rejects.edges_with_reason(inputs.edge_lines(spark, sf_dir, noisy=True)), folder, most_rejects=0.9)
+    good = rejects.records(spark, folder).select("src", "dst", F.lit(None).cast("string").alias("line"), F.lit(None).cast("string").alias("reason"))
+    none = F.lit(None).cast("long")
+    return good.unionAll(rejects.rejects(spark, folder).select(none.alias("src"), none.alias("dst"), "line", "reason"))
+
+
 def edge_symmetrize_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.symmetrize_distinct(_edges(spark, sf_dir))
 
@@ -284,11 +307,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tcp_filter": tcp_filter,
     "ip_prefix_trim": ip_prefix_trim,
     "distinct_count_topk": distinct_count_topk,
+    "distinct_count_topk_from_days": distinct_count_topk_from_days,
     "firewall_log": firewall_log,
     "firewall_log_case_sensitive": firewall_log_case_sensitive,
     "blocked_count_by_source": blocked_count_by_source,
     "top_item_per_group": top_item_per_group,
     "edge_parse": edge_parse,
+    "edge_parse_with_rejects": edge_parse_with_rejects,
     "edge_symmetrize_distinct": edge_symmetrize_distinct,
     "adjacency_list": adjacency_list,
     "ordered_wedges": ordered_wedges,
