@@ -249,6 +249,16 @@ r AS (SELECT line, p, CASE WHEN len(p) <> 2 THEN 'number of fields' WHEN NOT ({_
                            WHEN TRY_CAST(p[1] AS BIGINT) IS NULL OR TRY_CAST(p[2] AS BIGINT) IS NULL THEN 'beyond the range' END AS reason FROM sp)
 SELECT CASE WHEN reason IS NULL THEN CAST(p[1] AS BIGINT) END AS src, CASE WHEN reason IS NULL THEN CAST(p[2] AS BIGINT) END AS dst,
        CASE WHEN reason IS NOT NULL THEN line END AS line, reason FROM r"""
+ORACLES["sampled_two_paths"] = f"""WITH {SYM},
+s AS (SELECT DISTINCT src, dst FROM sym WHERE src <> dst),
+adj AS (SELECT src AS center, list_sort(list(dst)) AS nbrs, count(*) AS d FROM s GROUP BY src HAVING count(*) > 1),
+cum AS (SELECT *, d * (d - 1) // 2 AS w, sum(d * (d - 1) // 2) OVER (ORDER BY center) AS upto FROM adj),
+tot AS (SELECT max(upto)::BIGINT AS n_paths FROM cum),
+dr AS (SELECT i AS draw, n_paths, ('0x' || substr(md5('0:' || i), 1, 15))::BIGINT % n_paths AS pos FROM range(5000) t(i), tot),
+hit AS (SELECT draw, n_paths, center, nbrs, (pos - (upto - w))::BIGINT AS r FROM dr ASOF JOIN cum ON dr.pos < cum.upto),
+ij AS (SELECT *, list_filter(range(greatest(1, floor(sqrt(2.0 * r))::BIGINT - 2), floor(sqrt(2.0 * r))::BIGINT + 4), lambda j: j * (j - 1) // 2 <= r AND r < j * (j + 1) // 2)[1] AS j FROM hit),
+ab AS (SELECT draw, center, n_paths, nbrs[r - j * (j - 1) // 2 + 1] AS a, nbrs[j + 1] AS b FROM ij)
+SELECT draw, center, a, b, EXISTS (SELECT 1 FROM s WHERE s.src = ab.a AND s.dst = ab.b) AS closed, n_paths FROM ab"""
 ORACLES["bigram_topk_by_summaries"] = ORACLES["bigram_topk"]
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.text import lower_word_count, lower_word_tokens, space_token_count, space_tokens, text_lines
-from quarry.operators import count_windows, counting, distinct_bitmaps, graph, graph_increments, kept_counts, ordering, relational
+from quarry.operators import count_windows, counting, distinct_bitmaps, graph, graph_increments, graph_sampling, kept_counts, ordering, relational
 from quarry.operators.topk import top_k
 from quarry.plans import inputs
 from quarry.session import scratch_path
@@ -24,6 +24,8 @@ from quarry.streaming import firewall, stateful_windows, text_stream
 K = 10
 WINDOW = 1000
 SORT_BUCKETS = 10
+#: Two-paths that the sampling query draws from all.
+DRAWS = 5000
 #: Text files that a micro-batch takes.
 FILES_A_BATCH = 4
 
@@ -274,6 +276,10 @@ def triangle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.triangle_count(graph.simple_undirected(_edges(spark, sf_dir)))
 
 
+def sampled_two_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graph_sampling.sample_two_paths(graph.simple_undirected(_edges(spark, sf_dir)), DRAWS)
+
+
 def arriving_triangle_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The triangles of three batches of edges, counted as they come; the row of ``triangle_count``."""
     folder = scratch_path(spark, "arriving-edges")
@@ -319,5 +325,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ordered_wedges": ordered_wedges,
     "triangles_per_vertex": triangles_per_vertex,
     "triangle_count": triangle_count,
+    "sampled_two_paths": sampled_two_paths,
     "arriving_triangle_count": arriving_triangle_count,
 }
