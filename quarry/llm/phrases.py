@@ -37,7 +37,7 @@ SKETCHED = 3
 #: lets more windows through.
 BYTES_A_CELL, MAX_LOG2_CELLS = 64, 27
 #: Windows that a task counts before it sends them.
-GATHER = 1_000_000
+GATHER = 400_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
