@@ -3,18 +3,19 @@
 A line (between line feeds) is the set of its words; two lines match at a Jaccard similarity of at least 0.8, and a
 line goes if one before it, by document id and line number, matches. Steps:
 
-1. Word counts of the corpus are merged into a sketch of one byte a cell; it orders the words of a line by rarity (any
-   fixed order is exact, the rarest first is the fastest).
+1. Word counts of the corpus are merged into a sketch of one byte a cell, of at most 64 MiB; it orders the words of a line
+   by rarity (any fixed order is exact, the rarest first is the fastest).
 2. Equal lines are one, at the place of the first of them.
 3. Each different line posts the first words of that order, as many as a match must share one of (prefix filter). Words
    that the sketch has counted once are left out: no other line has them. Postings travel as arrays, one row for a task's
    postings in a part of the words.
-4. Postings of one word meet in a task that applies the length and the positional filter and compares 64-bit bitmaps of
-   the word sets, which bound the overlap from above. Postings of very frequent words are dealt out by length as well.
-   Each line asks those before it, from the first on, until a few may match (``ROUNDS``); if none of these does, it asks
-   for more in the next round, and in the last one all.
-5. The pairs that 1024 parity bits leave are verified on the word sets themselves, and the lines of matched sets and later
-   copies are cut out.
+4. Postings of one word meet in a task that applies the length and the positional filter and compares bitmaps of the
+   word sets, which bound the overlap from above: 64 parity bits, and beyond 64 words as many bits as there are words, up to
+   512. Postings of very frequent words are dealt out by ranges of sizes as well. Each line asks those before it, from the
+   first on, until a few may match (``ROUNDS``); if none of these does, it asks for more in the next round, and in the last
+   one all. After the first round only postings that an asking line can meet are sent, with at least 256 bits.
+5. The pairs that are left are verified on the word sets themselves, and the lines of matched sets and later copies are cut
+   out.
 
 Words and lines are compared by 64-bit hashes.
 """
@@ -44,9 +45,16 @@ PART_BYTES = 2_000_000
 #: Postings that a task gathers before it sends them.
 GATHER = 150_000
 SMALL_GROUP = 64
-PARITY_LONGS = 16
+#: Postings of one word that ask, and that are asked, at once.
+ASKING, ASKED = 256, 1024
+#: Pairs that a task gathers before it sends them.
+GATHER_PAIRS = 500_000
+#: Cells of the rarity sketch at most, as a power of two: beyond it the order is coarser, but any order is exact.
+MAX_LOG2_RARITY = 26
+#: Most longs of parity bits of a set of more than 64 words.
+WIDE = 8
 #: Lines that may match that a line looks for with one word, in each round.
-ROUNDS = (1, 16, None)
+ROUNDS = (2, None)
 
 
 class _Lines:
@@ -69,6 +77,11 @@ class _Lines:
         wanted = lines[of]
         return _Sets(self.spans, start[wanted], end[wanted], of[wanted], rarity)
 
+    def with_a_word_of(self, words: Bitmap) -> np.ndarray:
+        """Flags of the lines that have at least one of the words."""
+        start, end, of = self._words
+        return np.bincount(of[words.has(self.spans.hash(start, end))], minlength=len(self.line)) > 0
+
 
 class _Sets:
     """Word sets: ``h`` sorted by (line, rarity), ``begin`` and ``n`` of each line's words, its number ``line``."""
@@ -76,7 +89,7 @@ class _Sets:
     def __init__(self, spans: Spans, start: np.ndarray, end: np.ndarray, line: np.ndarray, rarity: Levels | None) -> None:
         h = spans.hash(start, end)
         level = rarity.of(h) if rarity is not None else np.zeros(len(h), np.uint8)
-        order = np.lexsort((h, level, line))
+        order = _sorted(line, level, h)
         line, h, level = line[order], h[order], level[order]
         new = np.ones(len(h), bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
@@ -86,36 +99,74 @@ class _Sets:
         self.line = line[self.begin]
 
 
+def _sorted(line: np.ndarray, level: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Order by (line, level, h): by one packed key, unless the bits of h left out of it would matter."""
+    if len(line) and line[-1] < 1 << 20:
+        key = (line.astype(np.uint64) << np.uint64(44)) | (level.astype(np.uint64) << np.uint64(36)) | (h >> np.uint64(28))
+        order = np.argsort(key)
+        key, h_ = key[order], h[order]
+        if not ((key[1:] == key[:-1]) & (h_[1:] != h_[:-1])).any():
+            return order
+    return np.lexsort((h, level, line))
+
+
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
 
 
+def _longs(n: np.ndarray, full: bool) -> np.ndarray:
+    """Longs of wide parity bits that sets of n words carry: none up to 64 words, then a bit a word, as a power of two; ``full``: four at least."""
+    return np.where(n <= 256, 4, WIDE) if full else np.select([n <= 64, n <= 128, n <= 256], [0, 2, 4], WIDE)
+
+
+def _class(n: np.ndarray) -> np.ndarray:
+    """Number of the range of sizes that n is in; from 20 on it spans a tenth, so a set can match in a few of them only."""
+    n = n.astype(np.int64)
+    return np.where(n <= 20, n, 20 + np.floor(np.log(np.maximum(n, 20) / 20) / np.log(1.1)).astype(np.int64))
+
+
+def _bitmaps(found: _Sets, full: bool) -> tuple[np.ndarray, np.ndarray]:
+    """64 parity bits of each set, and ``WIDE`` longs of them of which the first ``_longs(n)`` count; the 64 are the others folded."""
+    mixed = mix(found.h)
+    one = np.uint64(1) << (mixed >> np.uint64(58))
+    wide = np.zeros((len(found.n), WIDE), np.uint64)
+    if not len(one):
+        return one, wide
+    carries = _longs(found.n, full) > 0
+    if carries.any():
+        words = np.repeat(carries, found.n)
+        bits, slot = one[words], (mixed[words] >> np.uint64(55)) & np.uint64(WIDE - 1)
+        n = found.n[carries]
+        begin = np.cumsum(n) - n
+        for k in range(WIDE):
+            wide[carries, k] = np.bitwise_xor.reduceat(np.where(slot == k, bits, np.uint64(0)), begin)
+        for half in (4, 2):
+            fold = _longs(found.n, full) <= half
+            wide[fold, :half] ^= wide[fold, half : 2 * half]
+    return np.bitwise_xor.reduceat(one, found.begin), wide
+
+
+def _ranges(count: np.ndarray) -> np.ndarray:
+    """0, 1, .. count - 1 for each of the counts, one after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+
+
 def _postings(found: _Sets, frequent: int) -> dict[str, np.ndarray]:
-    """Postings of the sets' prefix words: word, m, role (0: asks and answers, 1: answers, 2: asks), place, n, bitmap, at (number of the set)."""
+    """Postings of the sets' prefix words: word, m, role (0: asks and answers, 1: answers, 2: asks), place, n, at (number of the set)."""
     place = np.arange(len(found.h)) - np.repeat(found.begin, found.n)
     prefix = found.n - (NUMERATOR * found.n + DENOMINATOR - 1) // DENOMINATOR + 1
     at = np.repeat(np.arange(len(found.n)), found.n)
     which = np.flatnonzero((place < prefix[at]) & (found.level > Levels.ONCE))
-    one = np.uint64(1) << (mix(found.h) >> np.uint64(58))
-    maps = np.bitwise_xor.reduceat(one, found.begin) if len(one) else one
     n = found.n[at[which]]
-    # a frequent word's groups hold the sets of one size; a set asks in those of all sizes that can match
-    low, high = -(-n * NUMERATOR // DENOMINATOR), n * DENOMINATOR // NUMERATOR
+    # a frequent word's groups hold the sets of one range of sizes; a set answers in its own and asks in all that can match
+    own, low, high = _class(n), _class(-(-n * NUMERATOR // DENOMINATOR)), _class(n * DENOMINATOR // NUMERATOR)
     often = found.level[which] >= frequent
     copies = np.where(often, high - low + 2, 1)
-    nth = np.arange(copies.sum()) - np.repeat(np.cumsum(copies) - copies, copies)
-    which, n, low, often = (np.repeat(x, copies) for x in (which, n, low, often))
+    nth = _ranges(copies)
+    which, n, own, low, often = (np.repeat(x, copies) for x in (which, n, own, low, often))
     role = np.where(often, np.where(nth == 0, 1, 2), 0)
-    m = np.where(role == 0, 0, np.where(role == 1, n, low + nth - 1))
-    return {"word": found.h[which], "m": m, "role": role, "place": place[which], "n": n, "bitmap": maps[at[which]], "at": at[which]}
-
-
-def _parities(found: _Sets) -> pa.Array:
-    """1024 parity bits of each set, as ``PARITY_LONGS`` longs."""
-    place = mix(found.h ^ np.uint64(0x5DEECE66D))
-    one, slot = np.uint64(1) << (place & np.uint64(63)), (place >> np.uint64(6)) % np.uint64(PARITY_LONGS)
-    longs = [np.bitwise_xor.reduceat(np.where(slot == k, one, np.uint64(0)), found.begin) if len(one) else one for k in range(PARITY_LONGS)]
-    return pa.ListArray.from_arrays(pa.array(np.arange(len(found.n) + 1, dtype=np.int32) * PARITY_LONGS), _signed(np.stack(longs, 1).ravel()))
+    m = np.where(role == 0, 0, np.where(role == 1, own, low + nth - 1))
+    return {"word": found.h[which], "m": m, "role": role, "place": place[which], "n": n, "at": at[which]}
 
 
 def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -127,32 +178,58 @@ def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 def _may_match(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which pairs of postings of one word pass the length, positional and bitmap filters, and stand in order."""
     n, m = c["n"][x], c["n"][y]
+    near = np.bitwise_count(c["bitmap"][x] ^ c["bitmap"][y]) <= n + m - 2 * _needed(n, m)
+    check = np.flatnonzero(near & (c["order"][y] < c["order"][x]))
+    x, y, n, m = x[check], y[check], n[check], m[check]
     need = _needed(n, m)
     p, q = c["place"][x], c["place"][y]
     most = np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1)
-    ok = (c["order"][y] < c["order"][x]) & (np.minimum(n, m) >= need) & (most >= need) & (c["role"][y] != 2) & (c["role"][x] != 1) & c["ask"][x] & (c["raw"][x] != c["raw"][y])
-    return ok & (np.bitwise_count(c["bitmap"][x] ^ c["bitmap"][y]) <= n + m - 2 * need)
-
-
-def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lines (x, y) that may match, and the x that did not ask all before them (``enough`` were found)."""
+    left = (np.minimum(n, m) >= need) & (most >= need) & (c["role"][y] != 2) & (c["role"][x] != 1) & c["ask"][x] & (c["raw"][x] != c["raw"][y])
+    check, x, y, most_apart = check[left], x[left], y[left], (n + m - 2 * need)[left]
+    ok = np.zeros(len(near), bool)
+    if len(check):
+        longs = np.minimum(c["longs"][x], c["longs"][y])
+        apart = np.zeros(len(check), np.int64)
+        for k in range(WIDE):
+            live = np.flatnonzero(longs > k)
+            apart[live] += np.bitwise_count(_folded(c, x[live], longs[live], k) ^ _folded(c, y[live], longs[live], k))
+        ok[check] = apart <= most_apart
+    return ok
+
+
+def _folded(c: dict[str, np.ndarray], x: np.ndarray, longs: np.ndarray, k: int) -> np.ndarray:
+    """Long ``k`` of the wide parity bits of postings, folded to so many longs: sets that may match have the same number or twice it."""
+    out = c["wide"][c["wide_at"][x] + k]
+    twice = np.flatnonzero(c["longs"][x] > longs)
+    out[twice] ^= c["wide"][c["wide_at"][x[twice]] + k + longs[twice]]
+    return out
+
+
+def _pairs(table: pa.Table, wide: np.ndarray, full: bool, enough: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+    """Lines (x, y) that may match, with True, and the x that did not ask all before them (``enough`` were found), with False."""
+    longs = _longs(table["n"].to_numpy(), full)
+    table = table.append_column("longs", pa.array(longs)).append_column("wide_at", pa.array(np.cumsum(longs) - longs))
     at = pc.sort_indices(table, sort_keys=[("word", "ascending"), ("m", "ascending"), ("id", "ascending"), ("line", "ascending")], null_placement="at_end")
     table = table.take(at)
-    c = {name: table[name].to_numpy() for name in ("word", "m", "line", "n", "place", "role", "raw", "bitmap", "ask")}
-    c["bitmap"] = c["bitmap"].view(np.uint64)
-    c["n"], c["place"] = c["n"].astype(np.int64), c["place"].astype(np.int64)
+    c = {name: table[name].to_numpy() for name in ("word", "m", "line", "n", "place", "role", "raw", "bitmap", "ask", "longs", "wide_at")}
+    c["bitmap"], c["wide"] = c["bitmap"].view(np.uint64), wide
     code = table["id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) if len(at) else np.zeros(0, np.int32)
     new = np.ones(len(at), bool)
     new[1:] = (c["word"][1:] != c["word"][:-1]) | (c["m"][1:] != c["m"][:-1])
     step = new.copy()
     step[1:] |= (code[1:] != code[:-1]) | (c["line"][1:] != c["line"][:-1])
-    c["order"] = np.cumsum(step)
+    c["order"] = np.cumsum(step, dtype=np.int32)
     begin = np.flatnonzero(new)
     size = np.diff(np.append(begin, len(at)))
     group = np.repeat(np.arange(len(begin)), size)
     out: list[tuple[np.ndarray, np.ndarray]] = []
     open_: list[np.ndarray] = []
 
+    def sent(least: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+        if sum(len(x) for x, _ in out) >= least:
+            yield c["raw"][np.concatenate([x for x, _ in out])], c["raw"][np.concatenate([y for _, y in out])], True
+            out.clear()
+
     small = np.flatnonzero((size[group] <= SMALL_GROUP) & (size[group] > 1)) if len(group) else np.zeros(0, np.int64)
     have = np.zeros(len(at), np.int64)
     for nth in range(SMALL_GROUP):
@@ -163,20 +240,21 @@ def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray,
         hit = _may_match(c, small, y)
         out.append((small[hit], y[hit]))
         have[small[hit]] += 1
+        yield from sent(GATHER_PAIRS)
     if enough:
         open_.append(np.flatnonzero(have >= enough))
 
     for g in np.flatnonzero(size > SMALL_GROUP):
         lo, hi = begin[g], begin[g] + size[g]
-        for x0 in range(lo, hi, 512):
-            x = np.arange(x0, min(x0 + 512, hi))
+        for x0 in range(lo, hi, ASKING):
+            x = np.arange(x0, min(x0 + ASKING, hi))
             x = x[c["ask"][x] & (c["role"][x] != 1)]
             have = np.zeros(len(x), np.int64)
-            for y0 in range(lo, x0 + 512, 2048):
+            for y0 in range(lo, min(x0 + ASKING, hi), ASKED):
                 live = np.flatnonzero(have < enough) if enough else np.arange(len(x))
                 if not len(live):
                     break
-                y = np.arange(y0, min(y0 + 2048, x0 + 512, hi))
+                y = np.arange(y0, min(y0 + ASKED, x0 + ASKING, hi))
                 xs, ys = np.repeat(x[live], len(y)), np.tile(y, len(live))
                 hit = _may_match(c, xs, ys)
                 if enough:
@@ -185,12 +263,18 @@ def _pairs(table: pa.Table, enough: int | None) -> tuple[np.ndarray, np.ndarray,
                     hit = (flags & (nth <= enough)).ravel()
                     have[live] += flags.sum(1)
                 out.append((xs[hit], ys[hit]))
+                yield from sent(GATHER_PAIRS)
             if enough:
                 open_.append(x[have >= enough])
-    x = np.concatenate([o[0] for o in out]) if out else np.zeros(0, np.int64)
-    y = np.concatenate([o[1] for o in out]) if out else np.zeros(0, np.int64)
-    more = np.concatenate(open_) if open_ else np.zeros(0, np.int64)
-    return c["raw"][x], c["raw"][y], np.unique(c["raw"][more])
+    yield from sent(1)
+    if open_:
+        more = np.unique(c["raw"][np.concatenate(open_)])
+        yield more, more, False
+
+
+def _met(own: dict[str, np.ndarray]) -> np.ndarray:
+    """What postings that meet have in common: the word, and for frequent words the range of sizes."""
+    return mix(own["word"] + mix(own["m"].astype(np.uint64)))
 
 
 def _place_hash(raw: np.ndarray, id_hash: np.ndarray, line: np.ndarray) -> np.ndarray:
@@ -213,7 +297,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             start, end, _ = c.words()
             yield c.byte_spans().hash(start, end)
 
-    rarity = Shared(spark, levels(rows.select("bytes"), word_hashes, log2_cells(size // BYTES_A_CELL, 1)))
+    rarity = Shared(spark, levels(rows.select("bytes"), word_hashes, min(MAX_LOG2_RARITY, log2_cells(size // BYTES_A_CELL, 1))))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -233,17 +317,18 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     is_first = Shared(spark, bitmap(first.select("raw", "id_hash", "line"), first_hashes, log2_cells(first.count(), 16), 1))
     parts = max(1, size // PART_BYTES)
 
-    def post(batches: Iterator[pa.RecordBatch], only: Bitmap | None) -> Iterator[pa.RecordBatch]:
-        """Postings of the first of each line (and few others), as one row of arrays for each part of the words; ``only`` for some lines' words."""
-        waiting: list[tuple[dict[str, np.ndarray], pa.Array]] = []
+    def post(batches: Iterator[pa.RecordBatch], asking: Bitmap | None, only: Bitmap | None) -> Iterator[pa.RecordBatch]:
+        """Postings of the first of each line (and few others), as one row of arrays for each part of the words; ``only`` those that asking lines meet."""
+        waiting: list[tuple[dict[str, np.ndarray], np.ndarray, pa.Array]] = []
 
         def sent() -> Iterator[pa.RecordBatch]:
             if not waiting:
                 return
             arrays = {name: np.concatenate([w[0][name] for w in waiting]) for name in [*_ARRAYS]}
-            ids = pa.concat_arrays([w[1] for w in waiting])
+            wide = np.concatenate([w[1] for w in waiting])
+            ids = pa.concat_arrays([w[2] for w in waiting])
             waiting.clear()
-            mixed = mix(arrays["word"] + mix(arrays["m"].astype(np.uint64)))
+            mixed = _met(arrays)
             part = (mixed % np.uint64(parts)).astype(np.int32)
             arrays["word"] = (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
             by = np.argsort(part, kind="stable")
@@ -254,7 +339,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 values = arrays[name][by]
                 columns.append(pa.ListArray.from_arrays(offsets, _signed(values) if kind == "bigint" else pa.array(values.astype({"int": np.int32, "tinyint": np.int8}[kind]))))
             columns.append(pa.ListArray.from_arrays(offsets, ids.take(pa.array(by))))
-            yield pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id"])
+            longs = _longs(arrays["n"], only is not None)
+            at, longs = (np.cumsum(longs) - longs)[by], longs[by]
+            ends = np.append(0, np.cumsum(longs))[offsets.to_numpy()]
+            columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(wide[np.repeat(at, longs) + _ranges(longs)])))
+            yield pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id", "wide"])
             pa.default_memory_pool().release_unused()
 
         gathered = 0
@@ -263,14 +352,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 found = _Lines(c)
                 id_hash = signed_hashes(batch.column(2))[found.text + c.first]
                 mine = is_first.value.has(_place_hash(found.raw, id_hash, found.number))
+                if only is not None:
+                    mine &= found.with_a_word_of(only)
                 sets = found.sets(mine, rarity.value)
                 own = _postings(sets, frequent)
-                line = sets.line[own.pop("at")]
-                own |= {"raw": found.raw[line], "line": found.number[line]}
                 if only is not None:
-                    keep = only.has(own["word"])
-                    own, line = {name: v[keep] for name, v in own.items()}, line[keep]
-                waiting.append((own, batch.column(0).take(pa.array(found.text[line] + c.first))))
+                    asks = asking.has(found.raw[sets.line])
+                    keep = only.has(_met(own)) & ((own["role"] != 2) | asks[own["at"]])
+                    own = {name: v[keep] for name, v in own.items()}
+                at = own.pop("at")
+                line = sets.line[at]
+                maps, wide = _bitmaps(sets, only is not None)
+                own |= {"raw": found.raw[line], "line": found.number[line], "bitmap": maps[at]}
+                longs = _longs(own["n"], only is not None)
+                waiting.append((own, wide[np.repeat(at, longs), _ranges(longs)], batch.column(0).take(pa.array(found.text[line] + c.first))))
                 gathered += len(line)
                 if gathered >= GATHER:
                     yield from sent()
@@ -278,36 +373,41 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         yield from sent()
 
     array_schema = T.StructType(
-        [T.StructField("part", T.IntegerType()), *(T.StructField(name, T.ArrayType(T.LongType() if kind == "bigint" else T.IntegerType() if kind == "int" else T.ByteType())) for name, kind in _ARRAYS.items()), T.StructField("id", T.ArrayType(id_type))]
+        [T.StructField("part", T.IntegerType()), *(T.StructField(name, T.ArrayType(T.LongType() if kind == "bigint" else T.IntegerType() if kind == "int" else T.ByteType())) for name, kind in _ARRAYS.items()), T.StructField("id", T.ArrayType(id_type)), T.StructField("wide", T.ArrayType(T.LongType()))]
     )
 
     def candidates(limit: int | None, asking: Bitmap | None = None, only: Bitmap | None = None) -> DataFrame:
         """Pairs (x, y) of lines that may match; x alone with ``all_asked`` false where it found ``limit`` and stopped. ``asking``: lines that ask."""
         ask = Shared(spark, asking)
-        words = Shared(spark, only)
+        words, full = Shared(spark, only), only is not None
 
-        def meet(table: pa.Table) -> pa.Table:
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(batches)
+            wide = signed_hashes(pc.list_flatten(table["wide"]))
             flat = {name: pc.list_flatten(table[name]) for name in [*_ARRAYS, "id"]}
             n = len(flat["word"])
             flat["ask"] = pa.array(ask.value.has(signed_hashes(flat["raw"])) if ask.value is not None else np.ones(n, bool))
-            x, y, more = _pairs(pa.table(flat), limit)
-            return pa.table({"x": np.concatenate([x, more]), "y": np.concatenate([y, more]), "all_asked": np.concatenate([np.ones(len(x), bool), np.zeros(len(more), bool)])})
+            del table
+            for x, y, all_asked in _pairs(pa.table(flat), wide, full, limit):
+                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), all_asked))], ["x", "y", "all_asked"])
 
-        return rows.mapInArrow(lambda b: post(b, words.value), array_schema).groupBy("part").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
+        return rows.mapInArrow(lambda b: post(b, ask.value, words.value), array_schema).groupBy("part").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
 
     def asked_words(asking: Bitmap):
-        """The words that the asking lines post."""
+        """The words that the asking lines post, and what their postings meet by."""
         shared = Shared(spark, asking)
 
         def words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
             for c in chunks(batch.column(0)):
                 found = _Lines(c)
-                yield _postings(found.sets(shared.value.has(found.raw), rarity.value), frequent)["word"]
+                own = _postings(found.sets(shared.value.has(found.raw), rarity.value), frequent)
+                asks = own["role"] != 1
+                yield np.concatenate([own["word"], _met(own)[asks]])
 
         return words
 
-    def of_lines(pairs: DataFrame, give, kind: str) -> tuple[DataFrame, DataFrame]:
-        """What ``give`` makes of the word sets of the lines in the pairs, with their sizes and first places, for x and for y."""
+    def of_lines(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The word sets of the lines in the pairs, with their first places, for x and for y."""
         wanted_lines = pairs.select(F.explode(F.array("x", "y")).alias("raw")).distinct()
         wanted = materialised(first.join(wanted_lines, "raw").select("raw", "id", "line"))
         only = Shared(spark, bitmap(wanted.select("raw"), lambda batch: [signed_hashes(batch.column(0))], log2_cells(wanted.count(), 16), 1))
@@ -319,22 +419,20 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     one = np.zeros(len(found.raw), bool)
                     one[np.unique(found.raw, return_index=True)[1]] = True
                     own = found.sets(only.value.has(found.raw) & one, None)
-                    yield pa.RecordBatch.from_arrays([_signed(found.raw[own.line]), pa.array(own.n.astype(np.int32)), give(own)], ["raw", "n", "what"])
+                    of = pa.ListArray.from_arrays(pa.array(np.append(own.begin, len(own.h)).astype(np.int32)), _signed(own.h))
+                    yield pa.RecordBatch.from_arrays([_signed(found.raw[own.line]), of], ["raw", "words"])
 
-        table = materialised(rows.select("bytes").mapInArrow(sets, f"raw bigint, n int, what {kind}").join(wanted, "raw").dropDuplicates(["raw"]))
+        table = materialised(rows.select("bytes").mapInArrow(sets, "raw bigint, words array<bigint>").join(wanted, "raw").dropDuplicates(["raw"]))
         at = F.struct(F.col("id").isNull().alias("null"), "id", "line").alias("at")
-        return tuple(table.select(F.col("raw").alias(name), F.struct("n", "what", at).alias(f"of_{name}")) for name in ("x", "y"))
+        return tuple(table.select(F.col("raw").alias(name), F.struct("words", at).alias(f"of_{name}")) for name in ("x", "y"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """The x of the pairs that match, by their first places, parities and word sets."""
-        x, y = of_lines(pairs, _parities, "array<bigint>")
-        apart = F.expr("aggregate(zip_with(of_x.what, of_y.what, (a, b) -> bit_count(a ^ b)), 0, (s, n) -> s + n)")
-        both = F.col("of_x.n") + F.col("of_y.n")
-        need = F.expr(f"({NUMERATOR} * (of_x.n + of_y.n) + {NUMERATOR + DENOMINATOR - 1}) div {NUMERATOR + DENOMINATOR}")
-        near = materialised(pairs.join(x, "x").join(y, "y").filter(F.col("of_y.at") < F.col("of_x.at")).filter(apart <= both - 2 * need).select("x", "y"))
-        x, y = of_lines(near, lambda own: pa.ListArray.from_arrays(pa.array(np.append(own.begin, len(own.h)).astype(np.int32)), _signed(own.h)), "array<bigint>")
-        common = F.size(F.array_intersect("of_x.what", "of_y.what"))
-        return near.join(x, "x").join(y, "y").filter(common >= need).select(F.col("x").alias("raw")).distinct()
+        """The x of the pairs that match, by their first places and word sets."""
+        x, y = of_lines(pairs)
+        n = F.size("of_x.words") + F.size("of_y.words")
+        common = F.size(F.array_intersect("of_x.words", "of_y.words"))
+        match = pairs.join(x, "x").join(y, "y").filter(F.col("of_y.at") < F.col("of_x.at"))
+        return match.filter((NUMERATOR + DENOMINATOR) * common >= NUMERATOR * n).select(F.col("x").alias("raw")).distinct()
 
     matched, asking, only = None, None, None
     for limit in rounds:
@@ -346,7 +444,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not waiting:
             break
         asking = bitmap(rest, lambda batch: [signed_hashes(batch.column(0))], log2_cells(waiting, 16), 1)
-        only = bitmap(rows.select("bytes"), asked_words(asking), log2_cells(waiting, 256), 1)
+        only = bitmap(rows.select("bytes"), asked_words(asking), log2_cells(waiting, 512), 1)
     state = materialised(first.join(matched.distinct().withColumn("matched", F.lit(True)), "raw", "left").select("raw", F.col("id").alias("first_id"), F.col("line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched")))
     gone = ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line")))
     return lines.select("raw", "id", "key", "line").join(state, "raw").filter(F.col("matched") | gone).select("id", "key", "line")

@@ -47,6 +47,36 @@ def test_line_dedup_second_round(spark, monkeypatch):
     assert bag(got.select("doc_id", "n_lines", "n_removed", "text").collect()) == bag(brute.line_dedup(rows))
 
 
+@pytest.mark.parametrize("options", [{}, {"frequent": 0, "rounds": (1, None)}])
+def test_line_dedup_of_long_lines(spark, options, monkeypatch):
+    """Near copies about the threshold of 0.8, of sizes where the parity bits change their number; pairs are sent in small batches."""
+    monkeypatch.setattr(linededup, "GATHER_PAIRS", 3)
+    r = random.Random(7)
+    rows = []
+    for size in (40, 62, 70, 125, 132, 250, 262, 600):
+        base = [f"s{size}w{k}" for k in range(size)]
+        rows.append(" ".join(base))
+        for _ in range(8):
+            line = base + [f"more{r.randrange(10**6)}" for _ in range(r.randrange(size // 8))]
+            for k in r.sample(range(size), r.randint(size // 14, size // 7)):
+                line[k] = f"x{r.randrange(10**6)}"
+            r.shuffle(line)
+            rows.append(" ".join(line))
+    r.shuffle(rows)
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    want = brute.line_dedup([(i, text, None, None) for i, text in enumerate(rows)])
+    assert 8 < sum(x[2] for x in want) < len(rows) - 8
+    assert bag(linededup.deduplicate(docs, **options).select("doc_id", "n_lines", "n_removed", "text").collect()) == bag(want)
+
+
+def test_ranges_of_sizes_cover_every_size_that_can_match():
+    n = np.arange(1, 5000)
+    of = linededup._class(n)
+    assert (np.diff(of) >= 0).all()
+    low, high = of[-(-n * 4 // 5) - 1], of[np.minimum(n * 5 // 4, 4999) - 1]
+    assert ((low <= of) & (of <= high)).all() and (high - low).max() < 12
+
+
 def test_line_dedup_drops_emptied_documents_only(spark):
     docs = spark.createDataFrame([(1, "a b c d e f\nx"), (2, "a b c d e f"), (3, ""), (4, None), (5, "new\na b c d e f")], "doc_id long, text string")
     got = {x.doc_id: x.text for x in linededup.deduplicate(docs, drop_emptied=True).collect()}
