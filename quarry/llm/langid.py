@@ -4,7 +4,8 @@ Texts are lower-cased; every run of characters that are not letters becomes one
 characters (but blank ones) are hashed into buckets. Training sums bucket counts per language over all training
 documents (a grouped sum). The matrix of log probabilities has ``buckets x languages`` cells, at most
 ``MATRIX_CELLS``: more languages get fewer buckets, and more than ``MAX_LANGUAGES`` raise an error. It is broadcast,
-and each task scores its batches in numpy from the sparse counts of each whole text.
+and each task scores a group of whole texts at once: their n-grams are one sparse matrix (text, bucket, count) whose
+products with the rows of the log probabilities are summed per text.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ MATRIX_CELLS = 1 << 22
 MAX_LANGUAGES = 4096
 SMOOTHING = 0.1
 UNKNOWN = "und"
-_PIECE_CHARS = 1_000_000
+_PIECE_CHARS = 250_000
+#: Products that a task holds at once when it scores.
+SCORE_CELLS = 1 << 21
 
 _letters: np.ndarray | None = None
 
@@ -38,21 +41,35 @@ def _is_letter() -> np.ndarray:
     return _letters
 
 
-def _bucket_counts(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of a text's n-grams and how often each occurs; both empty if there is no letter."""
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not text:
-        return none
-    points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+def _batches(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
+    """Texts in groups of about ``_PIECE_CHARS`` characters, with the number of the first of each."""
+    group: list[str | None] = []
+    first = chars = 0
+    for k, text in enumerate(texts):
+        group.append(text.as_py())
+        chars += len(group[-1] or "")
+        if chars >= _PIECE_CHARS:
+            yield first, group
+            group, first, chars = [], k + 1, 0
+    if group:
+        yield first, group
+
+
+def _sparse(texts: list[str | None], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sparse matrix of a group of texts: row (text), bucket and count of its n-grams, by row and bucket.
+
+    A text without a letter has none; n-grams never span two texts.
+    """
+    parts = [np.frombuffer((t or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32) for t in texts]
+    points = np.concatenate(parts)
+    row = np.repeat(np.arange(len(parts)), [len(x) for x in parts])
     letter = _is_letter()[points]
-    if not letter.any():
-        return none
     keep = letter.copy()
-    keep[1:] |= letter[:-1]  # a run of other characters leaves one blank
-    points = np.where(letter, points, 32)[keep].astype(np.uint64)
-    total = np.zeros(buckets, np.int64)
+    keep[1:] |= letter[:-1] & (row[1:] == row[:-1])  # a run of other characters leaves one blank
+    points, row = np.where(letter, points, 32)[keep].astype(np.uint64), row[keep]
+    cells, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for lo in range(0, len(points), _PIECE_CHARS):
-        part = points[lo : lo + _PIECE_CHARS + ORDERS[-1] - 1]
+        part, own, found = points[lo : lo + _PIECE_CHARS + ORDERS[-1] - 1], row[lo : lo + _PIECE_CHARS + ORDERS[-1] - 1], []
         for n in ORDERS:
             m = min(_PIECE_CHARS, len(part) - n + 1)
             if m <= 0:
@@ -60,11 +77,17 @@ def _bucket_counts(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarr
             h = np.full(m, n, np.uint64)
             for k in range(n):
                 h = h * np.uint64(0x100000001B3) + part[k : k + m]
+            whole = own[:m] == own[n - 1 : n - 1 + m]
             if n == 1:
-                h = h[part[:m] != 32]
-            total += np.bincount((mix(h) >> np.uint64(40)).astype(np.int64) % buckets, minlength=buckets)
-    at = np.flatnonzero(total)
-    return at, total[at]
+                whole &= part[:m] != 32
+            found.append(own[:m][whole] * buckets + (mix(h[whole]) >> np.uint64(40)).astype(np.int64) % buckets)
+        cell, count = np.unique(np.concatenate(found), return_counts=True)
+        cells.append(cell)
+        counts.append(count)
+    cell, inverse = np.unique(np.concatenate(cells), return_inverse=True)
+    count = np.zeros(len(cell), np.int64)
+    np.add.at(count, inverse, np.concatenate(counts))
+    return cell // buckets, cell % buckets, count
 
 
 @dataclass
@@ -73,16 +96,26 @@ class Model:
     prior: np.ndarray  # log, per language
     log_p: np.ndarray  # buckets x languages
 
-    def predict(self, text: str | None) -> tuple[str, float]:
+    def predict(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of the best language (-1: none) and its posterior probability, for a group of texts at once."""
+        best, p = np.full(len(texts), -1), np.zeros(len(texts))
         if not self.languages:
-            return UNKNOWN, 0.0
-        at, n = _bucket_counts(text, len(self.log_p))
-        if not len(at):
-            return UNKNOWN, 0.0
-        score = self.prior + n @ self.log_p[at]
-        p = np.exp(score - score.max())
-        best = int(p.argmax())
-        return self.languages[best], float(p[best] / p.sum())
+            return best, p
+        row, at, n = _sparse(texts, len(self.log_p))
+        score = np.tile(self.prior, (len(texts), 1))
+        step, lo = max(1, SCORE_CELLS // len(self.languages)), 0
+        while lo < len(row):
+            hi = min(lo + step, len(row))
+            if hi < len(row) and (start := int(np.searchsorted(row, row[hi]))) > lo:
+                hi = start  # whole texts, where they fit, so that a text's sum doesn't depend on its neighbours
+            begin = np.flatnonzero(np.diff(row[lo:hi], prepend=-1))
+            score[row[lo:hi][begin]] += np.add.reduceat(n[lo:hi, None] * self.log_p[at[lo:hi]], begin, axis=0)
+            lo = hi
+        known = np.unique(row)
+        likely = np.exp(score[known] - score[known].max(1, keepdims=True))
+        best[known] = likely.argmax(1)
+        p[known] = likely.max(1) / likely.sum(1)
+        return best, p
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
@@ -91,6 +124,7 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
     languages = sorted(r[0] for r in docs.select("lang").distinct().limit(MAX_LANGUAGES + 1).collect())
     if len(languages) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    code = {lang: i for i, lang in enumerate(languages)}
     buckets = 1 << min(16, (MATRIX_CELLS // max(1, len(languages))).bit_length() - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,24 +140,27 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Mo
             n_docs.clear()
 
         for batch in batches:
-            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                at, n = _bucket_counts(text.as_py(), buckets)
-                if len(at):
+            langs = np.array([code[x] for x in batch.column(0).to_pylist()], np.int64)
+            for first, texts in _batches(batch.column(1)):
+                row, at, n = _sparse(texts, buckets)
+                lang_of = langs[first : first + len(texts)]
+                for k in np.unique(lang_of[row]):
+                    own, lang = lang_of[row] == k, languages[k]
                     if lang not in totals and len(totals) >= 64:
                         yield from flush()
-                    totals.setdefault(lang, np.zeros(buckets, np.int64))[at] += n
-                    n_docs[lang] = n_docs.get(lang, 0) + 1
+                    np.add.at(totals.setdefault(lang, np.zeros(buckets, np.int64)), at[own], n[own])
+                    n_docs[lang] = n_docs.get(lang, 0) + len(np.unique(row[own]))
         yield from flush()
 
-    # at most buckets x languages rows, which MATRIX_CELLS bounds
-    rows = docs.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
-    code = {lang: i for i, lang in enumerate(languages)}
-    lang_at = np.array([code[x] for x in rows["lang"].to_pylist()], np.int64)
-    bucket, n = rows["bucket"].to_numpy(), rows["n"].to_numpy()
+    # a row a language, at most buckets x languages cells, which MATRIX_CELLS bounds
+    summed = docs.mapInArrow(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    rows = summed.groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("cells")).toArrow().combine_chunks()
     counts, docs_of = np.zeros((buckets, len(languages))), np.zeros(len(languages))
-    own = bucket >= 0
-    counts[bucket[own], lang_at[own]] = n[own]
-    docs_of[lang_at[~own]] = n[~own]
+    for lang, cells in zip(rows["lang"].to_pylist(), rows["cells"]):
+        bucket, n = (x.to_numpy() for x in cells.values.flatten())
+        own = bucket >= 0
+        counts[bucket[own], code[lang]] = n[own]
+        docs_of[code[lang]] = n[~own].sum()
     used = np.flatnonzero(docs_of)
     counts, docs_of = counts[:, used] + SMOOTHING, docs_of[used]
     return Model([languages[i] for i in used], np.log(docs_of / max(1, docs_of.sum())), np.log(counts / counts.sum(0)))
@@ -137,8 +174,10 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", carry: list[s
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            found = [known.predict(t.as_py()) for t in batch.column(len(names))]
-            arrays = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            found = [known.predict(texts) for _, texts in _batches(batch.column(len(names)))]
+            best, p = (np.concatenate([f[k] for f in found]) if found else np.zeros(0, int) for k in (0, 1))
+            labels = [known.languages[k] if k >= 0 else UNKNOWN for k in best]
+            arrays = [pa.array(labels, pa.string()), pa.array(p, pa.float64())]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *arrays], [*names, "lang_pred", "score"])
 
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])

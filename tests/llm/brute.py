@@ -201,6 +201,44 @@ def secrets(text, allowed, classes, window, scale):
     return (*(sum(s[3] == k for s in base) for k in ("assign", "access", "hex")), hashlib.sha256(joined(base).encode()).hexdigest(), len(more), joined(base + more))
 
 
+def languages(rows, buckets, smoothing):
+    """Plain naive Bayes over hashed 1-3-grams, text by text: [(id, language, probability)]; learns from the rows that are not held out."""
+
+    def grams(text):
+        t = "".join(c if c.isalpha() else " " for c in (text or "").lower()).lstrip(" ")
+        t = re.sub(" +", " ", t)
+        for n in (1, 2, 3):
+            for k in range(len(t) - n + 1):
+                if t[k : k + n] != " ":
+                    h = n
+                    for c in t[k : k + n]:
+                        h = (h * 0x100000001B3 + ord(c)) % 2**64
+                    h = (h ^ (h >> 30)) * 0xBF58476D1CE4E5B9 % 2**64
+                    h = (h ^ (h >> 27)) * 0x94D049BB133111EB % 2**64
+                    yield ((h ^ (h >> 31)) >> 40) % buckets
+
+    counts, docs = collections.defaultdict(collections.Counter), collections.Counter()
+    for i, text, lang, *_ in rows:
+        if lang is not None and (i is None or zlib.crc32(str(i).encode()) % 3 != 1):
+            own = collections.Counter(grams(text))
+            counts[lang] += own
+            docs[lang] += bool(own)
+    known = sorted(k for k in docs if docs[k])
+    out = []
+    for i, text, *_ in rows:
+        own = collections.Counter(grams(text))
+        if not own or not known:
+            out.append((i, "und", 0.0))
+            continue
+        score = []
+        for lang in known:
+            all_ = sum(counts[lang].values()) + smoothing * buckets
+            score.append(math.log(docs[lang] / sum(docs.values())) + sum(n * math.log((counts[lang][b] + smoothing) / all_) for b, n in own.items()))
+        p = [math.exp(x - max(score)) for x in score]
+        out.append((i, known[p.index(max(p))], max(p) / sum(p)))
+    return out
+
+
 def substring_dedup(rows, window=13):
     data = [words(t) for _, t, *_ in rows]
     owners = collections.defaultdict(set)

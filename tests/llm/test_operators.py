@@ -316,6 +316,16 @@ def test_language_identification_on_held_out_documents(spark):
     assert all(0 <= x.score <= 1 for x in got.values())
 
 
+@pytest.mark.parametrize("piece, cells", [(250_000, 1 << 21), (700, 64)])
+def test_languages_are_those_of_plain_naive_bayes(docs, rows, piece, cells, monkeypatch):
+    monkeypatch.setattr(langid, "_PIECE_CHARS", piece)
+    monkeypatch.setattr(langid, "SCORE_CELLS", cells)
+    model = langid.train(docs.filter(~langid.held_out("doc_id")))
+    want = collections.Counter((i, lang, round(p, 6)) for i, lang, p in brute.languages(rows, len(model.log_p), langid.SMOOTHING))
+    got = collections.Counter((x.doc_id, x.lang_pred, round(x.score, 6)) for x in langid.identify(docs).collect())
+    assert got == want and {"und", "en", "de"} <= {lang for _, lang, _ in want}
+
+
 def test_a_prediction_does_not_use_language_source_or_id(spark):
     docs = spark.createDataFrame([(i, "der und nicht" if i % 2 else "the and with", "de" if i % 2 else "en") for i in range(30)], "doc_id long, text string, lang string")
     model = langid.train(docs)
