@@ -4,7 +4,9 @@ Patterns are found with positions by matching ``\\G`` (gap)(pattern) over the wh
 Candidate strings are runs of key characters with a letter. Their Shannon entropy over every window of
 ``WINDOW`` characters comes from incremental counts: a character that enters a window where it stood k times adds
 t(k + 1) - t(k) to the sum of t(count) with t(k) = k log2 k, the one that leaves takes its share away, and a running
-sum gives every window. A window that touches an allow-listed word's run of letters and digits isn't looked at. The sums are whole numbers (``SCALE`` to one bit), so their order doesn't matter. Each distinct
+sum gives every window. A window that touches an allow-listed word's run of letters and digits isn't looked at; nor, in a
+candidate without digits, one that touches a separator or a part with few capitals, so that paths
+and dashed names are judged part by part and identifiers like ``aLongName`` left alone. The sums are whole numbers (``SCALE`` to one bit), so their order doesn't matter. Each distinct
 candidate is scored once, whatever its copies.
 """
 
@@ -28,6 +30,8 @@ WINDOW = 20
 SCALE = 1 << 20
 #: Character classes of a candidate, the first that holds all of it, and the bits a character that make a window suspect.
 CLASSES = [("letters", r"^[A-Za-z+/_=-]+$", 3.7), ("hex", r"^[0-9a-fA-F]+$", 3.0), ("alnum", r"^[A-Za-z0-9]+$", 3.6), ("base64", r"^[A-Za-z0-9+/_=-]+$", 3.8)]
+#: Capitals in a hundred letters up to which a part of a candidate without digits is a word or an identifier.
+FEW_CAPITALS = 30
 #: Known to be harmless: UUIDs, example keys, runs of the alphabet, dates and times, dashed words. Patterns from ^ to $
 #: allow a whole candidate; the others allow the run of letters and digits that they stand in, not what is glued to it.
 ALLOWED = [
@@ -63,8 +67,14 @@ def _suspect(strings: DataFrame, window: int) -> DataFrame:
     t = F.expr("array(" + ", ".join(f"{round(k * math.log2(k) * SCALE) if k else 0}L" for k in range(window + 1)) + ")")
     allowed, words = (F.lit("|".join(f"(?:{a})" for a in ALLOWED if a.startswith("^") == whole)) for whole in (True, False))
     pieces = F.regexp_extract_all("text", F.lit("[A-Za-z0-9]++|[^A-Za-z0-9]++"), F.lit(0))
-    harmless = F.flatten(F.transform(pieces, lambda p: F.array_repeat(F.rlike(p, words).cast("int"), F.length(p))))
-    harmless = F.when(F.rlike("text", words), harmless).otherwise(F.array_repeat(F.lit(0), F.length("text")))
+    no_digits = F.rlike("text", F.lit(CLASSES[0][1]))
+
+    def is_harmless(piece: Column) -> Column:
+        capitals = F.length(F.regexp_replace(piece, "[^A-Z]", ""))
+        return F.rlike(piece, words) | (no_digits & (100 * capitals <= FEW_CAPITALS * F.length(piece)))
+
+    harmless = F.flatten(F.transform(pieces, lambda p: F.array_repeat(is_harmless(p).cast("int"), F.length(p))))
+    harmless = F.when(F.rlike("text", words) | no_digits, harmless).otherwise(F.array_repeat(F.lit(0), F.length("text")))
     limit = F.coalesce(*[F.when(F.col("text").rlike(p), F.lit(bits)) for _, p, bits in CLASSES])
     one = strings.distinct().filter(~F.rlike("text", allowed) & (F.length("text") >= window)).withColumn("limit", limit)
     each = F.arrays_zip(F.split("text", "").alias("char"), harmless.alias("harmless"))

@@ -178,11 +178,22 @@ def secrets(text, allowed, classes, window, scale):
     more = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", t):
         s = m[0]
-        if not (re.search("[0-9]", s) and re.search("[A-Za-z]", s)) or any(re.search(a, s) for a in allowed):
+        if not re.search("[A-Za-z]", s) or any(a.startswith("^") and re.search(a, s) for a in allowed):
             continue
-        limit = next(bits for _, p, bits in classes if re.search(p, s))
+        name, _, limit = next(c for c in classes if re.search(c[1], s))
+        left_out = set()
+        for run in re.finditer("[A-Za-z0-9]+", s):
+            if any(not a.startswith("^") and re.search(a, run[0]) for a in allowed):
+                left_out |= set(range(*run.span()))
+        if name == "letters":
+            left_out |= {k for k, c in enumerate(s) if not c.isalpha()}
+            for part in re.finditer("[A-Za-z]+", s):
+                if 100 * sum(c.isupper() for c in part[0]) <= 30 * len(part[0]):
+                    left_out |= set(range(*part.span()))
         high = []
         for p in range(window - 1, len(s)):
+            if left_out & set(range(p - window + 1, p + 1)):
+                continue
             n = collections.Counter(s[p - window + 1 : p + 1]).values()
             if math.log2(window) - sum(round(v * math.log2(v) * scale) for v in n) / (window * scale) >= limit:
                 high.append(p)

@@ -298,6 +298,17 @@ def test_keys_beside_allowed_words_and_of_letters_only_are_scored(spark):
     assert got[0].spans == "entropy:9:37" and got[2].spans == "entropy:0:28,entropy:35:63"
 
 
+def test_identifiers_and_paths_are_left_alone_and_random_keys_are_not(spark):
+    names = ["ThisIsAVeryLongCamelCaseIdentifierNameForTests", "getElementsByClassNameAndAttribute", "MethodInvocationHandlerProxyFactoryBean", "/usr/local/lib/python/site-packages/numpy", "user+tag=value/otherPathSegmentHere"]
+    r = random.Random(11)
+    keys = ["".join(r.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ") for _ in range(40)) for _ in range(60)]
+    texts = [*names, *keys, "x/" + "/".join(keys[:2]) + "-EXAMPLE", *(k[:20] + "9" + k[20:] for k in keys[:20]), "word 12345678901234567890 +/+/+/+/+/+/+/+/+/+/+/ " + keys[3]]
+    got = {x.doc_id: x for x in secrets.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert not any(got[k].n_entropy for k in range(len(names)))
+    assert sum(got[k].n_entropy > 0 for k in range(len(names), len(names) + len(keys))) >= 0.9 * len(keys)
+    assert bag(got.values()) == bag((i, *brute.secrets(t, secrets.ALLOWED, secrets.CLASSES, secrets.WINDOW, secrets.SCALE)) for i, t in enumerate(texts))
+
+
 # --- 8 language identification
 
 
