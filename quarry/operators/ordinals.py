@@ -27,8 +27,7 @@ def with_positions(records: DataFrame, order: str | list[str], size: Column,
     order = [order] if isinstance(order, str) else list(order)
     names = records.columns
     others = [c for c in names if c not in order]
-    keyed = records.dropna(subset=order).select(
-        "*", (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("_tie"), size.cast("long").alias("_n"))
+    keyed = records.dropna(subset=order).select("*", (F.xxhash64(*others) if others else F.lit(0).cast("long")).alias("_tie"))
     ranged = keyed.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie", *others)
 
     def running(batches):
@@ -41,7 +40,8 @@ def with_positions(records: DataFrame, order: str | list[str], size: Column,
 
     schema = T.StructType([*(records.schema[c] for c in names), T.StructField("_n", T.LongType()),
                            T.StructField("_part", T.IntegerType()), T.StructField("_inner", T.LongType())])
-    placed = ranged.select(*names, "_n", F.spark_partition_id().alias("_part")).mapInArrow(running, schema)
+    # items are counted behind the exchange: before it, the sampling of the keys would count them once more
+    placed = ranged.select(*names, size.cast("long").alias("_n"), F.spark_partition_id().alias("_part")).mapInArrow(running, schema)
     placed = materialize(placed, "positions")  # a second run of the sort could choose other split points
     per_part = placed.groupBy("_part").agg(F.sum("_n").alias("_items"))
     offsets = per_part.select(
@@ -61,12 +61,16 @@ def window_slices(placed: DataFrame, items: Column, window_size: int) -> DataFra
     ends. Only full windows are kept (the last, partial one never fires).
     """
     n = F.lit(window_size)
-    first = F.expr(f"base div {window_size}")
-    cut = placed.select("base", "total", items.alias("_items")).filter(F.size("_items") > 0)
-    windows = F.sequence(first, F.expr(f"(base + size(_items) - 1) div {window_size}"))
-    sliced = cut.select("base", "total", "_items", F.explode(windows).alias("window_id"))
-    start = F.greatest(F.col("base"), F.col("window_id") * n)
-    end = F.least(F.col("base") + F.size("_items"), (F.col("window_id") + 1) * n)
-    return sliced.filter(F.col("window_id") < F.expr(f"total div {window_size}")).select(
-        "window_id", start.alias("start"),
-        F.slice("_items", (start - F.col("base") + 1).cast("int"), (end - start).cast("int")).alias("items"))
+    cut = placed.select("base", "total", items.alias("_items"))
+    windows = F.sequence(F.expr(f"base div {window_size}"), F.expr(f"(base + size(_items) - 1) div {window_size}"))
+
+    def piece(window: Column) -> Column:
+        start = F.greatest(F.col("base"), window * n)
+        end = F.least(F.col("base") + F.size("_items"), (window + 1) * n)
+        own = F.slice("_items", (start - F.col("base") + 1).cast("int"), (end - start).cast("int"))
+        return F.struct(window.alias("window_id"), start.alias("start"), own.alias("items"))
+
+    # A filter on the size of the items would build them a second time; an exploded row takes its own slice along only.
+    pieces = F.when(F.size("_items") > 0, F.transform(windows, piece))
+    return cut.select("total", F.explode(pieces).alias("_slice")).filter(
+        F.col("_slice.window_id") < F.expr(f"total div {window_size}")).select("_slice.window_id", "_slice.start", "_slice.items")
