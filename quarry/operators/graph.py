@@ -32,6 +32,7 @@ def simple_undirected(edges: DataFrame) -> DataFrame:
     return (
         edges.filter(F.col("src") != F.col("dst"))
         .select(F.least("src", "dst").alias("u"), F.greatest("src", "dst").alias("v"))
+        .filter(F.col("u").isNotNull() & F.col("v").isNotNull())  # as a join would add: all readers share one exchange
         .distinct()
     )
 
@@ -75,7 +76,7 @@ def ordered_wedge_counts(und: DataFrame) -> DataFrame:
 
 
 def oriented_edges(und: DataFrame) -> DataFrame:
-    """``(s, t)``: each edge from lower to higher (degree, id)."""
+    """``(s, t, dt)``: each edge from lower to higher (degree, id), and the degree of t."""
     deg = degrees(und)
     du = deg.select(F.col("vertex").alias("u"), F.col("degree").alias("du"))
     dv = deg.select(F.col("vertex").alias("v"), F.col("degree").alias("dv"))
@@ -84,6 +85,7 @@ def oriented_edges(und: DataFrame) -> DataFrame:
     return e.select(
         F.when(forward, F.col("u")).otherwise(F.col("v")).alias("s"),
         F.when(forward, F.col("v")).otherwise(F.col("u")).alias("t"),
+        F.greatest("du", "dv").alias("dt"),
     )
 
 
@@ -94,12 +96,35 @@ def out_blocks(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
     """Out-lists in blocks: ``(s, nb, blk, out)``, written once to the checkpoint folder.
 
     A vertex with ``d`` out-neighbours has ``nb`` blocks, the power of two at or above ``d / block``, and neighbour t
-    is in block ``pmod(xxhash64(t), nb)``: like numbers of blocks line up for any two vertices.
+    is in block ``pmod(xxhash64(t), nb)``: like numbers of blocks line up for any two vertices. ``out`` is sorted by
+    (degree, id), the order in which edges point.
     """
     o = oriented_edges(und)
     nb = o.groupBy("s").agg(F.expr(f"shiftleft(1, cast(ceil(log2(greatest(count(1) / {block}, 1))) as int))").alias("nb"))
     blocked = o.join(nb, "s").withColumn("blk", F.pmod(F.xxhash64("t"), F.col("nb")).cast("int"))
-    return materialize(blocked.groupBy("s", "nb", "blk").agg(F.collect_list("t").alias("out")), "out-blocks")
+    ordered = F.sort_array(F.collect_list(F.struct("dt", "t")))
+    return materialize(blocked.groupBy("s", "nb", "blk").agg(ordered.getField("t").alias("out")), "out-blocks")
+
+
+def _like_blocks(sided: DataFrame) -> DataFrame:
+    """``(s, t, out, tblk)`` of rows ``(s, nb, blk, out, t, nt)``: block i of s meets the blocks j of t with i = j modulo
+    the smaller number of blocks."""
+    target = F.when(F.col("nt") <= F.col("nb"), F.array(F.expr("blk % nt"))).otherwise(F.sequence(F.col("blk"), F.col("nt") - 1, F.col("nb")))
+    return sided.select("s", "t", "out", F.explode(target).alias("tblk"))
+
+
+def dealt_lists(lists: DataFrame) -> DataFrame:
+    """``(s, t, out, tblk)``: for every edge of :func:`out_blocks`, the neighbours of s to look for in block ``tblk`` of t.
+
+    A common neighbour stands behind t in the order, so of a list in one block only what is behind t goes along. The
+    vertices of several blocks, fewer than one for ``block`` edges, are broadcast.
+    """
+    several = F.broadcast(lists.filter("nb > 1").select(F.col("s").alias("t"), F.col("nb").alias("nt")).distinct())
+    single = lists.filter("nb = 1").select("s", "nb", "blk", "out", F.posexplode("out").alias("pos", "t")).filter("pos < size(out) - 1")
+    behind = single.select("s", "nb", "blk", F.expr("slice(out, pos + 2, size(out))").alias("out"), "t")
+    mine = lists.filter("nb > 1").select("s", "nb", "blk", "out")
+    many = mine.join(mine.select("s", F.explode("out").alias("t")), "s").select("s", "nb", "blk", "out", "t")
+    return _like_blocks(behind.unionAll(many).join(several, "t", "left").select("s", "nb", "blk", "out", "t", F.coalesce("nt", F.lit(1)).alias("nt")))
 
 
 def common_out_neighbours(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
@@ -110,19 +135,8 @@ def common_out_neighbours(und: DataFrame, block: int = OUT_BLOCK) -> DataFrame:
     splits (both sides are plain shuffles of the written table).
     """
     lists = out_blocks(und, block)
-    several = lists.filter("nb > 1").select(F.col("s").alias("t"), F.col("nb").alias("nt")).distinct()
-    edges = lists.select("s", F.explode("out").alias("t"))
-    # every edge, and which like blocks of its ends to compare: max(nb of s, nb of t) of them
-    mine = lists.select("s", "nb", "blk", "out")
-    ends = edges.join(several, "t", "left").select("s", "t", F.coalesce("nt", F.lit(1)).alias("nt"))
-    single = lists.filter("nb = 1").select("s", "nb", "blk", "out", F.explode("out").alias("t"))
-    many = mine.filter("nb > 1").join(ends, "s").select("s", "nb", "blk", "out", "t", "nt")
-    sided = single.join(several, "t", "left").select("s", "nb", "blk", "out", "t", F.coalesce("nt", F.lit(1)).alias("nt")).unionAll(many)
-    # block i of s meets the blocks j of t with i = j modulo the smaller number of blocks
-    target = F.when(F.col("nt") <= F.col("nb"), F.array(F.expr("blk % nt"))).otherwise(F.sequence(F.col("blk"), F.col("nt") - 1, F.col("nb")))
-    dealt = sided.select("s", "t", "out", F.explode(target).alias("tblk"))
     theirs = lists.select(F.col("s").alias("t"), F.col("blk").alias("tblk"), F.col("out").alias("t_out"))
-    met = dealt.join(theirs, ["t", "tblk"])
+    met = dealt_lists(lists).join(theirs, ["t", "tblk"])
     return met.select("s", "t", F.array_intersect("out", "t_out").alias("common")).filter(F.size("common") > 0)
 
 
