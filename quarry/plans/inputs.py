@@ -30,10 +30,25 @@ def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.explode(text_lines("text")).alias("value"))
 
 
-def text_files(lines: DataFrame, order: list[str], folder: str) -> str:
+#: Bytes of a table's files for which a shuffle has a partition, if the session's setting gives fewer.
+PIECE_BYTES = 16 << 20
+#: The same for a text file that is written.
+TEXT_FILE_BYTES = 64 << 20
+
+
+def pieces(spark: SparkSession, sf_dir: str, name: str, piece: int = PIECE_BYTES) -> int | None:
+    """The number of partitions for a shuffle of a whole table: None for the session's own, which is enough."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(table_path(sf_dir, name))
+    size = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(at).getLength()
+    wanted = -(-size // piece)
+    return wanted if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+def text_files(lines: DataFrame, order: list[str], folder: str, num_files: int | None = None) -> str:
     """Lines (``value``) as text files under ``folder``, sorted by ``order``; modification times follow that order."""
     spark = lines.sparkSession
-    lines.repartitionByRange(*order).sortWithinPartitions(*order).select("value").write.text(folder)
+    by = order if num_files is None else [num_files, *order]
+    lines.repartitionByRange(*by).sortWithinPartitions(*order).select("value").write.text(folder)
     at = spark._jvm.org.apache.hadoop.fs.Path(folder)
     files = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     paths = sorted((f.getPath() for f in files.listStatus(at)), key=lambda p: p.getName())  # one for each write task
@@ -45,7 +60,7 @@ def text_files(lines: DataFrame, order: list[str], folder: str) -> str:
 def document_files(spark: SparkSession, sf_dir: str, folder: str) -> str:
     """The documents' lines as text files, in document order."""
     docs = table(spark, sf_dir, "documents").filter("doc_id is not null")
-    return text_files(docs.select("doc_id", F.posexplode(text_lines("text")).alias("line", "value")), ["doc_id", "line"], folder)
+    return text_files(docs.select("doc_id", F.posexplode(text_lines("text")).alias("line", "value")), ["doc_id", "line"], folder, pieces(spark, sf_dir, "documents", TEXT_FILE_BYTES))
 
 
 # Trace lines: "time connection_id source_ip > destination_ip protocol", one per event.

@@ -37,11 +37,11 @@ def word_count_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.bigram_count(inputs.document_lines(spark, sf_dir))
+    return counting.bigram_count(inputs.document_lines(spark, sf_dir), num_partitions=inputs.pieces(spark, sf_dir, "documents"))
 
 
 def bigram_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return counting.bigram_topk(inputs.document_lines(spark, sf_dir), K).select("rank", "w1", "w2", "n")
+    return counting.bigram_topk(inputs.document_lines(spark, sf_dir), K, num_partitions=inputs.pieces(spark, sf_dir, "documents")).select("rank", "w1", "w2", "n")
 
 
 def kept_bigram_count(spark: SparkSession, sf_dir: str) -> DataFrame:
