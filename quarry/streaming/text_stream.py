@@ -74,8 +74,9 @@ def ingest(spark: SparkSession, path: str, folder: str, size: Column, max_files:
     append_to(counted(line_stream(spark, path, max_files), size), f"{folder}/lines", f"{folder}/lines-state")
 
 
-def _lines(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.readStream.schema(LINES).parquet(f"{folder}/lines")
+def _lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    reader = spark.readStream if max_files is None else spark.readStream.option("maxFilesPerTrigger", max_files)
+    return reader.schema(LINES).parquet(f"{folder}/lines")
 
 
 def place(spark: SparkSession, folder: str) -> None:
@@ -95,10 +96,11 @@ def place(spark: SparkSession, folder: str) -> None:
     append_to(offsets, f"{folder}/offsets", f"{folder}/offsets-state")
 
 
-def placed_lines(spark: SparkSession, folder: str) -> DataFrame:
-    """Stream of ``(position, value, modified)``: every line with the position of its first item."""
+def placed_lines(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
+    """Stream of ``(position, value, modified)``: every line with the position of its first item. A micro-batch takes
+    ``max_files`` files of the table, so that what a stateful task gets of it doesn't grow with what has come."""
     offsets = spark.read.schema(OFFSETS).parquet(f"{folder}/offsets").select("file", "split", "offset")
-    lines = _lines(spark, folder).filter("total is null").join(offsets, ["file", "split"], "left")
+    lines = _lines(spark, folder, max_files).filter("total is null").join(offsets, ["file", "split"], "left")
     missing = F.raise_error(F.concat(F.lit("no offset yet: "), "file")).cast("long")
     return lines.select(F.coalesce(F.col("offset"), missing).alias("at"), "before", "value", "modified").select((F.col("at") + F.col("before")).alias("position"), "value", "modified")
 
@@ -107,4 +109,4 @@ def advance(spark: SparkSession, path: str, folder: str, size: Column, windows,
     """Run all three over what has come, then ``windows(placed_lines)`` appended to ``folder``; all its rows so far."""
     ingest(spark, path, folder, size, max_files)
     place(spark, folder)
-    return append_to(windows(placed_lines(spark, folder)), f"{folder}/out", f"{folder}/out-state")
+    return append_to(windows(placed_lines(spark, folder, max_files)), f"{folder}/out", f"{folder}/out-state")
