@@ -50,10 +50,15 @@ ASKING, ASKED = 256, 1024
 #: Pairs that a task gathers before it sends them.
 GATHER_PAIRS = 500_000
 #: Cells of the rarity sketch at most, as a power of two: beyond it the order is coarser, but any order is exact.
-MAX_LOG2_RARITY = 26
-#: Most longs of parity bits of a set of more than 64 words.
+MAX_LOG2_RARITY = 24
+#: Bytes of text for each part of a line that is sent, about.
+BYTES_A_TOKEN = 26
+#: Most longs of parity bits of a set of more than 32 words.
 WIDE = 8
-#: Lines that may match that a line looks for with one word, in each round.
+#: Bytes of an Arrow batch that a task sends to its Python worker, unless the session says so: batches of 10,000 whole texts would fill an executor.
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
+BATCH_BYTES = 4 << 20
+#: Lines that may match that a line looks for with one part, in each round.
 ROUNDS = (2, None)
 
 
@@ -84,39 +89,38 @@ class _Lines:
 
 
 class _Sets:
-    """Word sets: ``h`` sorted by (line, rarity), ``begin`` and ``n`` of each line's words, its number ``line``."""
+    """Word sets: ``h`` sorted by line, ``begin`` and ``n`` of each line's words, its number ``line``; with ``rarity`` the first 44 bits of ``h`` and its ``level``."""
 
     def __init__(self, spans: Spans, start: np.ndarray, end: np.ndarray, line: np.ndarray, rarity: Levels | None) -> None:
         h = spans.hash(start, end)
-        level = rarity.of(h) if rarity is not None else np.zeros(len(h), np.uint8)
-        order = _sorted(line, level, h)
-        line, h, level = line[order], h[order], level[order]
+        if rarity is not None and (not len(line) or line[-1] < 1 << 20):
+            key = np.sort((line.astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20)))
+            line, h = (key >> np.uint64(44)).astype(np.int64), key << np.uint64(20)
+        else:
+            h = _word(h) if rarity is not None else h
+            order = np.lexsort((h, line))
+            line, h = line[order], h[order]
         new = np.ones(len(h), bool)
         new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
-        self.h, self.level, line = h[new], level[new], line[new]
+        self.h, line = h[new], line[new]
+        self.level = rarity.of(self.h) if rarity is not None else np.zeros(len(self.h), np.uint8)
         self.begin = np.flatnonzero(np.concatenate(([True], line[1:] != line[:-1]))) if len(line) else np.zeros(0, np.int64)
         self.n = np.diff(np.append(self.begin, len(line)))
         self.line = line[self.begin]
 
 
-def _sorted(line: np.ndarray, level: np.ndarray, h: np.ndarray) -> np.ndarray:
-    """Order by (line, level, h): by one packed key, unless the bits of h left out of it would matter."""
-    if len(line) and line[-1] < 1 << 20:
-        key = (line.astype(np.uint64) << np.uint64(44)) | (level.astype(np.uint64) << np.uint64(36)) | (h >> np.uint64(28))
-        order = np.argsort(key)
-        key, h_ = key[order], h[order]
-        if not ((key[1:] == key[:-1]) & (h_[1:] != h_[:-1])).any():
-            return order
-    return np.lexsort((h, level, line))
+def _word(h: np.ndarray) -> np.ndarray:
+    """The 44 bits of a word's hash that parts are made of: sets of them differ in no more words than the sets of words."""
+    return h >> np.uint64(20) << np.uint64(20)
 
 
 def _signed(x: np.ndarray) -> pa.Array:
     return pa.array(x.astype(np.uint64, copy=False).view(np.int64))
 
 
-def _longs(n: np.ndarray, full: bool) -> np.ndarray:
-    """Longs of wide parity bits that sets of n words carry: none up to 64 words, then a bit a word, as a power of two; ``full``: four at least."""
-    return np.where(n <= 256, 4, WIDE) if full else np.select([n <= 64, n <= 128, n <= 256], [0, 2, 4], WIDE)
+def _longs(n: np.ndarray) -> np.ndarray:
+    """Longs of wide parity bits that sets of n words carry: none up to 96 words, then a power of two, at least two bits for three words."""
+    return np.select([n <= 96, n <= 192, n <= 384], [0, 2, 4], WIDE)
 
 
 def _class(n: np.ndarray) -> np.ndarray:
@@ -125,14 +129,14 @@ def _class(n: np.ndarray) -> np.ndarray:
     return np.where(n <= 20, n, 20 + np.floor(np.log(np.maximum(n, 20) / 20) / np.log(1.1)).astype(np.int64))
 
 
-def _bitmaps(found: _Sets, full: bool) -> tuple[np.ndarray, np.ndarray]:
+def _bitmaps(found: _Sets) -> tuple[np.ndarray, np.ndarray]:
     """64 parity bits of each set, and ``WIDE`` longs of them of which the first ``_longs(n)`` count; the 64 are the others folded."""
     mixed = mix(found.h)
     one = np.uint64(1) << (mixed >> np.uint64(58))
     wide = np.zeros((len(found.n), WIDE), np.uint64)
     if not len(one):
         return one, wide
-    carries = _longs(found.n, full) > 0
+    carries = _longs(found.n) > 0
     if carries.any():
         words = np.repeat(carries, found.n)
         bits, slot = one[words], (mixed[words] >> np.uint64(55)) & np.uint64(WIDE - 1)
@@ -141,7 +145,7 @@ def _bitmaps(found: _Sets, full: bool) -> tuple[np.ndarray, np.ndarray]:
         for k in range(WIDE):
             wide[carries, k] = np.bitwise_xor.reduceat(np.where(slot == k, bits, np.uint64(0)), begin)
         for half in (4, 2):
-            fold = _longs(found.n, full) <= half
+            fold = _longs(found.n) <= half
             wide[fold, :half] ^= wide[fold, half : 2 * half]
     return np.bitwise_xor.reduceat(one, found.begin), wide
 
@@ -151,22 +155,56 @@ def _ranges(count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
-def _postings(found: _Sets, frequent: int) -> dict[str, np.ndarray]:
-    """Postings of the sets' prefix words: word, m, role (0: asks and answers, 1: answers, 2: asks), place, n, at (number of the set)."""
-    place = np.arange(len(found.h)) - np.repeat(found.begin, found.n)
-    prefix = found.n - (NUMERATOR * found.n + DENOMINATOR - 1) // DENOMINATOR + 1
-    at = np.repeat(np.arange(len(found.n)), found.n)
-    which = np.flatnonzero((place < prefix[at]) & (found.level > Levels.ONCE))
-    n = found.n[at[which]]
-    # a frequent word's groups hold the sets of one range of sizes; a set answers in its own and asks in all that can match
+def _tokens(found: _Sets, rarity: Levels) -> dict[str, np.ndarray]:
+    """The rarest parts of the sets, as many as two sets that match must share one of: word (hash of the part), level (of its rarest word), at (number of the set).
+
+    A set of n words, 2**s <= n < 2**(s + 1), is dealt into K parts by a hash of the word; sets that match differ in fewer
+    parts than are sent. One that can match sets below 2**s is also dealt as these are. Parts are ordered by how rare their words are
+    together, parts without a word last.
+    """
+    n = found.n.astype(np.int64)
+    s = np.frexp(n.astype(np.float64))[1].astype(np.int64) - 1
+    also = np.flatnonzero(-(-NUMERATOR * n // DENOMINATOR) < 1 << s)
+    at = np.concatenate((np.arange(len(n)), also))
+    scheme = np.concatenate((s, s[also] - 1))
+    both = np.concatenate((n + n * DENOMINATOR // NUMERATOR, n[also] + (1 << s[also]) - 1))
+    parts = np.maximum(1, (5 << scheme) >> 3)
+    sent = np.minimum(parts, both * (DENOMINATOR - NUMERATOR) // (DENOMINATOR + NUMERATOR) + 1)
+    first = np.cumsum(parts) - parts
+    which = np.repeat(found.begin[at], n[at]) + _ranges(n[at])
+    mixed = mix(found.h[which] + np.uint64(0x9E3779B97F4A7C15))
+    share = (mixed >> np.uint64(32)) * np.repeat(parts, n[at]).astype(np.uint64) >> np.uint64(32)
+    slot = np.repeat(first, n[at]) + share.astype(np.int64)
+    level, size = found.level[which], int(parts.sum())
+    content, rarest = np.zeros(size, np.uint64), np.full(size, 255, np.uint8)
+    np.add.at(content, slot, mix(mixed))
+    np.minimum.at(rarest, slot, level)
+    rare = np.bincount(slot, weights=rarity.most + 1.0 - level, minlength=size).astype(np.int64)
+    rare = np.minimum(rare, (1 << 24) - 1)
+    nth, part, bits = np.repeat(np.arange(len(at)), parts), _ranges(parts), int(parts.max(initial=1)).bit_length()
+    taken = part < np.repeat(sent, parts)
+    if bits + len(at).bit_length() <= 38:
+        part = np.sort((((nth << 24) - rare) << bits) + part)[taken] & ((1 << bits) - 1)
+    else:
+        part = part[np.lexsort((part, -rare, nth))][taken]
+    nth = np.repeat(np.arange(len(at)), sent)
+    order = first[nth] + part
+    part = part.astype(np.uint64) + (scheme[nth].astype(np.uint64) << np.uint64(40))
+    return {"word": mix(content[order] + mix(part)), "level": rarest[order], "at": at[nth]}
+
+
+def _postings(found: _Sets, tokens: dict[str, np.ndarray], frequent: int) -> dict[str, np.ndarray]:
+    """Postings of the sets' parts: word, m, role (0: asks and answers, 1: answers, 2: asks), n, at (number of the set)."""
+    n = found.n[tokens["at"]]
+    # a frequent part's groups hold the sets of one range of sizes; a set answers in its own and asks in all that can match
     own, low, high = _class(n), _class(-(-n * NUMERATOR // DENOMINATOR)), _class(n * DENOMINATOR // NUMERATOR)
-    often = found.level[which] >= frequent
+    often = tokens["level"] >= frequent
     copies = np.where(often, high - low + 2, 1)
     nth = _ranges(copies)
-    which, n, own, low, often = (np.repeat(x, copies) for x in (which, n, own, low, often))
+    n, own, low, often, word, at = (np.repeat(x, copies) for x in (n, own, low, often, tokens["word"], tokens["at"]))
     role = np.where(often, np.where(nth == 0, 1, 2), 0)
     m = np.where(role == 0, 0, np.where(role == 1, own, low + nth - 1))
-    return {"word": found.h[which], "m": m, "role": role, "place": place[which], "n": n, "at": at[which]}
+    return {"word": word, "m": m, "role": role, "n": n, "at": at}
 
 
 def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
@@ -176,15 +214,13 @@ def _needed(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _may_match(c: dict[str, np.ndarray], x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Which pairs of postings of one word pass the length, positional and bitmap filters, and stand in order."""
+    """Which pairs of postings of one part pass the length and bitmap filters, and stand in order."""
     n, m = c["n"][x], c["n"][y]
     near = np.bitwise_count(c["bitmap"][x] ^ c["bitmap"][y]) <= n + m - 2 * _needed(n, m)
     check = np.flatnonzero(near & (c["order"][y] < c["order"][x]))
     x, y, n, m = x[check], y[check], n[check], m[check]
     need = _needed(n, m)
-    p, q = c["place"][x], c["place"][y]
-    most = np.minimum(p, q) + 1 + np.minimum(n - p - 1, m - q - 1)
-    left = (np.minimum(n, m) >= need) & (most >= need) & (c["role"][y] != 2) & (c["role"][x] != 1) & c["ask"][x] & (c["raw"][x] != c["raw"][y])
+    left = (np.minimum(n, m) >= need) & (c["role"][y] != 2) & (c["role"][x] != 1) & c["ask"][x] & (c["raw"][x] != c["raw"][y])
     check, x, y, most_apart = check[left], x[left], y[left], (n + m - 2 * need)[left]
     ok = np.zeros(len(near), bool)
     if len(check):
@@ -205,13 +241,13 @@ def _folded(c: dict[str, np.ndarray], x: np.ndarray, longs: np.ndarray, k: int)
     return out
 
 
-def _pairs(table: pa.Table, wide: np.ndarray, full: bool, enough: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
+def _pairs(table: pa.Table, wide: np.ndarray, enough: int | None) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
     """Lines (x, y) that may match, with True, and the x that did not ask all before them (``enough`` were found), with False."""
-    longs = _longs(table["n"].to_numpy(), full)
+    longs = _longs(table["n"].to_numpy())
     table = table.append_column("longs", pa.array(longs)).append_column("wide_at", pa.array(np.cumsum(longs) - longs))
     at = pc.sort_indices(table, sort_keys=[("word", "ascending"), ("m", "ascending"), ("id", "ascending"), ("line", "ascending")], null_placement="at_end")
     table = table.take(at)
-    c = {name: table[name].to_numpy() for name in ("word", "m", "line", "n", "place", "role", "raw", "bitmap", "ask", "longs", "wide_at")}
+    c = {name: table[name].to_numpy() for name in ("word", "m", "line", "n", "role", "raw", "bitmap", "ask", "longs", "wide_at")}
     c["bitmap"], c["wide"] = c["bitmap"].view(np.uint64), wide
     code = table["id"].combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False) if len(at) else np.zeros(0, np.int32)
     new = np.ones(len(at), bool)
@@ -281,21 +317,75 @@ def _place_hash(raw: np.ndarray, id_hash: np.ndarray, line: np.ndarray) -> np.nd
     return mix(raw + mix(id_hash + mix(line.astype(np.uint64))))
 
 
-#: Arrays of postings: element type by name. ``raw`` is the line's hash, ``word`` 32 bits of the word's (two words that share them are only compared in vain).
-_ARRAYS = {"word": "int", "m": "int", "role": "tinyint", "place": "int", "n": "int", "bitmap": "bigint", "raw": "bigint", "line": "int"}
+def _packed(own: dict[str, np.ndarray], part: np.ndarray, ids: pa.Array, wide: np.ndarray) -> pa.RecordBatch:
+    """Postings as one row of arrays for each part of the words."""
+    by = np.argsort(part, kind="stable")
+    used, begin = np.unique(part[by], return_index=True)
+    offsets = pa.array(np.append(begin, len(by)).astype(np.int32))
+    columns = [pa.array(used)]
+    for name, kind in _ARRAYS.items():
+        values = own[name][by]
+        columns.append(pa.ListArray.from_arrays(offsets, _signed(values) if kind == "bigint" else pa.array(values.astype({"int": np.int32, "tinyint": np.int8}[kind]))))
+    columns.append(pa.ListArray.from_arrays(offsets, ids.take(pa.array(by))))
+    longs = _longs(own["n"])
+    at, longs = (np.cumsum(longs) - longs)[by], longs[by]
+    ends = np.append(0, np.cumsum(longs))[offsets.to_numpy()]
+    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(wide[np.repeat(at, longs) + _ranges(longs)])))
+    return pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id", "wide"])
+
+
+#: Arrays of postings, which travel as bytes. ``raw`` is the line's hash, ``word`` 32 bits of the part's (two that share them are only compared in vain).
+_ARRAYS = {"word": np.int32, "m": np.int32, "role": np.int8, "n": np.int32, "bitmap": np.int64, "raw": np.int64, "line": np.int32}
+
+
+def _blobs(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """The bytes of the values, cut at the ends (the first is 0)."""
+    values = np.ascontiguousarray(values)
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int32)), pa.py_buffer(values)])
+
+
+def _values(column: pa.Array, kind: type) -> np.ndarray:
+    """The values of all blobs of a column, one after the other."""
+    column = column.cast(pa.binary())
+    if not len(column) or column.buffers()[2] is None:
+        return np.zeros(0, kind)
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(column.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
+
+
+def _packed(own: dict[str, np.ndarray], part: np.ndarray, ids: pa.Array, wide: np.ndarray) -> pa.RecordBatch:
+    """Postings as one row of arrays for each part of the words."""
+    by = np.argsort(part, kind="stable")
+    used, begin = np.unique(part[by], return_index=True)
+    ends = np.append(begin, len(by))
+    columns = [pa.array(used), *(_blobs(own[name][by].astype(kind, copy=False), ends) for name, kind in _ARRAYS.items())]
+    columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), ids.take(pa.array(by))))
+    longs = _longs(own["n"])
+    at, longs = (np.cumsum(longs) - longs)[by], longs[by]
+    columns.append(_blobs(wide[np.repeat(at, longs) + _ranges(longs)], np.append(0, np.cumsum(longs))[ends]))
+    return pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id", "wide"])
+
+
+def _unpacked(batches: list[pa.RecordBatch]) -> tuple[dict[str, np.ndarray], np.ndarray, pa.Array, np.ndarray]:
+    """Postings, the part of each, their ids and wide parity bits."""
+    own = {name: np.concatenate([_values(b[name], kind) for b in batches]) for name, kind in _ARRAYS.items()}
+    part = np.concatenate([np.repeat(b["part"].to_numpy(), pc.list_value_length(b["id"]).to_numpy()) for b in batches])
+    return own, part, pa.concat_arrays([pc.list_flatten(b["id"]) for b in batches]), np.concatenate([_values(b["wide"], np.uint64) for b in batches])
 
 
 def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", frequent: int = FREQUENT, rounds: tuple[int | None, ...] = ROUNDS) -> DataFrame:
     """(id, key, line): the lines (from 0) of a row that go; ``key`` is xxhash64 of its text."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.xxhash64(F.col(id_col)).alias("id_hash"), F.col(text_col).cast("binary").alias("bytes"))
     spark = docs.sparkSession
+    if spark.conf.get(BATCH, None) is None:
+        spark.conf.set(BATCH, str(BATCH_BYTES))
     size = text_bytes(docs, text_col)
     id_type, long = rows.schema["id"].dataType, T.LongType()
 
     def word_hashes(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
         for c in chunks(batch.column(0)):
             start, end, _ = c.words()
-            yield c.byte_spans().hash(start, end)
+            yield _word(c.byte_spans().hash(start, end))
 
     rarity = Shared(spark, levels(rows.select("bytes"), word_hashes, min(MAX_LOG2_RARITY, log2_cells(size // BYTES_A_CELL, 1))))
 
@@ -317,8 +407,18 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     is_first = Shared(spark, bitmap(first.select("raw", "id_hash", "line"), first_hashes, log2_cells(first.count(), 16), 1))
     parts = max(1, size // PART_BYTES)
 
-    def post(batches: Iterator[pa.RecordBatch], asking: Bitmap | None, only: Bitmap | None) -> Iterator[pa.RecordBatch]:
-        """Postings of the first of each line (and few others), as one row of arrays for each part of the words; ``only`` those that asking lines meet."""
+    def firsts(batch: pa.RecordBatch) -> Iterator[tuple[Chunk, _Lines, _Sets, dict[str, np.ndarray]]]:
+        """The first of each line (and few others), and the rarest parts of its words."""
+        for c in chunks(batch.column(3)):
+            found = _Lines(c)
+            id_hash = signed_hashes(batch.column(2))[found.text + c.first]
+            sets = found.sets(is_first.value.has(_place_hash(found.raw, id_hash, found.number)), rarity.value)
+            yield c, found, sets, _tokens(sets, rarity.value)
+
+    twice = Shared(spark, bitmap(rows, lambda batch: (tokens["word"] for *_, tokens in firsts(batch)), log2_cells(size // BYTES_A_TOKEN, 8), 2))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Postings of the parts that other lines may have too."""
         waiting: list[tuple[dict[str, np.ndarray], np.ndarray, pa.Array]] = []
 
         def sent() -> Iterator[pa.RecordBatch]:
@@ -329,42 +429,21 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             ids = pa.concat_arrays([w[2] for w in waiting])
             waiting.clear()
             mixed = _met(arrays)
-            part = (mixed % np.uint64(parts)).astype(np.int32)
             arrays["word"] = (mixed >> np.uint64(32)).astype(np.uint32).view(np.int32)
-            by = np.argsort(part, kind="stable")
-            used, begin = np.unique(part[by], return_index=True)
-            offsets = pa.array(np.append(begin, len(by)).astype(np.int32))
-            columns = [pa.array(used)]
-            for name, kind in _ARRAYS.items():
-                values = arrays[name][by]
-                columns.append(pa.ListArray.from_arrays(offsets, _signed(values) if kind == "bigint" else pa.array(values.astype({"int": np.int32, "tinyint": np.int8}[kind]))))
-            columns.append(pa.ListArray.from_arrays(offsets, ids.take(pa.array(by))))
-            longs = _longs(arrays["n"], only is not None)
-            at, longs = (np.cumsum(longs) - longs)[by], longs[by]
-            ends = np.append(0, np.cumsum(longs))[offsets.to_numpy()]
-            columns.append(pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), _signed(wide[np.repeat(at, longs) + _ranges(longs)])))
-            yield pa.RecordBatch.from_arrays(columns, ["part", *_ARRAYS, "id", "wide"])
+            arrays |= {name: arrays[name].view(np.int64) for name in ("raw", "bitmap")}
+            yield _packed(arrays, (mixed % np.uint64(parts)).astype(np.int32), ids, wide)
             pa.default_memory_pool().release_unused()
 
         gathered = 0
         for batch in batches:
-            for c in chunks(batch.column(3)):
-                found = _Lines(c)
-                id_hash = signed_hashes(batch.column(2))[found.text + c.first]
-                mine = is_first.value.has(_place_hash(found.raw, id_hash, found.number))
-                if only is not None:
-                    mine &= found.with_a_word_of(only)
-                sets = found.sets(mine, rarity.value)
-                own = _postings(sets, frequent)
-                if only is not None:
-                    asks = asking.has(found.raw[sets.line])
-                    keep = only.has(_met(own)) & ((own["role"] != 2) | asks[own["at"]])
-                    own = {name: v[keep] for name, v in own.items()}
+            for c, found, sets, tokens in firsts(batch):
+                keep = twice.value.has(tokens["word"])
+                own = _postings(sets, {name: v[keep] for name, v in tokens.items()}, frequent)
                 at = own.pop("at")
                 line = sets.line[at]
-                maps, wide = _bitmaps(sets, only is not None)
+                maps, wide = _bitmaps(sets)
                 own |= {"raw": found.raw[line], "line": found.number[line], "bitmap": maps[at]}
-                longs = _longs(own["n"], only is not None)
+                longs = _longs(own["n"])
                 waiting.append((own, wide[np.repeat(at, longs), _ranges(longs)], batch.column(0).take(pa.array(found.text[line] + c.first))))
                 gathered += len(line)
                 if gathered >= GATHER:
@@ -372,49 +451,53 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     gathered = 0
         yield from sent()
 
-    array_schema = T.StructType(
-        [T.StructField("part", T.IntegerType()), *(T.StructField(name, T.ArrayType(T.LongType() if kind == "bigint" else T.IntegerType() if kind == "int" else T.ByteType())) for name, kind in _ARRAYS.items()), T.StructField("id", T.ArrayType(id_type)), T.StructField("wide", T.ArrayType(T.LongType()))]
-    )
+    array_schema = T.StructType([T.StructField("part", T.IntegerType()), *(T.StructField(name, T.BinaryType()) for name in _ARRAYS), T.StructField("id", T.ArrayType(id_type)), T.StructField("wide", T.BinaryType())])
+    postings = materialised(rows.mapInArrow(post, array_schema))
+
+    def met(own: dict[str, np.ndarray], part: np.ndarray) -> np.ndarray:
+        return mix(own["word"].astype(np.uint64) + (part.astype(np.uint64) << np.uint64(32)))
 
     def candidates(limit: int | None, asking: Bitmap | None = None, only: Bitmap | None = None) -> DataFrame:
-        """Pairs (x, y) of lines that may match; x alone with ``all_asked`` false where it found ``limit`` and stopped. ``asking``: lines that ask."""
-        ask = Shared(spark, asking)
-        words, full = Shared(spark, only), only is not None
+        """Pairs (x, y) of lines that may match; x alone with ``all_asked`` false where it found ``limit`` and stopped. ``asking``: lines that ask; ``only``: what they post."""
+        ask, words = Shared(spark, asking), Shared(spark, only)
+
+        def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                own, part, ids, wide = _unpacked([batch])
+                keep = words.value.has(met(own, part))
+                wide = wide[np.repeat(keep, _longs(own["n"]))]
+                yield _packed({name: v[keep] for name, v in own.items()}, part[keep], ids.filter(pa.array(keep)), wide)
 
         def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            table = pa.Table.from_batches(batches)
-            wide = signed_hashes(pc.list_flatten(table["wide"]))
-            flat = {name: pc.list_flatten(table[name]) for name in [*_ARRAYS, "id"]}
-            n = len(flat["word"])
-            flat["ask"] = pa.array(ask.value.has(signed_hashes(flat["raw"])) if ask.value is not None else np.ones(n, bool))
-            del table
-            for x, y, all_asked in _pairs(pa.table(flat), wide, full, limit):
+            own, _, ids, wide = _unpacked(list(batches))
+            own["ask"] = ask.value.has(own["raw"].view(np.uint64)) if ask.value is not None else np.ones(len(own["raw"]), bool)
+            for x, y, all_asked in _pairs(pa.table({"id": ids} | {name: pa.array(v) for name, v in own.items()}), wide, limit):
                 yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array(np.full(len(x), all_asked))], ["x", "y", "all_asked"])
 
-        return rows.mapInArrow(lambda b: post(b, ask.value, words.value), array_schema).groupBy("part").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
+        sent = postings if only is None else postings.mapInArrow(asked, array_schema)
+        return sent.groupBy("part").applyInArrow(meet, "x bigint, y bigint, all_asked boolean").distinct()
 
     def asked_words(asking: Bitmap):
-        """The words that the asking lines post, and what their postings meet by."""
+        """What the postings of the asking lines meet by."""
         shared = Shared(spark, asking)
 
         def words(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-            for c in chunks(batch.column(0)):
-                found = _Lines(c)
-                own = _postings(found.sets(shared.value.has(found.raw), rarity.value), frequent)
-                asks = own["role"] != 1
-                yield np.concatenate([own["word"], _met(own)[asks]])
+            own, part, *_ = _unpacked([batch])
+            yield met(own, part)[shared.value.has(own["raw"].view(np.uint64))]
 
         return words
 
     def of_lines(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """The word sets of the lines in the pairs, with their first places, for x and for y."""
         wanted_lines = pairs.select(F.explode(F.array("x", "y")).alias("raw")).distinct()
-        wanted = materialised(first.join(wanted_lines, "raw").select("raw", "id", "line"))
-        only = Shared(spark, bitmap(wanted.select("raw"), lambda batch: [signed_hashes(batch.column(0))], log2_cells(wanted.count(), 16), 1))
+        wanted = materialised(first.join(wanted_lines, "raw").select("raw", "id", "line", "id_hash"))
+        cells = log2_cells(wanted.count(), 16)
+        only, of_rows = (Shared(spark, bitmap(wanted.select(name), lambda batch: [signed_hashes(batch.column(0))], cells, 1)) for name in ("raw", "id_hash"))
 
         def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for c in chunks(batch.column(0)):
+                batch = batch.filter(pa.array(of_rows.value.has(signed_hashes(batch.column(0)))))
+                for c in chunks(batch.column(1)):
                     found = _Lines(c)
                     one = np.zeros(len(found.raw), bool)
                     one[np.unique(found.raw, return_index=True)[1]] = True
@@ -422,7 +505,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     of = pa.ListArray.from_arrays(pa.array(np.append(own.begin, len(own.h)).astype(np.int32)), _signed(own.h))
                     yield pa.RecordBatch.from_arrays([_signed(found.raw[own.line]), of], ["raw", "words"])
 
-        table = materialised(rows.select("bytes").mapInArrow(sets, "raw bigint, words array<bigint>").join(wanted, "raw").dropDuplicates(["raw"]))
+        table = materialised(rows.select("id_hash", "bytes").mapInArrow(sets, "raw bigint, words array<bigint>").join(wanted, "raw").dropDuplicates(["raw"]))
         at = F.struct(F.col("id").isNull().alias("null"), "id", "line").alias("at")
         return tuple(table.select(F.col("raw").alias(name), F.struct("words", at).alias(f"of_{name}")) for name in ("x", "y"))
 
@@ -444,7 +527,7 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not waiting:
             break
         asking = bitmap(rest, lambda batch: [signed_hashes(batch.column(0))], log2_cells(waiting, 16), 1)
-        only = bitmap(rows.select("bytes"), asked_words(asking), log2_cells(waiting, 512), 1)
+        only = bitmap(postings, asked_words(asking), log2_cells(waiting, 256), 1)
     state = materialised(first.join(matched.distinct().withColumn("matched", F.lit(True)), "raw", "left").select("raw", F.col("id").alias("first_id"), F.col("line").alias("first_line"), F.coalesce("matched", F.lit(False)).alias("matched")))
     gone = ~(F.col("id").eqNullSafe(F.col("first_id")) & (F.col("line") == F.col("first_line")))
     return lines.select("raw", "id", "key", "line").join(state, "raw").filter(F.col("matched") | gone).select("id", "key", "line")

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 MIN_LOG2_CELLS, MAX_LOG2_CELLS = 16, 30
 LOG2_PARTS = 6
+#: Jobs at most that bring a sketch to the driver, a share in each.
+JOBS = 16
 #: Hashes that a task gathers before it sends their counts.
 GATHER = 400_000
 
@@ -64,6 +66,12 @@ def _cell(hashes: np.ndarray, row: int, log2: int) -> np.ndarray:
     return (x ^ (x >> np.uint64(32))) * _ODD[(row + 1) % 3] >> np.uint64(64 - log2)
 
 
+def _steps(cells: np.ndarray) -> bytes:
+    """Rising cells as the steps between them, of two bytes each if all fit, else of four."""
+    steps = np.diff(cells, prepend=np.uint32(0))
+    return steps.astype(np.uint16 if steps.max(initial=0) < 1 << 16 else np.uint32).tobytes()
+
+
 def _merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarray]], log2: int, depth: int, cap: int, encode: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
     """Counts (up to ``cap``) of all cells over all rows of ``df``, as ``encode`` packs them into bytes: depth x bytes."""
     low = log2 - LOG2_PARTS
@@ -80,7 +88,7 @@ def _merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarra
                 inner = (cells & np.uint64((1 << low) - 1)).astype(np.uint32)
                 n = np.minimum(n, cap).astype(np.uint16)
                 used = np.flatnonzero(np.diff(edge))
-                blobs = [[a[edge[p] : edge[p + 1]].tobytes() for p in used] for a in (inner, n)]
+                blobs = [[_steps(inner[edge[p] : edge[p + 1]]) for p in used], [n[edge[p] : edge[p + 1]].tobytes() for p in used]]
                 yield pa.RecordBatch.from_arrays([pa.array((used + (row << LOG2_PARTS)).astype(np.int32)), *(pa.array(b, pa.binary()) for b in blobs)], ["part", "cells", "n"])
 
         for batch in batches:
@@ -95,12 +103,12 @@ def _merged(df: DataFrame, hashes: Callable[[pa.RecordBatch], Iterable[np.ndarra
         for batch in batches:
             for part, cells, n in zip(*(c.to_pylist() for c in batch.columns)):
                 total = totals.setdefault(part, np.zeros(1 << low, np.uint16))
-                at = np.frombuffer(cells, np.uint32)
+                at = np.cumsum(np.frombuffer(cells, np.uint32 if len(cells) > len(n) else np.uint16), dtype=np.int64)
                 total[at] = np.minimum(total[at].astype(np.uint32) + np.frombuffer(n, np.uint16), cap)
         for part, total in totals.items():
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([encode(total).tobytes()], pa.binary())], ["part", "bits"])
 
-    parts = df.mapInArrow(count, "part int, cells binary, n binary").repartition("part").mapInArrow(merge, "part int, bits binary")
+    parts = df.mapInArrow(count, "part int, cells binary, n binary").repartition("part").coalesce(JOBS).mapInArrow(merge, "part int, bits binary")
     empty = encode(np.zeros(1 << low, np.uint16))
     out = np.tile(empty, (depth, 1 << LOG2_PARTS, 1))
     for part, own in parts.toLocalIterator():
@@ -119,7 +127,7 @@ class Levels:
     ONCE = 8
 
     def __init__(self, steps: np.ndarray, log2: int) -> None:
-        self.steps, self.log2 = steps, log2
+        self.steps, self.log2, self.most = steps, log2, int(steps.max(initial=0))
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
         return self.steps[_cell(hashes, 0, self.log2)]

@@ -77,6 +77,58 @@ def test_ranges_of_sizes_cover_every_size_that_can_match():
     assert ((low <= of) & (of <= high)).all() and (high - low).max() < 12
 
 
+def _word_sets(sets):
+    """Word sets as the operator has them, with levels from random counts."""
+    words = sorted({w for s in sets for w in s})
+    r = random.Random(4)
+    level = {w: r.choice([8, 16, 40, 80]) for w in words}
+    found = object.__new__(linededup._Sets)
+    found.n = np.array([len(s) for s in sets])
+    found.begin = np.cumsum(found.n) - found.n
+    found.line = np.arange(len(sets))
+    code = {w: np.uint64(r.getrandbits(44) << 20) for w in words}
+    found.h = np.array([code[w] for s in sets for w in s], np.uint64)
+    found.level = np.array([level[w] for s in sets for w in s], np.uint8)
+    return found
+
+
+def test_sets_that_match_share_a_part():
+    r = random.Random(3)
+    rarity = sketch.Levels(np.array([80], np.uint8), 16)
+    for n in [*range(1, 70), 100, 127, 128, 129, 159, 160, 161, 300, 511, 512, 640]:
+        sets = []
+        for k in range(12):
+            m = min(n * 5 // 4, n + r.randrange(n // 4 + 1) if k else n * 5 // 4)
+            common = -(-4 * (n + m) // 9)
+            if common <= n:
+                sets += [[*range(common), *range(10_000, 10_000 + n - common)], [*range(common), *range(20_000, 20_000 + m - common)]]
+        for x, y in zip(sets[::2], sets[1::2]):
+            shift = r.randrange(10**6)
+            found = _word_sets([[w + shift for w in x], [w + shift for w in y]])
+            own = linededup._tokens(found, rarity)
+            assert set(own["word"][own["at"] == 0]) & set(own["word"][own["at"] == 1]), (len(x), len(y))
+
+
+def test_lines_of_common_words_that_match_none_send_few_postings(spark, monkeypatch):
+    """Every word is in many lines, but few parts are in two: less than half as many postings as words in the prefixes of the lines."""
+    r = random.Random(6)
+    rows = [(i, " ".join(r.sample([f"w{k}" for k in range(400)], 40))) for i in range(600)]
+    sent, keep = [], linededup.materialised
+
+    def counted(df):
+        out = keep(df)
+        if "wide" in out.columns:
+            sent.append(out)
+        return out
+
+    monkeypatch.setattr(linededup, "materialised", counted)
+    got = linededup.deduplicate(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert bag(got.select("doc_id", "text").collect()) == bag(rows)
+    prefix_words = 600 * 9
+    (postings,) = sent
+    assert sum(len(x.id) for x in postings.select("id").collect()) < prefix_words / 2
+
+
 def test_line_dedup_drops_emptied_documents_only(spark):
     docs = spark.createDataFrame([(1, "a b c d e f\nx"), (2, "a b c d e f"), (3, ""), (4, None), (5, "new\na b c d e f")], "doc_id long, text string")
     got = {x.doc_id: x.text for x in linededup.deduplicate(docs, drop_emptied=True).collect()}
