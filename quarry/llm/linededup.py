@@ -3,21 +3,22 @@
 A line (between line feeds) is the set of its words; two lines match at a Jaccard similarity of at least 0.8, and a
 line goes if one before it, by document id and line number, matches. Steps:
 
-1. Word counts of the corpus are merged into a sketch of one byte a cell, of at most 64 MiB; it orders the words of a line
-   by rarity (any fixed order is exact, the rarest first is the fastest).
+1. Word counts of the corpus are merged into a sketch of one byte a cell, of at most 16 MiB; it orders parts of lines by
+   rarity (any fixed order is exact, the rarest first is the fastest).
 2. Equal lines are one, at the place of the first of them.
-3. Each different line posts the first words of that order, as many as a match must share one of (prefix filter). Words
-   that the sketch has counted once are left out: no other line has them. Postings travel as arrays, one row for a task's
-   postings in a part of the words.
-4. Postings of one word meet in a task that applies the length and the positional filter and compares bitmaps of the
-   word sets, which bound the overlap from above: 64 parity bits, and beyond 64 words as many bits as there are words, up to
-   512. Postings of very frequent words are dealt out by ranges of sizes as well. Each line asks those before it, from the
-   first on, until a few may match (``ROUNDS``); if none of these does, it asks for more in the next round, and in the last
-   one all. After the first round only postings that an asking line can meet are sent, with at least 256 bits.
+3. The words of each different line are dealt into parts by hash, about 1.6 to 3.2 words in each. Lines that match differ in
+   a ninth of their words together, so in no more parts than that, and share one of the rarest parts of each (prefix filter
+   over parts). A part is several words, so few other lines have it; those that a second sketch has counted once are left out.
+   The others are posted and written once, as arrays of bytes, one row for a task's postings in a share of the parts.
+4. Postings of one part meet in a task that applies the length filter and compares bitmaps of the word sets, which bound
+   the overlap from above: 64 parity bits, and beyond 96 words up to 512. Postings of parts of very frequent words are dealt out by
+   ranges of sizes as well. Each line asks those before it, from the first on, until a few may match (``ROUNDS``); if none
+   of these does, it asks for more in the next round, and in the last one all. After the first round only postings that an
+   asking line can meet are sent.
 5. The pairs that are left are verified on the word sets themselves, and the lines of matched sets and later copies are cut
    out.
 
-Words and lines are compared by 64-bit hashes.
+Words and lines are compared by 64-bit hashes. An Arrow batch size is set for the session if it has none (``BATCH_BYTES``).
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ BYTES_A_CELL = 32
 #: Sketch level from which a word's postings are dealt out by length (about 16,000 words).
 FREQUENT = 8 * 14
 #: Bytes of text for each part that postings are dealt to.
-PART_BYTES = 2_000_000
+PART_BYTES = 16_000_000
 #: Postings that a task gathers before it sends them.
 GATHER = 150_000
 SMALL_GROUP = 64
@@ -263,8 +264,13 @@ def _pairs(table: pa.Table, wide: np.ndarray, enough: int | None) -> Iterator[tu
 
     def sent(least: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool]]:
         if sum(len(x) for x, _ in out) >= least:
-            yield c["raw"][np.concatenate([x for x, _ in out])], c["raw"][np.concatenate([y for _, y in out])], True
+            x, y = (c["raw"][np.concatenate(side)] for side in zip(*out))
             out.clear()
+            by = np.lexsort((y, x))
+            x, y = x[by], y[by]
+            new = np.ones(len(x), bool)
+            new[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+            yield x[new], y[new], True
 
     small = np.flatnonzero((size[group] <= SMALL_GROUP) & (size[group] > 1)) if len(group) else np.zeros(0, np.int64)
     have = np.zeros(len(at), np.int64)
